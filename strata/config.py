@@ -1,0 +1,37 @@
+"""Column roles of a panel (entity x date) table.
+
+Operators take column names as arguments; ``PanelSpec`` bundles the usual
+ones so a whole pipeline can be re-aimed at other data by changing one object.
+The defaults are the reference's star-schema names.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+
+@dataclass(frozen=True)
+class PanelSpec:
+    entity: str = "country_id"
+    entity_name: str = "country_name"
+    group: str = "continent"
+    date: str = "report_date"
+    population: str = "population"
+    flows: tuple[str, ...] = ("new_cases", "new_deaths", "new_tests")
+    stocks: tuple[str, ...] = (
+        "total_cases",
+        "total_deaths",
+        "total_recovered",
+        "total_tests",
+        "people_fully_vaccinated",
+        "total_boosters",
+    )
+    levels: tuple[str, ...] = ("active_cases", "icu_patients", "hosp_patients")
+    ratios: tuple[str, ...] = ("positive_rate", "reproduction_rate", "stringency_index")
+    attributes: tuple[str, ...] = ("population", "median_age", "gdp_per_capita", "life_expectancy")
+    extra: dict = field(default_factory=dict)
+
+
+# The raw (pre-star) panel names the entity by its label and the day ``date``.
+RAW = PanelSpec(entity="country", entity_name="country", date="date")
+STAR = PanelSpec()
