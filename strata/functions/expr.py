@@ -103,11 +103,12 @@ def lookup(index: ColumnLike, values: Sequence[float]) -> Column:
 
 
 def md5_fraction_below(key_cols: Sequence[ColumnLike], fraction: float) -> Column:
-    """Deterministic sampling predicate: md5 of the key, first 8 hex digits as
-    an integer in [0, 2^32), below ``fraction * 2^32``.
+    """Deterministic sampling predicate: the first 8 hex digits of md5(key) below
+    ``fraction * 2^32``, compared as fixed-width lowercase hex text.
 
     Reproducible in any engine and under any partitioning, unlike ``sample``.
+    Use integer or text keys: their string form is the same everywhere.
     """
     key = F.concat_ws("|", *[col(k).cast("string") for k in key_cols])
-    h = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
-    return h < F.lit(int(fraction * (1 << 32)))
+    bound = format(min(int(fraction * (1 << 32)), (1 << 32) - 1), "08x")
+    return F.substring(F.md5(key), 1, 8) < F.lit(bound)

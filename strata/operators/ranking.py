@@ -10,6 +10,11 @@ running-sum a frame of any size in two phases instead:
    window over at most ``num_partitions`` rows, broadcast back by slice id.
 
 The broadcast side is bounded by the partition count, not by the data.
+
+The sliced frame is materialised once with ``checkpoint()`` (a reliable
+checkpoint in the cluster's ``spark.checkpoint.dir``): the per-slice counts and
+the local positions must see the same slice assignment, and two independent
+range exchanges would each sample their own bounds.
 """
 
 from __future__ import annotations
@@ -19,6 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.session import shared_dir
+
 _PID = "__slice"
 
 
@@ -29,7 +36,9 @@ def _parts(df: DataFrame, num_partitions: int | None) -> int:
 
 
 def _sliced(df: DataFrame, order: Sequence[Column], num_partitions: int | None) -> DataFrame:
-    return df.repartitionByRange(_parts(df, num_partitions), *order).withColumn(_PID, F.spark_partition_id())
+    shared_dir(df.sparkSession)
+    sliced = df.repartitionByRange(_parts(df, num_partitions), *order).withColumn(_PID, F.spark_partition_id())
+    return sliced.checkpoint(eager=True)
 
 
 def _offsets(local: DataFrame, sums: dict[str, str]) -> DataFrame:
@@ -92,11 +101,25 @@ def with_rank(df: DataFrame, value_cols: Sequence[str], order: Sequence[Column],
     back, so a value shared by many rows is not gathered in one task.
     """
     rn = with_row_number(df, order, "__rn", num_partitions)
+    return _rank_from_rn(rn, value_cols, out, dense, num_partitions).drop("__rn")
+
+
+def _rank_from_rn(rn: DataFrame, value_cols: Sequence[str], out: str, dense: bool,
+                  num_partitions: int | None) -> DataFrame:
     first = rn.groupBy(*value_cols).agg(F.min("__rn").alias("__first"))
     if dense:
         first = with_row_number(first, [F.col("__first")], "__dense", num_partitions).drop("__first")
-        return rn.join(first, list(value_cols)).withColumnRenamed("__dense", out).drop("__rn")
-    return rn.join(first, list(value_cols)).withColumnRenamed("__first", out).drop("__rn")
+        return rn.join(first, list(value_cols)).withColumnRenamed("__dense", out)
+    return rn.join(first, list(value_cols)).withColumnRenamed("__first", out)
+
+
+def with_rank_variants(df: DataFrame, value_cols: Sequence[str], order: Sequence[Column],
+                       num_partitions: int | None = None) -> DataFrame:
+    """RANK, DENSE_RANK and ROW_NUMBER over one shared global numbering."""
+    rn = with_row_number(df, order, "__rn", num_partitions)
+    r = _rank_from_rn(rn, value_cols, "rnk", False, num_partitions)
+    r = _rank_from_rn(r, value_cols, "dense_rnk", True, num_partitions)
+    return r.withColumnRenamed("__rn", "row_num")
 
 
 def with_group_rank(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str],
