@@ -137,8 +137,8 @@ def momentum_index(df: DataFrame, value: str, out: str = "reproduction_rate", k:
     """
     tmp = f"__chg_{out}"
     df = pct_change_1(df, value, tmp, entity, date)
-    m = F.avg(tmp).over(_rows(entity, date, -(k - 1), 0))
-    df = df.withColumn(out, F.bround(clip(F.lit(1.0) + F.lit(scale) * m, lo, hi), digits))
+    df = df.withColumn(out, F.lit(1.0) + F.lit(scale) * F.avg(tmp).over(_rows(entity, date, -(k - 1), 0)))
+    df = df.withColumn(out, F.bround(clip(out, lo, hi), digits))
     return df.drop(tmp)
 
 

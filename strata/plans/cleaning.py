@@ -7,6 +7,8 @@ orders without line items. Every plan reads whole tables.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,43 +98,43 @@ def e23_normalize_date(spark, sf):
 
 
 # ---------------------------------------------------------------- E on the raw panel
-def panel_ops(raw: DataFrame) -> dict[str, DataFrame]:
-    """Each cleaning/feature operator applied alone to the raw adapter panel."""
+def panel_ops(raw: DataFrame) -> dict[str, Callable[[], DataFrame]]:
+    """Each cleaning/feature operator applied alone to the raw adapter panel (built on demand)."""
     keys = [K, DT]
     out = {
-        "null_audit": C.null_audit(raw),
-        "recompute_missing_ratio": C.recompute_missing_ratio(raw, "positive_rate", "new_cases", "new_tests")
+        "null_audit": lambda: C.null_audit(raw),
+        "recompute_missing_ratio": lambda: C.recompute_missing_ratio(raw, "positive_rate", "new_cases", "new_tests")
         .select(*keys, "positive_rate"),
-        "fill_series_gaps": C.round_to_int(C.fill_series_gaps(raw, ["icu_patients"], K, DT), ["icu_patients"])
+        "fill_series_gaps": lambda: C.round_to_int(C.fill_series_gaps(raw, ["icu_patients"], K, DT), ["icu_patients"])
         .select(*keys, "icu_patients"),
-        "round_to_int": C.round_to_int(raw.select(*keys, "stringency_index"), ["stringency_index"]),
-        "sort_panel": C.sort_panel(raw.select(*keys, "new_cases"), K, DT),
-        "fatality_rate": G.fatality_rate(raw).select(*keys, "case_fatality_rate"),
-        "per_million": G.per_million(G.per_million(raw, "total_cases", out="cases_per_million"),
+        "round_to_int": lambda: C.round_to_int(raw.select(*keys, "stringency_index"), ["stringency_index"]),
+        "sort_panel": lambda: C.sort_panel(raw.select(*keys, "new_cases"), K, DT),
+        "fatality_rate": lambda: G.fatality_rate(raw).select(*keys, "case_fatality_rate"),
+        "per_million": lambda: G.per_million(G.per_million(raw, "total_cases", out="cases_per_million"),
                                      "total_deaths", out="deaths_per_million")
         .select(*keys, "cases_per_million", "deaths_per_million"),
-        "coverage_pct": G.coverage_pct(G.coverage_pct(raw, "people_fully_vaccinated", out="vaccination_rate_pct"),
+        "coverage_pct": lambda: G.coverage_pct(G.coverage_pct(raw, "people_fully_vaccinated", out="vaccination_rate_pct"),
                                        "total_tests", out="testing_rate_pct", cap=False)
         .select(*keys, "vaccination_rate_pct", "testing_rate_pct"),
-        "rolling_mean_7": G.rolling_mean(raw, "new_cases", "new_cases_7day_avg", 7, 1, K, DT, 1)
+        "rolling_mean_7": lambda: G.rolling_mean(raw, "new_cases", "new_cases_7day_avg", 7, 1, K, DT, 1)
         .select(*keys, "new_cases_7day_avg"),
-        "growth_wow": G.growth_wow(G.rolling_mean(raw, "new_cases", "avg7", 7, 1, K, DT, 1), "avg7", "growth", 7, K, DT)
+        "growth_wow": lambda: G.growth_wow(G.rolling_mean(raw, "new_cases", "avg7", 7, 1, K, DT, 1), "avg7", "growth", 7, K, DT)
         .select(*keys, "growth"),
-        "extract_dimension": S.extract_dimension(raw),
-        "project_rename": S.project_rename(raw, columns=(K, "report_date", "new_cases", "total_cases")),
-        "cumulative_total": G.cumulative_total(raw.select(*keys, "new_cases"), {"running_cases": "new_cases"}, K, DT),
-        "lag_zero": G.lag_zero(raw.select(*keys, "new_cases"), "new_cases", 12, "lagged_cases", K, DT),
-        "elementwise_min_max": raw.select(*keys, G.elementwise_min("total_recovered", "total_cases").alias("capped"),
+        "extract_dimension": lambda: S.extract_dimension(raw),
+        "project_rename": lambda: S.project_rename(raw, columns=(K, "report_date", "new_cases", "total_cases")),
+        "cumulative_total": lambda: G.cumulative_total(raw.select(*keys, "new_cases"), {"running_cases": "new_cases"}, K, DT),
+        "lag_zero": lambda: G.lag_zero(raw.select(*keys, "new_cases"), "new_cases", 12, "lagged_cases", K, DT),
+        "elementwise_min_max": lambda: raw.select(*keys, G.elementwise_min("total_recovered", "total_cases").alias("capped"),
                                           G.elementwise_max("new_deaths", "new_tests").alias("wider")),
-        "active_balance": G.active_balance(raw.select(*keys, "total_cases", "total_deaths", "total_recovered"),
+        "active_balance": lambda: G.active_balance(raw.select(*keys, "total_cases", "total_deaths", "total_recovered"),
                                            out="active").select(*keys, "active"),
-        "pct_change_1": G.pct_change_1(raw.select(*keys, "new_cases"), "new_cases", "chg", K, DT),
-        "momentum_index": G.momentum_index(raw.select(*keys, "new_cases"), "new_cases", "rt", entity=K, date=DT),
-        "rolling_mean_k": G.rolling_mean(raw, "new_cases", "avg3", 3, 1, K, DT).select(*keys, "avg3"),
-        "rolling_mean_full": G.rolling_mean(raw, "new_cases", "avg7_full", 7, 7, K, DT).select(*keys, "avg7_full"),
-        "share_of_entity_max": G.share_of_entity_max(raw.select(*keys, "new_cases"), "new_cases", "share_max", K),
-        "share_of_entity_total": G.share_of_entity_total(raw.select(*keys, "new_cases"), "new_cases", "share_total", K),
-        "per_capita_share": G.share_to_count(
+        "pct_change_1": lambda: G.pct_change_1(raw.select(*keys, "new_cases"), "new_cases", "chg", K, DT),
+        "momentum_index": lambda: G.momentum_index(raw.select(*keys, "new_cases"), "new_cases", "rt", entity=K, date=DT),
+        "rolling_mean_k": lambda: G.rolling_mean(raw, "new_cases", "avg3", 3, 1, K, DT).select(*keys, "avg3"),
+        "rolling_mean_full": lambda: G.rolling_mean(raw, "new_cases", "avg7_full", 7, 7, K, DT).select(*keys, "avg7_full"),
+        "share_of_entity_max": lambda: G.share_of_entity_max(raw.select(*keys, "new_cases"), "new_cases", "share_max", K),
+        "share_of_entity_total": lambda: G.share_of_entity_total(raw.select(*keys, "new_cases"), "new_cases", "share_total", K),
+        "per_capita_share": lambda: G.share_to_count(
             G.per_capita_share(raw.select(*keys, "people_fully_vaccinated", "population"),
                                "people_fully_vaccinated", out="share"), "share", out="back_to_count")
         .select(*keys, "share", "back_to_count"),

@@ -28,7 +28,7 @@ def _p(spark, sf):
 
 
 def _raw_op(name):
-    return lambda spark, sf: CL.panel_ops(_p(spark, sf).raw)[name]
+    return lambda spark, sf: CL.panel_ops(_p(spark, sf).raw)[name]()
 
 
 # ---------------------------------------------------------------- S1-S8
@@ -90,6 +90,28 @@ def s8_query_suite(spark, sf):
     return status
 
 
+def p9_stream_upsert(spark, sf, cutoff="1998-12-31", delta_from="1998-12-01"):
+    """P9, stream form: base and delta loads land as files; a stream merges them into a table."""
+    from pyspark.sql import types as T
+
+    from strata.streaming.upsert import start_upsert_stream
+
+    fact = _p(spark, sf).fact
+    base = new_output_path(spark, "stream-upsert")
+    cols = ["country_id", "report_date", "new_cases", "total_cases", "icu_patients"]
+    month = F.date_format("report_date", "yyyy-MM").alias("part_month")
+    loads = [(fact.where(F.col("report_date") <= F.lit(cutoff).cast("date")), 1),
+             (fact.where(F.col("report_date") >= F.lit(delta_from).cast("date")), 2)]
+    for df, load in loads:
+        df.select(*cols, F.lit(load).alias("load_id"), month).write.mode("append").parquet(f"{base}/source")
+    schema = spark.read.parquet(f"{base}/source").schema
+    q = start_upsert_stream(spark, f"{base}/source", T.StructType(schema.fields), f"{base}/table",
+                            ["country_id", "report_date"], "load_id", "part_month", f"{base}/checkpoint",
+                            )
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/table").select(*cols, "load_id")
+
+
 SPARK = {
     # sources and sinks
     "read_panel_csv": s1_read_panel_csv,
@@ -154,6 +176,7 @@ SPARK = {
     "median_vs_mean": lambda spark, sf: R.p7_median_vs_mean(_p(spark, sf).fact, _p(spark, sf).dim),
     "profile_table": lambda spark, sf: R.p8_profile_table(_p(spark, sf).fact),
     "incremental_upsert": lambda spark, sf: R.p9_demo(_p(spark, sf).fact),
+    "stream_upsert": p9_stream_upsert,
     "flow_stock_reconcile": lambda spark, sf: R.p10_flow_stock_reconcile(_p(spark, sf).fact, _p(spark, sf).dim),
 }
 for _k in ("null_audit recompute_missing_ratio fill_series_gaps round_to_int sort_panel fatality_rate per_million "
@@ -417,6 +440,9 @@ ORACLE = {
     "incremental_upsert": with_panel(
         "SELECT country_id, report_date, new_cases, total_cases, icu_patients, "
         "CASE WHEN report_date >= DATE '1998-12-01' THEN 2 ELSE 1 END AS load_id FROM fact"),
+    "stream_upsert": with_panel(
+        "SELECT country_id, report_date, new_cases, total_cases, icu_patients, "
+        "CASE WHEN report_date >= DATE '1998-12-01' THEN 2 ELSE 1 END AS load_id FROM fact"),
     "flow_stock_reconcile": with_panel(
         "SELECT d.country_name, r.sum_flow, r.last_stock, r.last_stock - r.sum_flow AS difference FROM (SELECT country_id, "
         "CAST(sum(new_cases) AS BIGINT) AS sum_flow, arg_max(total_cases, report_date) AS last_stock FROM fact GROUP BY 1) r "
