@@ -210,6 +210,37 @@ def complement_rate_proxy(df: DataFrame, level: str, coverage: str, a: float, b:
     return df.withColumn(out, F.bround(F.col(level) * rate).cast("bigint"))
 
 
+def calendar_rolling_mean(df: DataFrame, date: str, values: dict[str, str], days: int = 7,
+                          min_periods: int | None = None, keys: Sequence[str] = ()) -> DataFrame:
+    """Mean over the ``days`` calendar days ending at each row's date, ``{out: value}``.
+
+    Each row is exploded to the ``days`` dates whose frame it belongs to and the
+    frames are summed by a grouped aggregate (partial aggregation, hash-shuffled
+    on the target date): no ordered window, so a series with no partition key
+    (a global daily total) is not gathered into one task. On a dense daily series
+    this equals the ``days``-row frame; ``min_periods`` (default: ``days``) gives
+    NULL until enough observations exist, like pandas ``rolling(days)``.
+    """
+    need = days if min_periods is None else min_periods
+    t = "__target"
+    spread = df.select(*keys, F.explode(F.sequence(F.col(date), F.date_add(F.col(date), days - 1))).alias(t),
+                       *[F.col(v) for v in dict.fromkeys(values.values())])
+    aggs = []
+    for i, v in enumerate(dict.fromkeys(values.values())):
+        aggs += [F.sum(v).alias(f"__s{i}"), F.count(v).alias(f"__c{i}")]
+    frames = spread.groupBy(*keys, t).agg(*aggs)
+    j = df.join(frames.withColumnRenamed(t, date), [*keys, date], "left")
+    idx = {v: i for i, v in enumerate(dict.fromkeys(values.values()))}
+    drop = []
+    for out, v in values.items():
+        i = idx[v]
+        mean = F.col(f"__s{i}") / F.col(f"__c{i}")
+        j = j.withColumn(out, F.when(F.col(f"__c{i}") >= need, mean))
+    for i in idx.values():
+        drop += [f"__s{i}", f"__c{i}"]
+    return j.drop(*drop)
+
+
 def date_spine(entities: DataFrame, start: Column, end: Column, date: str = "report_date") -> DataFrame:
     """Every day from start to end for every entity.
 

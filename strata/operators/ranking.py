@@ -66,17 +66,33 @@ def with_row_number(df: DataFrame, order: Sequence[Column], out: str = "row_numb
     return res.drop(_PID, "__lrn", "__off_n", "__all_n")
 
 
-def with_running_sum(df: DataFrame, order: Sequence[Column], value: str, out: str,
-                     num_partitions: int | None = None, total_out: str | None = None) -> DataFrame:
-    """Running sum of ``value`` along a total order (ROWS UNBOUNDED PRECEDING..CURRENT ROW)."""
+def with_running_sums(df: DataFrame, order: Sequence[Column], sums: dict[str, str],
+                      num_partitions: int | None = None, total_suffix: str | None = None) -> DataFrame:
+    """Running sums ``{out: value}`` along a total order (ROWS UNBOUNDED PRECEDING..CURRENT ROW).
+
+    With ``total_suffix`` each ``out`` also gets ``out + total_suffix``, the grand total.
+    """
     sliced = _sliced(df, order, num_partitions)
     w = Window.partitionBy(_PID).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = sliced.withColumn("__lsum", F.sum(value).over(w))
-    offs = _offsets(local, {"v": value})
-    res = local.join(F.broadcast(offs), _PID).withColumn(out, F.col("__off_v") + F.col("__lsum"))
-    if total_out:
-        res = res.withColumn(total_out, F.col("__all_v"))
-    return res.drop(_PID, "__lsum", "__off_v", "__all_v")
+    local = sliced
+    for i, (_, value) in enumerate(sums.items()):
+        local = local.withColumn(f"__l{i}", F.sum(value).over(w))
+    offs = _offsets(local, {f"v{i}": value for i, value in enumerate(sums.values())})
+    res = local.join(F.broadcast(offs), _PID)
+    drop = [_PID]
+    for i, out in enumerate(sums):
+        res = res.withColumn(out, F.col(f"__off_v{i}") + F.col(f"__l{i}"))
+        if total_suffix:
+            res = res.withColumn(out + total_suffix, F.col(f"__all_v{i}"))
+        drop += [f"__l{i}", f"__off_v{i}", f"__all_v{i}"]
+    return res.drop(*drop)
+
+
+def with_running_sum(df: DataFrame, order: Sequence[Column], value: str, out: str,
+                     num_partitions: int | None = None, total_out: str | None = None) -> DataFrame:
+    """Running sum of one column; ``total_out`` names an optional grand-total column."""
+    res = with_running_sums(df, order, {out: value}, num_partitions, "__total" if total_out else None)
+    return res.withColumnRenamed(out + "__total", total_out) if total_out else res
 
 
 def with_ntile(df: DataFrame, order: Sequence[Column], k: int, out: str = "ntile",

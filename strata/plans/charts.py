@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from strata.operators.features import calendar_rolling_mean
 from strata.operators.ranking import with_running_sum
 from strata.operators.snapshot import latest_snapshot, monthly_summary
 from strata.plans.questions import q10_group_ratio_of_sums
@@ -17,14 +17,12 @@ E, D = "country_id", "report_date"
 def c1_global_trend_7d(fact, k: int = 7):
     """Global daily sums with full-window k-day means (NULL until k days exist).
 
-    The window runs on one row per calendar day (bounded by the date range).
+    The panel is dense (one row per entity and day), so the k-row frame of the
+    daily series is the k-calendar-day frame computed by ``calendar_rolling_mean``.
     """
     daily = fact.groupBy(D).agg(F.sum("new_cases").alias("new_cases"), F.sum("new_deaths").alias("new_deaths"))
-    w = Window.orderBy(D).rowsBetween(-(k - 1), 0)
-    full = F.count(F.lit(1)).over(w) >= k
-    return daily.select(D, "new_cases", "new_deaths",
-                        F.when(full, F.avg("new_cases").over(w)).alias("cases_7d"),
-                        F.when(full, F.avg("new_deaths").over(w)).alias("deaths_7d"))
+    return calendar_rolling_mean(daily, D, {"cases_7d": "new_cases", "deaths_7d": "new_deaths"}, k) \
+        .select(D, "new_cases", "new_deaths", "cases_7d", "deaths_7d")
 
 
 def c2_pareto_curve(fact, dim, n: int = 15):

@@ -121,6 +121,7 @@ def panel_ops(raw: DataFrame) -> dict[str, Callable[[], DataFrame]]:
         "growth_wow": lambda: G.growth_wow(G.rolling_mean(raw, "new_cases", "avg7", 7, 1, K, DT, 1), "avg7", "growth", 7, K, DT)
         .select(*keys, "growth"),
         "extract_dimension": lambda: S.extract_dimension(raw),
+        "attribute_drift": lambda: S.attribute_drift(raw),
         "project_rename": lambda: S.project_rename(raw, columns=(K, "report_date", "new_cases", "total_cases")),
         "cumulative_total": lambda: G.cumulative_total(raw.select(*keys, "new_cases"), {"running_cases": "new_cases"}, K, DT),
         "lag_zero": lambda: G.lag_zero(raw.select(*keys, "new_cases"), "new_cases", 12, "lagged_cases", K, DT),

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.expr import bucket, month_key, pct, year_key
-from strata.operators.ranking import with_group_rank, with_ntile
+from strata.operators.ranking import with_group_rank, with_ntile, with_running_sums
 from strata.operators.snapshot import latest_snapshot, monthly_summary
 
 E, D = "country_id", "report_date"
@@ -34,14 +34,13 @@ def q01_top_per_million(fact, dim, n=10):
 def q02_global_running_total(fact, n=10):
     """Daily sums, then running totals along the date axis.
 
-    The un-partitioned window runs on the per-date aggregate: one row per
-    calendar day, bounded by the date range, not by data volume.
+    The running sums use the two-phase global prefix (range slices + offsets),
+    not ``SUM() OVER (ORDER BY date)``, which would put the series in one task.
     """
     daily = fact.groupBy(D).agg(F.sum("new_cases").alias("new_cases"), F.sum("new_deaths").alias("new_deaths"))
-    w = Window.orderBy(D)
-    return (daily.select(D, F.sum("new_cases").over(w).alias("running_total_cases"),
-                         F.sum("new_deaths").over(w).alias("running_total_deaths"))
-            .orderBy(F.col(D).desc()).limit(n))
+    run = with_running_sums(daily, [F.col(D)], {"running_total_cases": "new_cases",
+                                                "running_total_deaths": "new_deaths"})
+    return run.select(D, "running_total_cases", "running_total_deaths").orderBy(F.col(D).desc()).limit(n)
 
 
 def q03_rank_in_group(fact, dim, n=20):
@@ -202,8 +201,19 @@ def q17_peak_day(fact, dim, n=10):
     return peak_rows(fact, dim).orderBy(F.col("peak_new_cases").desc(), "country_name", "peak_date").limit(n)
 
 
-def q18_stringency_cohorts(fact, edges=(40, 65), labels=("1. Low stringency", "2. Medium stringency", "3. High stringency")):
-    f = fact.where(F.col("case_growth_wow_pct").isNotNull())
+def q18_stringency_cohorts(fact, edges=(40, 65), labels=("1. Low stringency", "2. Medium stringency", "3. High stringency"),
+                           lead_days: int = 0):
+    """Mean growth per stringency bucket over entity-days with known growth.
+
+    ``lead_days=0`` is the reference's same-day comparison; ``lead_days=n``
+    pairs each day's stringency with the growth ``n`` rows (days) later in the
+    same entity's series (the "following month" the question asks about).
+    """
+    f = fact
+    if lead_days:
+        w = Window.partitionBy(E).orderBy(D)
+        f = f.withColumn("case_growth_wow_pct", F.lead("case_growth_wow_pct", lead_days).over(w))
+    f = f.where(F.col("case_growth_wow_pct").isNotNull())
     return f.groupBy(bucket("stringency_index", edges, labels).alias("stringency_bucket")).agg(
         F.round(_dec_avg("case_growth_wow_pct", 2), 2).alias("avg_wow_case_growth_pct"),
         F.count(F.lit(1)).alias("n_observations")).orderBy("stringency_bucket")

@@ -180,7 +180,7 @@ SPARK = {
     "flow_stock_reconcile": lambda spark, sf: R.p10_flow_stock_reconcile(_p(spark, sf).fact, _p(spark, sf).dim),
 }
 for _k in ("null_audit recompute_missing_ratio fill_series_gaps round_to_int sort_panel fatality_rate per_million "
-           "coverage_pct rolling_mean_7 growth_wow extract_dimension project_rename cumulative_total lag_zero "
+           "coverage_pct rolling_mean_7 growth_wow extract_dimension attribute_drift project_rename cumulative_total lag_zero "
            "elementwise_min_max active_balance pct_change_1 momentum_index rolling_mean_k rolling_mean_full "
            "share_of_entity_max share_of_entity_total per_capita_share").split():
     SPARK[_k] = _raw_op(_k)
@@ -304,6 +304,9 @@ ORACLE = {
     "extract_dimension": _raw(
         "SELECT country AS country_name, continent, population, median_age, gdp_per_capita, life_expectancy FROM raw "
         "QUALIFY row_number() OVER (PARTITION BY country ORDER BY date) = 1"),
+    "attribute_drift": _raw(
+        "SELECT country, count(DISTINCT (continent, population, median_age, gdp_per_capita, life_expectancy)) AS n_versions "
+        "FROM raw GROUP BY country HAVING count(DISTINCT (continent, population, median_age, gdp_per_capita, life_expectancy)) > 1"),
     "project_rename": _raw("SELECT country_id, date AS report_date, new_cases, total_cases FROM raw"),
     "cumulative_total": _raw(
         f"SELECT country_id, date, new_cases, CAST(sum(new_cases) OVER ({W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) "
