@@ -55,3 +55,18 @@ def release(spark: SparkSession) -> None:
         p = _CACHE.pop(k)
         for df in (p.raw, p.fact, p.dim):
             df.unpersist()
+
+
+_USER_CACHE: dict[tuple[str, str], DataFrame] = {}
+
+
+def user_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The user x day panel (``sources.events_adapter``), persisted once per session and folder."""
+    from strata.sources.events_adapter import build_user_panel
+
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    p = _USER_CACHE.get(key)
+    if p is None:
+        p = build_user_panel(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+        _USER_CACHE[key] = p
+    return p
