@@ -76,9 +76,7 @@ def dedupe_keep_first_window(df: DataFrame, keys: Sequence[str], order: Sequence
 # ---------------------------------------------------------------- E5-E7
 def floor_negatives(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """E5: clip below at 0, NULL kept."""
-    for c in columns:
-        df = df.withColumn(c, clip(c, lo=0))
-    return df
+    return df.withColumns({c: clip(c, lo=0) for c in columns})
 
 
 def negative_audit(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -116,17 +114,14 @@ def fill_series_gaps(df: DataFrame, columns: Sequence[str], entity: str, date: s
     w = feat.series_window(entity, date)
     back = w.rowsBetween(Window.unboundedPreceding, 0)
     ahead = w.rowsBetween(0, Window.unboundedFollowing)
-    for c in columns:
-        df = df.withColumn(c, F.coalesce(F.last(c, ignorenulls=True).over(back),
-                                         F.first(c, ignorenulls=True).over(ahead), F.lit(default)))
-    return df
+    return df.withColumns({c: F.coalesce(F.last(c, ignorenulls=True).over(back),
+                                         F.first(c, ignorenulls=True).over(ahead), F.lit(default))
+                           for c in columns})
 
 
 def round_to_int(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Half-even to an integer (BIGINT)."""
-    for c in columns:
-        df = df.withColumn(c, F.bround(F.col(c)).cast("bigint"))
-    return df
+    return df.withColumns({c: F.bround(F.col(c)).cast("bigint") for c in columns})
 
 
 def sort_panel(df: DataFrame, entity: str, date: str, num_partitions: int | None = None) -> DataFrame:

@@ -81,9 +81,7 @@ def cumulative_total(df: DataFrame, columns: dict[str, str], entity: str = "coun
                      date: str = "report_date") -> DataFrame:
     """G1: running sum per entity, ``{out: flow}``."""
     w = _rows(entity, date, Window.unboundedPreceding, 0)
-    for out, flow in columns.items():
-        df = df.withColumn(out, F.sum(flow).over(w))
-    return df
+    return df.withColumns({out: F.sum(flow).over(w) for out, flow in columns.items()})
 
 
 def lag_zero(df: DataFrame, value: str, k: int, out: str, entity: str = "country_id",

@@ -62,13 +62,18 @@ LEADER_KPIS = (
 
 
 def r5_kpi_leaders(fact, dim, kpis=LEADER_KPIS, as_of=None):
-    """Entities at each KPI's extreme; ties are all listed (equality with a scalar subquery)."""
+    """Entities at each KPI's extreme; ties are all listed.
+
+    All extremes come from one aggregate (a single scalar subquery returning a
+    struct); each KPI keeps the rows equal to its field.
+    """
     v = latest_snapshot(fact, dim, as_of=as_of, columns=SNAP_COLS)
+    ext = v.select(F.struct(*[(F.max if how == "max" else F.min)(col).alias(label)
+                              for label, col, how in kpis])).scalar()
     out = None
-    for label, col, how in kpis:
-        ext = v.select((F.max if how == "max" else F.min)(col)).scalar()
-        part = v.where(F.col(col) == ext).select(F.lit(label).alias("kpi"), "country_name",
-                                                 F.col(col).cast("double").alias("value"))
+    for label, col, _ in kpis:
+        part = v.where(F.col(col) == ext.getField(label)).select(
+            F.lit(label).alias("kpi"), "country_name", F.col(col).cast("double").alias("value"))
         out = part if out is None else out.unionByName(part)
     return out
 

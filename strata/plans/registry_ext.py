@@ -47,7 +47,7 @@ def s2_write_panel(spark, sf):
 def s3_create_star_tables(spark, sf):
     p = _p(spark, sf)
     paths = io.create_star_tables(spark, p.fact, p.dim, new_output_path(spark, "star"))
-    return spark.read.parquet(paths["covid_facts"])
+    return spark.read.parquet(paths["panel_facts"])
 
 
 def s4_append_table(spark, sf, cutoff="1998-12-31"):
@@ -62,13 +62,13 @@ def s4_append_table(spark, sf, cutoff="1998-12-31"):
 def s5_scan_table(spark, sf):
     p = _p(spark, sf)
     io.register_views(spark, p.fact, p.dim)
-    return io.scan_table(spark, "SELECT * FROM vw_country_latest")
+    return io.scan_table(spark, "SELECT * FROM vw_latest_snapshot")
 
 
 def s6_register_views(spark, sf):
     p = _p(spark, sf)
     io.register_views(spark, p.fact, p.dim)
-    return io.scan_table(spark, "vw_monthly_country_summary")
+    return io.scan_table(spark, "vw_monthly_summary")
 
 
 def s7_full_rebuild(spark, sf):
@@ -78,7 +78,7 @@ def s7_full_rebuild(spark, sf):
         b = build_panel(spark, sf)
         return b.fact, b.dim
     io.full_rebuild(spark, build, new_output_path(spark, "rebuild"))
-    return io.scan_table(spark, "countries")
+    return io.scan_table(spark, "entities")
 
 
 def s8_query_suite(spark, sf):

@@ -74,7 +74,7 @@ def write_panel(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 
 
 def create_star_tables(spark: SparkSession, fact: DataFrame, dim: DataFrame, base: str,
-                       fact_name: str = "covid_facts", dim_name: str = "countries") -> dict[str, str]:
+                       fact_name: str = "panel_facts", dim_name: str = "entities") -> dict[str, str]:
     """S3: write dimension and fact with the declared types and register them by name."""
     paths = {dim_name: f"{base}/{dim_name}", fact_name: f"{base}/{fact_name}"}
     write_panel(conform(dim, DIM_SCHEMA), paths[dim_name])
@@ -96,14 +96,14 @@ def scan_table(spark: SparkSession, name_or_sql: str) -> DataFrame:
 
 
 def register_views(spark: SparkSession, fact: DataFrame, dim: DataFrame,
-                   fact_name: str = "covid_facts", dim_name: str = "countries") -> list[str]:
+                   fact_name: str = "panel_facts", dim_name: str = "entities") -> list[str]:
     """(re)create the tables' views and the three analytical views."""
     views = {
         fact_name: fact,
         dim_name: dim,
-        "vw_country_latest": snap.latest_snapshot(fact, dim),
-        "vw_monthly_country_summary": snap.monthly_summary(fact, dim),
-        "vw_continent_daily": snap.group_daily(fact, dim),
+        "vw_latest_snapshot": snap.latest_snapshot(fact, dim),
+        "vw_monthly_summary": snap.monthly_summary(fact, dim),
+        "vw_group_daily": snap.group_daily(fact, dim),
     }
     for name, df in views.items():
         df.createOrReplaceTempView(name)
@@ -114,8 +114,8 @@ def full_rebuild(spark: SparkSession, build: Callable[[], tuple[DataFrame, DataF
     """Build into a fresh version folder; repoint the views only after both writes succeed."""
     fact, dim = build()
     version = f"{base}/v-{uuid.uuid4().hex[:12]}"
-    paths = {"countries": f"{version}/countries", "covid_facts": f"{version}/covid_facts"}
-    write_panel(conform(dim, DIM_SCHEMA), paths["countries"])
-    write_panel(conform(fact, FACT_SCHEMA), paths["covid_facts"])
-    register_views(spark, spark.read.parquet(paths["covid_facts"]), spark.read.parquet(paths["countries"]))
+    paths = {"entities": f"{version}/entities", "panel_facts": f"{version}/panel_facts"}
+    write_panel(conform(dim, DIM_SCHEMA), paths["entities"])
+    write_panel(conform(fact, FACT_SCHEMA), paths["panel_facts"])
+    register_views(spark, spark.read.parquet(paths["panel_facts"]), spark.read.parquet(paths["entities"]))
     return paths

@@ -26,13 +26,13 @@ def test_csv_roundtrip_and_corrupt_rows(spark, tmp_out):
 def test_star_tables_append_and_rebuild(spark, tmp_out):
     p = panel(spark, SF_SMALL)
     paths = io.create_star_tables(spark, p.fact, p.dim, f"{tmp_out}/star")
-    got = [(f.name, f.dataType) for f in spark.read.parquet(paths["countries"]).schema.fields]
+    got = [(f.name, f.dataType) for f in spark.read.parquet(paths["entities"]).schema.fields]
     assert got == [(f.name, f.dataType) for f in io.DIM_SCHEMA.fields]
-    assert io.scan_table(spark, "covid_facts").count() == p.fact.count()
-    io.append_table(io.conform(p.fact.limit(3), io.FACT_SCHEMA), paths["covid_facts"])
-    assert spark.read.parquet(paths["covid_facts"]).count() == p.fact.count() + 3
+    assert io.scan_table(spark, "panel_facts").count() == p.fact.count()
+    io.append_table(io.conform(p.fact.limit(3), io.FACT_SCHEMA), paths["panel_facts"])
+    assert spark.read.parquet(paths["panel_facts"]).count() == p.fact.count() + 3
     views = io.register_views(spark, p.fact, p.dim)
-    assert "vw_country_latest" in views and io.scan_table(spark, "SELECT count(*) FROM vw_country_latest").first()[0] == 25
+    assert "vw_latest_snapshot" in views and io.scan_table(spark, "SELECT count(*) FROM vw_latest_snapshot").first()[0] == 25
 
     def failing():
         raise RuntimeError("build failed")
@@ -42,7 +42,7 @@ def test_star_tables_append_and_rebuild(spark, tmp_out):
     except RuntimeError:
         pass
     # the failed build left the views on the first version
-    assert io.scan_table(spark, "countries").inputFiles()[0].find(first["countries"].split("/")[-2]) >= 0
+    assert io.scan_table(spark, "entities").inputFiles()[0].find(first["entities"].split("/")[-2]) >= 0
 
 
 def test_suite_records_failures(spark):
