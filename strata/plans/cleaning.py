@@ -12,11 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.expr import clip, md5_fraction_below
+from strata.functions.expr import md5_fraction_below
 from strata.operators import clean as C
 from strata.operators import features as G
 from strata.operators import star as S
-from strata.operators.ranking import with_row_number
 from strata.sources.tables import read_table
 
 K, DT = "country_id", "date"
@@ -211,5 +210,3 @@ def p3_duplicates(spark, sf):
     li = _t(spark, sf, "lineitem", LINEITEM_KEY)
     return li.groupBy(*LINEITEM_KEY).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
-
-__all__ = ["clip", "with_row_number"]

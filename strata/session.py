@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -53,8 +52,4 @@ def new_output_path(spark: SparkSession, name: str) -> str:
     return f"{base}/strata-out/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(p: str) -> str:
-    return p[len("file:"):] if p.startswith("file:") else p
-
-
-__all__ = ["local_session", "shared_dir", "new_output_path", "local_path", "os"]
+__all__ = ["local_session", "shared_dir", "new_output_path"]

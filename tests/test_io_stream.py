@@ -92,7 +92,6 @@ def test_upsert_batch_is_idempotent(spark, tmp_out):
 
 
 def test_partitioned_write_prunes(spark, tmp_out):
-    from .conftest import SF_SMALL as sf  # noqa: F401
     fact = panel(spark, SF_SMALL).fact.withColumn("report_year", F.year("report_date"))
     io.write_panel(fact, f"{tmp_out}/py", partition_by=["report_year"])
     q = spark.read.parquet(f"{tmp_out}/py").where("report_year = 1996")
