@@ -64,18 +64,17 @@ LEADER_KPIS = (
 def r5_kpi_leaders(fact, dim, kpis=LEADER_KPIS, as_of=None):
     """Entities at each KPI's extreme; ties are all listed.
 
-    All extremes come from one aggregate (a single scalar subquery returning a
-    struct); each KPI keeps the rows equal to its field.
+    The snapshot is turned into one long (kpi, entity, value) frame; the
+    extremes are a grouped aggregate on it joined back by KPI, so the snapshot
+    is computed once and no per-KPI branch rescans it.
     """
     v = latest_snapshot(fact, dim, as_of=as_of, columns=SNAP_COLS)
-    ext = v.select(F.struct(*[(F.max if how == "max" else F.min)(col).alias(label)
-                              for label, col, how in kpis])).scalar()
-    out = None
-    for label, col, _ in kpis:
-        part = v.where(F.col(col) == ext.getField(label)).select(
-            F.lit(label).alias("kpi"), "country_name", F.col(col).cast("double").alias("value"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    items = [F.struct(F.lit(label).alias("kpi"), F.col(col).cast("double").alias("value"),
+                      F.lit(how == "max").alias("is_max")) for label, col, how in kpis]
+    long = v.select("country_name", F.explode(F.array(*items)).alias("x")).select("country_name", "x.*")
+    ext = long.groupBy("kpi").agg(F.max("value").alias("__mx"), F.min("value").alias("__mn"))
+    hit = F.when(F.col("is_max"), F.col("value") == F.col("__mx")).otherwise(F.col("value") == F.col("__mn"))
+    return long.join(ext, "kpi").where(hit).select("kpi", "country_name", "value")
 
 
 def r6_kpi_table(fact, dim, as_of=None):

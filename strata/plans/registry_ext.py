@@ -76,11 +76,9 @@ def s6_register_views(spark, sf):
 
 
 def s7_full_rebuild(spark, sf):
-    from strata.plans.panel import build_panel
-
     def build():
-        b = build_panel(spark, sf)
-        return b.fact, b.dim
+        p = _p(spark, sf)
+        return p.fact, p.dim
     io.full_rebuild(spark, build, new_output_path(spark, "rebuild"))
     return io.scan_table(spark, "entities")
 

@@ -27,8 +27,11 @@ def run_suite(spark: SparkSession, named: Mapping[str, Callable[[], DataFrame]],
             if out_dir:
                 df.write.mode("overwrite").parquet(f"{out_dir}/{name}")
                 df = spark.read.parquet(f"{out_dir}/{name}")
+            else:
+                df = df.persist()  # counted and sampled from one execution
             n = df.count()
             samples[name] = df.limit(sample).collect()
+            df.unpersist()
             status.append((name, True, n, None))
         except Exception as e:  # noqa: BLE001 - a failed query is recorded, the suite goes on
             status.append((name, False, None, f"{type(e).__name__}: {str(e)[:500]}"))
