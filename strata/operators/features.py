@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.expr import clip, col, lookup, safe_div
-from strata.operators.ranking import with_row_number
+from strata.operators.ranking import with_row_number, with_running_sums
 
 
 def series_window(entity: str | Sequence[str], date: str) -> Window:
@@ -78,8 +78,17 @@ def growth_wow(df: DataFrame, value: str, out: str = "case_growth_wow_pct", peri
 
 # ---------------------------------------------------------------- G1-G15
 def cumulative_total(df: DataFrame, columns: dict[str, str], entity: str = "country_id",
-                     date: str = "report_date") -> DataFrame:
-    """G1: running sum per entity, ``{out: flow}``."""
+                     date: str = "report_date", long_series: bool = False) -> DataFrame:
+    """G1: running sum per entity, ``{out: flow}``.
+
+    ``long_series=True`` is for input not at the (entity, day) grain, where one
+    entity can hold a large share of all rows: the series is cut into range
+    slices, each slice sums locally, and the carry of earlier slices of the
+    same entity is added (``ranking.with_running_sums(by=...)``). ``(entity,
+    date)`` must then be unique.
+    """
+    if long_series:
+        return with_running_sums(df, [F.col(date)], columns, by=[entity])
     w = _rows(entity, date, Window.unboundedPreceding, 0)
     return df.withColumns({out: F.sum(flow).over(w) for out, flow in columns.items()})
 

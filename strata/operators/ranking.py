@@ -41,12 +41,18 @@ def _sliced(df: DataFrame, order: Sequence[Column], num_partitions: int | None)
     return sliced.checkpoint(eager=True)
 
 
-def _offsets(local: DataFrame, sums: dict[str, str]) -> DataFrame:
-    """Per-slice exclusive prefix of each measure; at most num_partitions rows."""
+def _offsets(local: DataFrame, sums: dict[str, str], by: Sequence[str] = ()) -> DataFrame:
+    """Per-slice (per group) exclusive prefix of each measure.
+
+    Without ``by``: one row per slice. With ``by``: one row per (slice, group);
+    a group's prefix runs over the slices it spans, at most ``num_partitions``
+    rows, so even a group holding most of the data has a tiny carry window.
+    """
     aggs = [F.sum(src).alias(f"__tot_{name}") for name, src in sums.items()]
-    per = local.groupBy(_PID).agg(*aggs)
-    w = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    wall = Window.partitionBy(F.lit(1))
+    per = local.groupBy(_PID, *by).agg(*aggs)
+    part = [F.col(b) for b in by] or [F.lit(1)]
+    w = Window.partitionBy(*part).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    wall = Window.partitionBy(*part)
     out = per
     for name in sums:
         out = out.withColumn(f"__off_{name}", F.coalesce(F.sum(f"__tot_{name}").over(w), F.lit(0)))
@@ -54,31 +60,43 @@ def _offsets(local: DataFrame, sums: dict[str, str]) -> DataFrame:
     return out.drop(*[f"__tot_{n}" for n in sums])
 
 
+def _attach(local: DataFrame, offs: DataFrame, by: Sequence[str]) -> DataFrame:
+    # without groups the offset table has one row per slice: broadcast it
+    return local.join(F.broadcast(offs), _PID) if not by else local.join(offs, [_PID, *by])
+
+
 def with_row_number(df: DataFrame, order: Sequence[Column], out: str = "row_number",
-                    num_partitions: int | None = None, total_out: str | None = None) -> DataFrame:
-    """1-based position in ``order``; ``order`` must be a total order (end it with a unique key)."""
-    sliced = _sliced(df, order, num_partitions)
-    local = sliced.withColumn("__lrn", F.row_number().over(Window.partitionBy(_PID).orderBy(*order)))
-    offs = _offsets(local.withColumn("__one", F.lit(1)), {"n": "__one"})
-    res = local.join(F.broadcast(offs), _PID).withColumn(out, (F.col("__off_n") + F.col("__lrn")).cast("bigint"))
+                    num_partitions: int | None = None, total_out: str | None = None,
+                    by: Sequence[str] = ()) -> DataFrame:
+    """1-based position in ``order`` (within each ``by`` group); ``order`` must be a
+    total order within the group (end it with a unique key)."""
+    full = [F.col(b) for b in by] + list(order)
+    sliced = _sliced(df, full, num_partitions)
+    local = sliced.withColumn("__lrn", F.row_number().over(Window.partitionBy(_PID, *by).orderBy(*order)))
+    offs = _offsets(local.withColumn("__one", F.lit(1)), {"n": "__one"}, by)
+    res = _attach(local, offs, by).withColumn(out, (F.col("__off_n") + F.col("__lrn")).cast("bigint"))
     if total_out:
         res = res.withColumn(total_out, F.col("__all_n").cast("bigint"))
     return res.drop(_PID, "__lrn", "__off_n", "__all_n")
 
 
 def with_running_sums(df: DataFrame, order: Sequence[Column], sums: dict[str, str],
-                      num_partitions: int | None = None, total_suffix: str | None = None) -> DataFrame:
-    """Running sums ``{out: value}`` along a total order (ROWS UNBOUNDED PRECEDING..CURRENT ROW).
-
-    With ``total_suffix`` each ``out`` also gets ``out + total_suffix``, the grand total.
+                      num_partitions: int | None = None, total_suffix: str | None = None,
+                      by: Sequence[str] = ()) -> DataFrame:
+    """Running sums ``{out: value}`` along a total order (ROWS UNBOUNDED PRECEDING..CURRENT ROW),
+    restarting for each ``by`` group.
+
+    With ``by`` this is the per-entity running total for series too long for one
+    task: each range slice sums its part of the series, and the carry from the
+    earlier slices of the same entity is added. With ``total_suffix`` each
+    ``out`` also gets ``out + total_suffix``, the (group) grand total.
     """
-    sliced = _sliced(df, order, num_partitions)
-    w = Window.partitionBy(_PID).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = sliced
-    for i, (_, value) in enumerate(sums.items()):
-        local = local.withColumn(f"__l{i}", F.sum(value).over(w))
-    offs = _offsets(local, {f"v{i}": value for i, value in enumerate(sums.values())})
-    res = local.join(F.broadcast(offs), _PID)
+    full = [F.col(b) for b in by] + list(order)
+    sliced = _sliced(df, full, num_partitions)
+    w = Window.partitionBy(_PID, *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = sliced.withColumns({f"__l{i}": F.sum(value).over(w) for i, value in enumerate(sums.values())})
+    offs = _offsets(local, {f"v{i}": value for i, value in enumerate(sums.values())}, by)
+    res = _attach(local, offs, by)
     drop = [_PID]
     for i, out in enumerate(sums):
         res = res.withColumn(out, F.col(f"__off_v{i}") + F.col(f"__l{i}"))

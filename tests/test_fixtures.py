@@ -151,3 +151,32 @@ def test_row_audit_observation(spark):
     df, obs = C.row_audit(spark.range(123), "rows_in")
     df.count()
     assert obs.get["rows"] == 123
+
+
+def test_grouped_running_sums_on_a_hot_entity(spark):
+    # entity 0 holds most rows; 7 slices cut through it
+    df = spark.range(4000).select((F.when(F.col("id") < 3000, 0).otherwise(F.col("id") % 5 + 1)).alias("e"),
+                                  F.col("id").alias("t"), (F.col("id") % 13).alias("x"))
+    w = Window.partitionBy("e").orderBy("t")
+    ref = df.select("e", "t", F.sum("x").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("s0"),
+                    F.row_number().over(w).alias("n0"))
+    mine = RK.with_running_sums(df, [F.col("t")], {"s1": "x"}, 7, by=["e"])
+    mine = RK.with_row_number(mine, [F.col("t")], "n1", 5, by=["e"])
+    j = ref.join(mine, ["e", "t"])
+    assert j.count() == 4000 and j.where("s0 != s1 or n0 != n1").count() == 0
+
+
+def test_calendar_rolling_mean_equals_row_frame_on_dense_panel(spark):
+    rows = [(e, d, (i * 7 + e) % 11) for e in (1, 2) for i, d in enumerate(days(20))]
+    df = spark.createDataFrame(rows, "e long, d date, x long")
+    a = G.rolling_mean(df, "x", "m", 7, 7, "e", "d")
+    b = G.calendar_rolling_mean(df, "d", {"m2": "x"}, 7, keys=["e"])
+    j = a.join(b.select("e", "d", "m2"), ["e", "d"])
+    assert j.count() == 40 and j.where("NOT (m <=> m2)").count() == 0
+
+
+def test_cumulative_total_long_series_option(spark):
+    df = spark.createDataFrame([(e, d, i + e) for e in (1, 2) for i, d in enumerate(days(9))], "e long, d date, x long")
+    a = G.cumulative_total(df, {"c": "x"}, "e", "d").select("e", "d", "c")
+    b = G.cumulative_total(df, {"c": "x"}, "e", "d", long_series=True).select("e", "d", "c")
+    assert sorted(a.collect()) == sorted(b.collect())
