@@ -116,7 +116,25 @@ def p9_stream_upsert(spark, sf, cutoff="1998-12-31", delta_from="1998-12-01"):
     return spark.read.parquet(f"{base}/table").select(*cols, "load_id")
 
 
+def reference_workflow(spark, sf):
+    """The raw-CSV workflow end to end: the panel is written in the raw daily layout, then read,
+    cleaned (title-cased names, keep-first dedupe by file order, fills, derived columns),
+    validated and split into star tables; the result is the fact with the entity name."""
+    from strata.plans import workflow as WF
+
+    raw = _p(spark, sf).raw
+    cols = [(F.col(n) if n in raw.columns else F.lit(None).cast(t)).alias(n) for n, t in WF.RAW_CSV_COLUMNS]
+    path = new_output_path(spark, "raw-csv")
+    io.write_panel(raw.select(*cols), path, fmt="csv")
+    clean, report = WF.clean_raw(WF.read_raw_csv(spark, path))
+    C.assert_valid(report)
+    fact, dim = WF.build_star(clean)
+    keep = [c for c in S.FACT_COLUMNS if c != "country_id"]
+    return fact.join(dim.select("country_id", "country_name"), "country_id").select("country_name", *keep)
+
+
 SPARK = {
+    "reference_workflow": reference_workflow,
     # sources and sinks
     "read_panel_csv": s1_read_panel_csv,
     "write_panel": s2_write_panel,
@@ -227,6 +245,10 @@ Q23_SQL = ("k AS (SELECT sum(total_cases) AS global_total_cases, sum(total_death
 MONTHS = ", ".join(f"CAST(sum(CASE WHEN mo = {m} THEN c END) AS BIGINT) AS m{m:02d}" for m in range(1, 13))
 
 ORACLE = {
+    "reference_workflow": with_panel(
+        f"SELECT {title_sql('d.country_name')} AS country_name, "
+        + ", ".join(f"f.{c}" for c in FACT_SELECT.split(", ") if c != "country_id")
+        + " FROM fact f JOIN dim d ON d.country_id = f.country_id"),
     "query_suite": " UNION ALL ".join(
         f"SELECT '{n}' AS name, true AS ok, (SELECT count(*) FROM ({CORE_ORACLE[n]})) AS n_rows, "
         "CAST(NULL AS VARCHAR) AS error" for n in SUITE),
