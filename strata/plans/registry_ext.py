@@ -127,6 +127,8 @@ def reference_workflow(spark, sf):
     path = new_output_path(spark, "raw-csv")
     io.write_panel(raw.select(*cols), path, fmt="csv")
     clean, report = WF.clean_raw(WF.read_raw_csv(spark, path))
+    clean = clean.persist()  # read by the validation, the dimension and the fact
+    report = C.validate_panel(clean, entity="country", date="date")
     C.assert_valid(report)
     fact, dim = WF.build_star(clean)
     keep = [c for c in S.FACT_COLUMNS if c != "country_id"]

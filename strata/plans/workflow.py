@@ -4,7 +4,8 @@ This is the path a user with a raw entity x day extract takes:
 
     raw = read_raw_csv(spark, "s3://.../raw/*.csv")
     clean, report = clean_raw(raw)
-    assert_valid(report)                      # the one step that raises
+    clean = clean.persist()                   # validation, dimension and fact all read it
+    assert_valid(validate_panel(clean, "country", "date"))   # the one step that raises
     fact, dim = build_star(clean)
     create_star_tables(spark, fact, dim, base); register_views(spark, fact, dim)
     status, samples = run_questions(spark, fact, dim)
