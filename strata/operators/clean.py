@@ -196,7 +196,7 @@ def sanity_metrics(fact: DataFrame, dim: DataFrame, entity: str = "country_id",
                  " 'min_date', min_date, 'max_date', max_date) as (label, value)")
 
 
-def clean_pipeline(raw: DataFrame, entity: str = "country", date: str = "date", *,
+def clean_panel(raw: DataFrame, entity: str = "country", date: str = "date", *,
                    names: bool = True, dedupe_order: Sequence[str] | None = None,
                    population: str = "population") -> DataFrame:
     """E1 -> E4 -> E5 -> E8 -> E9/E10 -> E12..E16 on a raw panel.

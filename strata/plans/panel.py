@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.operators.clean import clean_pipeline
+from strata.operators.clean import clean_panel
 from strata.operators.star import project_rename
 from strata.sources.adapter import build_dimension, build_raw_panel
 
@@ -31,7 +31,7 @@ _CACHE: dict[tuple[str, str], Panel] = {}
 def build_panel(spark: SparkSession, sf_dir: str) -> Panel:
     dim = build_dimension(spark, sf_dir)
     raw = build_raw_panel(spark, sf_dir, dim)
-    clean = clean_pipeline(raw, entity="country_id", date="date", names=False)
+    clean = clean_panel(raw, entity="country_id", date="date", names=False)
     fact = project_rename(clean)
     return Panel(raw=raw, fact=fact, dim=dim)
 

@@ -162,8 +162,8 @@ SPARK = {
     "validate_panel": lambda spark, sf: C.validate_panel(_p(spark, sf).fact, "country_id", "report_date"),
     "constraint_checks": lambda spark, sf: C.constraint_checks(_p(spark, sf).fact, _p(spark, sf).dim),
     "sanity_metrics": lambda spark, sf: C.sanity_metrics(_p(spark, sf).fact, _p(spark, sf).dim),
-    "clean_pipeline": lambda spark, sf: S.project_rename(
-        C.clean_pipeline(_p(spark, sf).raw, entity="country_id", date="date", names=False)),
+    "clean_panel": lambda spark, sf: S.project_rename(
+        C.clean_panel(_p(spark, sf).raw, entity="country_id", date="date", names=False)),
     "raw_panel": lambda spark, sf: _p(spark, sf).raw.select(*RAW_COLS),
     # generator-derived
     "safe_ratio": CL.g5_safe_ratio,
@@ -304,7 +304,7 @@ ORACLE = {
         "SELECT 'distinct_entities', CAST(count(DISTINCT country_id) AS VARCHAR) FROM fact",
         "SELECT 'min_date', CAST(min(report_date) AS VARCHAR) FROM fact",
         "SELECT 'max_date', CAST(max(report_date) AS VARCHAR) FROM fact"])),
-    "clean_pipeline": with_panel(f"SELECT {FACT_SELECT} FROM fact"),
+    "clean_panel": with_panel(f"SELECT {FACT_SELECT} FROM fact"),
     # raw-panel operators
     "null_audit": _raw(_union([f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS n_null FROM raw"
                                for c in RAW_COLS])),

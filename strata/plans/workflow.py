@@ -53,7 +53,7 @@ def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_CSV_
 def clean_raw(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """E26 on the raw layout (names, keep-first dedupe, floor, fills, derived columns) plus the E17 report."""
     order = [INGEST] if INGEST in raw.columns else []
-    clean = C.clean_pipeline(raw, entity="country", date="date", names=True, dedupe_order=order or None)
+    clean = C.clean_panel(raw, entity="country", date="date", names=True, dedupe_order=order or None)
     clean = clean.drop(INGEST) if order else clean
     return clean, C.validate_panel(clean, entity="country", date="date")
 
