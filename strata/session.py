@@ -26,6 +26,29 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     return spark
 
 
+def cluster_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Spill-aware defaults for a cluster run, from the input size and the executor cores.
+
+    Shuffle partitions: enough that a partition of the largest shuffle (at most
+    the input size, before partial aggregation shrinks it) stays near
+    ``target_partition_bytes``, and at least 3 waves over the cores; AQE then
+    coalesces small ones and splits skewed ones. Scan splits of 256 MB keep
+    parquet tasks large enough to amortise scheduling at 100 TB.
+    """
+    by_size = -(-input_bytes // target_partition_bytes)
+    parts = max(3 * total_cores, by_size)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 << 20),
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for written intermediate tables.
 
@@ -52,4 +75,4 @@ def new_output_path(spark: SparkSession, name: str) -> str:
     return f"{base}/strata-out/{name}-{uuid.uuid4().hex[:12]}"
 
 
-__all__ = ["local_session", "shared_dir", "new_output_path"]
+__all__ = ["local_session", "cluster_settings", "shared_dir", "new_output_path"]

@@ -180,3 +180,11 @@ def test_cumulative_total_long_series_option(spark):
     a = G.cumulative_total(df, {"c": "x"}, "e", "d").select("e", "d", "c")
     b = G.cumulative_total(df, {"c": "x"}, "e", "d", long_series=True).select("e", "d", "c")
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_cluster_settings():
+    from strata.session import cluster_settings
+
+    s = cluster_settings(100 * (1 << 40), 8000)            # 100 TB on 8,000 cores
+    assert int(s["spark.sql.shuffle.partitions"]) == 409600 and s["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert int(cluster_settings(1 << 30, 64)["spark.sql.shuffle.partitions"]) == 192
