@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def pearson(x: str, y: str) -> Column:
@@ -30,72 +29,50 @@ def pearson_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], digits: int |
     return one.selectExpr(f"stack({len(pairs)}, {rows}) as (x, y, n, r)")
 
 
-def _betacf(a, b, x, iters=300, eps=1e-15):
-    """Continued fraction of the regularised incomplete beta (modified Lentz)."""
-    tiny = 1e-300
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = tiny if abs(d) < tiny else d
-    d = 1.0 / d
-    h = d
-    for m in range(1, iters + 1):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = tiny if abs(d) < tiny else d
-        c = 1.0 + aa / c
-        c = tiny if abs(c) < tiny else c
-        d = 1.0 / d
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = tiny if abs(d) < tiny else d
-        c = 1.0 + aa / c
-        c = tiny if abs(c) < tiny else c
-        d = 1.0 / d
-        de = d * c
-        h *= de
-        if abs(de - 1.0) < eps:
-            break
-    return h
-
-
-def _reg_inc_beta(a, b, x):
-    if x <= 0:
-        return 0.0
-    if x >= 1:
-        return 1.0
-    from math import exp, lgamma, log
-    front = exp(lgamma(a + b) - lgamma(a) - lgamma(b) + a * log(x) + b * log(1 - x))
-    if x < (a + 1) / (a + b + 2):
-        return front * _betacf(a, b, x) / a
-    return 1.0 - front * _betacf(b, a, 1 - x) / b
-
-
-def t_two_sided_p(t: float | None, dof: float | None) -> float | None:
-    """Two-sided p of Student's t: I_{v/(v+t^2)}(v/2, 1/2)."""
-    if t is None or dof is None or dof <= 0 or not np.isfinite(t):
-        return None
-    return _reg_inc_beta(dof / 2.0, 0.5, dof / (dof + t * t))
-
-
-def _t_p(t: pd.Series, dof: pd.Series) -> pd.Series:
-    return pd.Series([t_two_sided_p(None if pd.isna(a) else float(a), None if pd.isna(b) else float(b))
-                      for a, b in zip(t, dof)], dtype="float64")
-
-
-_t_p_udf = F.pandas_udf(_t_p, T.DoubleType())
-
-
-def pearson_p_values(pairs_df: DataFrame) -> DataFrame:
-    """R2: t = r * sqrt((n-2)/(1-r^2)) as an expression; p through a small Arrow-batched helper.
-
-    Input is the (x, y, n, r) table of ``pearson_pairs`` with unrounded r: one
-    row per pair, so the helper runs on a handful of rows.
+def t_two_sided_p(t: Column, dof: Column) -> Column:
+    """Two-sided p-value of Student's t with an integer number of degrees of freedom.
+
+    Closed form for integer dof (a finite series, Abramowitz & Stegun 26.7.3-4):
+    theta = atan(|t| / sqrt(v)); with c = cos(theta), the series
+    S = 1 + sum_k prod_{j<=k} r_j c^2 runs to k = (v-3)/2 for odd v (r_j = 2j / (2j+1))
+    or (v-2)/2 for even v (r_j = (2j-1) / 2j); P(|T| < t) is
+    2/pi (theta + sin(theta) c S) for odd v and sin(theta) S for even v.
+    Built from ``aggregate`` over a ``sequence``: JVM expressions, no Python.
+    """
+    nu = dof.cast("bigint")
+    theta = F.atan(F.abs(t) / F.sqrt(nu.cast("double")))
+    c, sn = F.cos(theta), F.sin(theta)
+    c2 = c * c
+    odd = (nu % 2) == 1
+    m = F.when(odd, (nu - 3) / 2).otherwise((nu - 2) / 2).cast("int")
+    ks = F.when(m >= 1, F.sequence(F.lit(1), m)).otherwise(F.array().cast("array<int>"))
+
+    def step(acc, k):
+        kd = k.cast("double")
+        r = F.when(odd, (F.lit(2.0) * kd) / (F.lit(2.0) * kd + F.lit(1.0))) \
+            .otherwise((F.lit(2.0) * kd - F.lit(1.0)) / (F.lit(2.0) * kd))
+        return F.struct((acc["t"] * r * c2).alias("t"), (acc["s"] + acc["t"] * r * c2).alias("s"))
+
+    init = F.struct(F.lit(1.0).alias("t"), F.lit(1.0).alias("s"))
+    series = F.when(m < 0, F.lit(0.0)).otherwise(F.aggregate(ks, init, step, lambda acc: acc["s"]))
+    inside = F.when(odd, F.lit(2.0 / math.pi) * (theta + sn * c * series)).otherwise(sn * series)
+    return F.when((nu >= 1) & t.isNotNull(), F.lit(1.0) - inside)
+
+
+def pearson_p_values(pairs_df: DataFrame, digits: int | None = 6) -> DataFrame:
+    """R2: t = r * sqrt((n-2)/(1-r^2)) and its two-sided p-value (n-2 degrees of freedom).
+
+    Input is the (x, y, n, r) table of ``pearson_pairs`` with unrounded r.
     """
     n, r = F.col("n"), F.col("r")
-    t = r * F.sqrt((n - F.lit(2)) / F.when(F.lit(1.0) - r * r > 0, F.lit(1.0) - r * r))
-    return pairs_df.withColumn("t", t).withColumn("p_value", _t_p_udf(F.col("t"), (n - F.lit(2)).cast("double")))
+    one_minus = F.lit(1.0) - r * r
+    t = r * F.sqrt((n - F.lit(2)) / F.when(one_minus > 0, one_minus))
+    # t and p are computed in their own projection: in a single select, a rounded ``r`` alias would be
+    # picked up by the later expressions (lateral column alias resolution)
+    full = pairs_df.withColumn("t", t).withColumn("p_value", t_two_sided_p(F.col("t"), n - F.lit(2)))
+    if digits is None:
+        return full.select("x", "y", "n", "r", "t", "p_value")
+    return full.select("x", "y", "n", *[F.round(c, digits).alias(c) for c in ("r", "t", "p_value")])
 
 
 def distribution(df: DataFrame, value: str, group: str | None = None,

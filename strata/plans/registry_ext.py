@@ -237,6 +237,21 @@ PAIRS_SQL = _union([
     f"CASE WHEN var_pop({x}) > 0 AND var_pop({y}) > 0 THEN {r_up(f'corr({x}, {y})', 3)} END AS r FROM v1"
     for x, y in R.PAIRS])
 
+PAIRS_RAW_SQL = _union([
+    f"SELECT '{x}' AS x, '{y}' AS y, count(*) FILTER (WHERE {x} IS NOT NULL AND {y} IS NOT NULL) AS n, "
+    f"CASE WHEN var_pop({x}) > 0 AND var_pop({y}) > 0 THEN corr({x}, {y}) END AS r FROM v1"
+    for x, y in R.PAIRS])
+# Two-sided Student-t p-value for integer dof, same closed form and operation order as stats.t_two_sided_p.
+_ODD = "((n - 2) % 2 = 1)"
+_M = f"CAST(CASE WHEN {_ODD} THEN (n - 2 - 3) / 2 ELSE (n - 2 - 2) / 2 END AS INTEGER)"
+_R = (f"CASE WHEN {_ODD} THEN (2.0::DOUBLE * k) / (2.0::DOUBLE * k + 1.0::DOUBLE) "
+      "ELSE (2.0::DOUBLE * k - 1.0::DOUBLE) / (2.0::DOUBLE * k) END")
+_C2 = "(cos(th) * cos(th))"
+_SERIES = (f"CASE WHEN {_M} < 0 THEN 0.0::DOUBLE ELSE list_reduce(CASE WHEN {_M} >= 1 THEN generate_series(1, {_M}) "
+           f"ELSE CAST([] AS BIGINT[]) END, lambda acc, k: {{'t': acc.t * {_R} * {_C2}, 's': acc.s + acc.t * {_R} * {_C2}}}, "
+           "{'t': 1.0::DOUBLE, 's': 1.0::DOUBLE}).s END")
+P_SQL = (f"CASE WHEN n - 2 >= 1 AND t IS NOT NULL THEN 1.0::DOUBLE - CASE WHEN {_ODD} THEN (2.0::DOUBLE / pi()) * "
+         f"(th + sin(th) * cos(th) * {_SERIES}) ELSE sin(th) * {_SERIES} END END")
 KPI_COLS = ["global_total_cases", "global_total_deaths", "global_total_recovered", "global_active_cases",
             "global_cfr_pct", "avg_country_vaccination_rate_pct"]
 Q23_SQL = ("k AS (SELECT sum(total_cases) AS global_total_cases, sum(total_deaths) AS global_total_deaths, "
@@ -422,6 +437,11 @@ ORACLE = {
         f"WHERE d.country_name IN {NAMES10!r} GROUP BY 1, 2, 3) GROUP BY 1, 2"),
     # metrics
     "pearson_pairs": with_panel(PAIRS_SQL, V1A),
+    "pearson_p_value": with_panel(
+        f"SELECT x, y, n, {r_up('r', 6)} AS r, {r_up('t', 6)} AS t, {r_up(P_SQL, 6)} AS p_value FROM "
+        "(SELECT *, atan(abs(t) / sqrt(CAST(n - 2 AS DOUBLE))) AS th FROM "
+        "(SELECT x, y, n, r, r * sqrt((n - 2) / CASE WHEN 1.0::DOUBLE - r * r > 0 THEN 1.0::DOUBLE - r * r END) AS t FROM "
+        f"({PAIRS_RAW_SQL})))", V1A),
     "yoy_change_pct": with_panel(
         f"SELECT {r_up(f'(cases_{YEARS[1]} / nullif(cases_{YEARS[0]}, 0) - 1.0::DOUBLE) * 100.0::DOUBLE', 1)} AS cases_yoy_pct, "
         f"{r_up(f'(deaths_{YEARS[1]} / nullif(deaths_{YEARS[0]}, 0) - 1.0::DOUBLE) * 100.0::DOUBLE', 1)} AS deaths_yoy_pct "

@@ -100,7 +100,13 @@ def test_partitioned_write_prunes(spark, tmp_out):
     assert q.count() == fact.where("report_year = 1996").count()
 
 
-def test_t_p_value_helper():
-    # t = 2.0 with 10 dof: two-sided p = 0.07339 (standard table value)
-    assert abs(t_two_sided_p(2.0, 10) - 0.0733880) < 1e-6
-    assert t_two_sided_p(None, 10) is None
+def test_t_p_value(spark):
+    from pyspark.sql import functions as F
+
+    # two-sided p checked against numerical integration of the t density
+    cases = [(2.0, 10, 0.073388), (2.0, 23, 0.057445), (1.0, 1, 0.5), (3.0, 2, 0.095466), (0.0, 7, 1.0)]
+    df = spark.createDataFrame([(t, v) for t, v, _ in cases] + [(None, 5)], "t double, v long")
+    got = [r.p for r in df.select(t_two_sided_p(F.col("t"), F.col("v")).alias("p")).collect()]
+    for (_, _, want), p in zip(cases, got):
+        assert abs(p - want) < 1e-6, (want, p)
+    assert got[-1] is None

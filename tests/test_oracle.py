@@ -22,8 +22,7 @@ def duck():
 
 
 def test_every_query_has_an_oracle_or_is_listed():
-    rows_only = set(QUERIES) - set(ORACLE)
-    assert rows_only == {"pearson_p_value"}
+    assert set(QUERIES) == set(ORACLE)
     assert set(ORACLE) <= set(QUERIES)
 
 
