@@ -29,16 +29,17 @@ from strata.session import shared_dir
 _PID = "__slice"
 
 
-def _parts(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def _sliced(df: DataFrame, order: Sequence[Column], num_partitions: int | None) -> DataFrame:
+    """Range slices in ``order``, numbered by ``spark_partition_id``.
+
+    Without an explicit count the exchange uses the session's shuffle partitions
+    and AQE may coalesce neighbouring slices (coalesced range partitions stay
+    contiguous, so slice ids stay in order): small inputs get few slices, large
+    ones many. The checkpoint then fixes the assignment for every reader.
+    """
     shared_dir(df.sparkSession)
-    sliced = df.repartitionByRange(_parts(df, num_partitions), *order).withColumn(_PID, F.spark_partition_id())
-    return sliced.checkpoint(eager=True)
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    return ranged.withColumn(_PID, F.spark_partition_id()).checkpoint(eager=True)
 
 
 def _offsets(local: DataFrame, sums: dict[str, str], by: Sequence[str] = ()) -> DataFrame:
