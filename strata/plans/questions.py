@@ -18,6 +18,13 @@ from strata.operators.snapshot import latest_snapshot, monthly_summary
 
 E, D = "country_id", "report_date"
 
+# FIXED VALUES: labels and default bucket edges of the questions.
+TREND_LABELS = ("RISING", "FALLING", "FLAT")
+STRINGENCY_EDGES = (40, 65)
+STRINGENCY_LABELS = ("1. Low stringency", "2. Medium stringency", "3. High stringency")
+GDP_EDGES = (5000, 20000, 50000)
+AGE_EDGES = (25, 35, 42)
+
 
 def _dec_avg(c: str, scale: int):
     """Mean of a ``scale``-decimal column as exact decimal sum / count."""
@@ -134,8 +141,9 @@ def q12_wave_direction(fact, dim, name: str | None = None):
     f = fact.select(E, D, "new_cases").join(d, E)
     m = f.groupBy("country_name", month_key(D).alias("ym")).agg(F.sum("new_cases").alias("monthly_cases"))
     prev = F.lag("monthly_cases").over(Window.partitionBy("country_name").orderBy("ym"))
-    trend = (F.when(F.col("monthly_cases") > prev, "RISING").when(F.col("monthly_cases") < prev, "FALLING")
-             .otherwise("FLAT"))
+    rising, falling, flat = TREND_LABELS
+    trend = (F.when(F.col("monthly_cases") > prev, rising).when(F.col("monthly_cases") < prev, falling)
+             .otherwise(flat))
     out = m.withColumn("trend_direction", trend)
     cols = ["ym", "monthly_cases", "trend_direction"] if name is not None else ["country_name", "ym", "monthly_cases", "trend_direction"]
     return out.select(*cols).orderBy(*cols[:-2])
@@ -152,7 +160,7 @@ def cohort_summary(v: DataFrame, value: str, edges, labels, name: str, aggs) ->
     return v.groupBy(bucket(value, edges, labels).alias(name)).agg(*aggs).orderBy(name)
 
 
-def q14_gdp_cohorts(fact, dim, edges=(5000, 20000, 50000), labels=None, as_of=None):
+def q14_gdp_cohorts(fact, dim, edges=GDP_EDGES, labels=None, as_of=None):
     labels = labels or _labels("GDP", edges)
     v = latest_snapshot(fact, dim, as_of=as_of, columns=["vaccination_rate_pct", "case_fatality_rate"])
     return cohort_summary(v, "gdp_per_capita", edges, labels, "gdp_bucket", [
@@ -161,7 +169,7 @@ def q14_gdp_cohorts(fact, dim, edges=(5000, 20000, 50000), labels=None, as_of=No
         F.round(_dec_avg("case_fatality_rate", 3), 3).alias("avg_cfr")])
 
 
-def q15_age_cohorts(fact, dim, edges=(25, 35, 42), labels=None, as_of=None):
+def q15_age_cohorts(fact, dim, edges=AGE_EDGES, labels=None, as_of=None):
     labels = labels or _labels("Age", edges)
     v = latest_snapshot(fact, dim, as_of=as_of, columns=["case_fatality_rate"])
     return cohort_summary(v, "median_age", edges, labels, "age_bucket", [
@@ -201,8 +209,7 @@ def q17_peak_day(fact, dim, n=10):
     return peak_rows(fact, dim).orderBy(F.col("peak_new_cases").desc(), "country_name", "peak_date").limit(n)
 
 
-def q18_stringency_cohorts(fact, edges=(40, 65), labels=("1. Low stringency", "2. Medium stringency", "3. High stringency"),
-                           lead_days: int = 0):
+def q18_stringency_cohorts(fact, edges=STRINGENCY_EDGES, labels=STRINGENCY_LABELS, lead_days: int = 0):
     """Mean growth per stringency bucket over entity-days with known growth.
 
     ``lead_days=0`` is the reference's same-day comparison; ``lead_days=n``
