@@ -188,3 +188,37 @@ def test_cluster_settings():
     s = cluster_settings(100 * (1 << 40), 8000)            # 100 TB on 8,000 cores
     assert int(s["spark.sql.shuffle.partitions"]) == 409600 and s["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert int(cluster_settings(1 << 30, 64)["spark.sql.shuffle.partitions"]) == 192
+
+
+def test_star_checks_with_violations(spark):
+    from strata.operators import star as S
+
+    panel = spark.createDataFrame([("A", D0, "EU", 10), ("A", days(2)[1], "EU", 11), ("B", D0, "AS", 5)],
+                                  "country string, date date, continent string, population long")
+    drift = S.attribute_drift(panel, "country", ["continent", "population"]).collect()
+    assert [(r.country, r.n_versions) for r in drift] == [("A", 2)]
+    dims = S.extract_dimension(panel, "country", "date", ["continent", "population"]).orderBy("country_name").collect()
+    assert [(r.country_name, r.population) for r in dims] == [("A", 10), ("B", 5)]  # first row in date order
+
+    dim = spark.createDataFrame([(1, "A"), (2, "A")], "country_id long, country_name string")
+    fact = spark.createDataFrame([(1, D0), (1, D0), (3, D0), (None, D0)], "country_id long, report_date date")
+    rep = {r.check: r.violations for r in C.constraint_checks(fact, dim).collect()}
+    assert rep == {"not_null_country_id": 1, "not_null_report_date": 0, "unique_name": 1, "unique_key": 1,
+                   "foreign_key": 2}
+    orphans = S.unmatched_keys(spark.createDataFrame([("A",), ("Z",)], "n string"), dim, "n", "country_name")
+    assert [r.n for r in orphans.collect()] == ["Z"]
+
+
+def test_label_maps_and_dates(spark):
+    df = spark.createDataFrame([("F",), ("O",), ("P",), (None,)], "s string")
+    lit = [r.s for r in C.map_labels(df, "s", {"F": "FULFILLED", "O": "OPEN"}).collect()]
+    table = spark.createDataFrame([("F", "FULFILLED"), ("O", "OPEN")], "src string, dst string")
+    joined = [r.s for r in C.map_labels_table(df, "s", table, "src", "dst").collect()]
+    assert sorted(lit, key=str) == sorted(joined, key=str) == sorted(["FULFILLED", "OPEN", "P", None], key=str)
+    audit = C.distinct_label_audit(df, C.map_labels(df, "s", {"F": "P"}), "s").first()
+    assert (audit.labels_before, audit.labels_after) == (3, 2)
+
+    from strata.operators import star as S
+    txt = spark.createDataFrame([("2021-03-04",)], "d string")
+    assert S.normalize_date(txt, "d").first().d == dt.date(2021, 3, 4)
+    assert S.normalize_date(S.normalize_date(txt, "d"), "d", as_text=True).first().d == "2021-03-04"
