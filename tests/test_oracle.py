@@ -44,3 +44,17 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["continent", "total_cases", "total_deaths", "continent_cfr_pct", "population"]
     assert df.count() == 5
+
+
+@pytest.mark.parametrize("key", ["rank_in_group", "pareto_quintiles", "rank_variants", "user_quintiles",
+                                 "assign_surrogate_key", "global_running_total", "pareto_curve", "global_trend_7d"])
+def test_result_does_not_depend_on_shuffle_partitions(spark, duck, key):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "37")
+    try:
+        df = QUERIES[key](spark, SF_SMALL)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    cur = duck.execute(ORACLE[key])
+    assert rows_of(rows, df.columns, True) == rows_of(cur.fetchall(), [d[0] for d in cur.description], True)
