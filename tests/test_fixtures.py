@@ -222,3 +222,14 @@ def test_label_maps_and_dates(spark):
     txt = spark.createDataFrame([("2021-03-04",)], "d string")
     assert S.normalize_date(txt, "d").first().d == dt.date(2021, 3, 4)
     assert S.normalize_date(S.normalize_date(txt, "d"), "d", as_text=True).first().d == "2021-03-04"
+
+
+def test_approx_distribution_close_to_exact(spark):
+    from strata.operators import stats
+
+    df = spark.range(10000).select((F.col("id") % 4).alias("g"), (F.col("id") * 7 % 1000).cast("double").alias("x"))
+    exact = {r.g: (r.p10, r.p50, r.p90) for r in stats.distribution(df, "x", "g").collect()}
+    approx = {r.g: r.quantiles for r in stats.approx_distribution(df, "x", "g").collect()}
+    assert set(exact) == set(approx) == {0, 1, 2, 3}
+    for g in exact:
+        assert all(abs(a - e) <= 5.0 for a, e in zip(approx[g], exact[g]))   # within 0.5% of the range
