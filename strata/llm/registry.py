@@ -2,19 +2,32 @@
 
 from __future__ import annotations
 
-from strata.llm import decontaminate, simhash
+import public_tokenizers
+
+from strata.llm import bpe, decontaminate, simhash, token_store
 from strata.llm.common import table
 
 
+def op2_token_store(spark, sf_dir):
+    return token_store.store(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                             public_tokenizers.PATTERN, end_id=2)
+
+
 def op3_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
 
 
+def op6_bpe(spark, sf_dir):
+    return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                          public_tokenizers.PATTERN)
+
+
 def op9_decontaminate(spark, sf_dir):
     return decontaminate.find_contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-SPARK = {"op3_simhash": op3_simhash, "op9_decontaminate": op9_decontaminate}
+SPARK = {"op2_token_store": op2_token_store, "op6_bpe": op6_bpe,
+         "op3_simhash": op3_simhash, "op9_decontaminate": op9_decontaminate}
 
 _WORDS = ("list_filter(string_split(regexp_replace(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
           "'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+', ' ', 'g'), ' '), "
