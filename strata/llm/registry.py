@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from strata.llm import bpe, decontaminate, simhash, token_store
+from strata.llm import bpe, decontaminate, quality, simhash, token_store, toxicity
 from strata.llm.common import table
 
 
@@ -22,12 +22,21 @@ def op6_bpe(spark, sf_dir):
                           public_tokenizers.PATTERN)
 
 
+def op8_toxicity(spark, sf_dir):
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_decontaminate(spark, sf_dir):
     return decontaminate.find_contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-SPARK = {"op2_token_store": op2_token_store, "op6_bpe": op6_bpe,
-         "op3_simhash": op3_simhash, "op9_decontaminate": op9_decontaminate}
+def op10_quality(spark, sf_dir):
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+SPARK = {"op2_token_store": op2_token_store, "op6_bpe": op6_bpe, "op8_toxicity": op8_toxicity,
+         "op3_simhash": op3_simhash, "op9_decontaminate": op9_decontaminate,
+         "op10_quality": op10_quality}
 
 _WORDS = ("list_filter(string_split(regexp_replace(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
           "'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+', ' ', 'g'), ' '), "
