@@ -2,7 +2,7 @@
 
 A pattern cuts a text into pieces (words with the space before them, numbers, signs, white space), bytes
 become the characters that stand for them, and the library's BPE model encodes each piece. Pieces mostly
-recur, so each worker keeps the ids of some ``CACHE`` recent words and pieces; that never changes a result.
+recur, so each worker keeps the ids of some ``CACHE`` recent pieces (twice as many at most, and those of a batch); that never changes a result.
 
 ``encode`` gives ids, and on request the byte and character span of each id (one character may be split over
 several ids; such ids share its span). ``decode`` reverses the byte table: ids give bytes, also where an id
@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from array import array
 
 import numpy as np
@@ -22,9 +23,7 @@ from pyspark.sql import DataFrame
 
 from strata.llm.common import id_text, limit_batches, text_rows
 
-CACHE = 80_000
-#: A word may end in these or in a letter or digit: surely no white space.
-_ENDS = frozenset(map(chr, range(33, 127)))
+CACHE = 200_000
 _WORKER: dict = {}
 
 
@@ -53,69 +52,52 @@ def model_from_ranks(ranks: dict[bytes, int]):
     return models.BPE(vocab={shown[t]: r for t, r in ranks.items()}, merges=merges, ignore_merges=True)
 
 
-class _Recent(dict):
-    """At most about twice ``size`` entries: full, it becomes the old generation, of which used entries return."""
-
-    def __init__(self, size: int):
-        super().__init__()
-        self.size, self.old = size, {}
-
-    def keep(self, key, value):
-        if len(self) >= self.size:
-            self.old = dict(self)
-            self.clear()
-        self[key] = value
+def _latin(pattern: str) -> str:
+    """The pattern for texts of Latin-1 characters alone, in plain classes that re runs twice as fast as regex."""
+    letters, numbers, spaces = (
+        "".join(f"\\x{b:02x}" for b in range(256) if regex.match(c, chr(b))) for c in (r"\p{L}", r"\p{N}", r"\s"))
+    return (pattern.replace(r"[^\s\p{L}\p{N}]", f"[^{spaces}{letters}{numbers}]").replace(r"\p{L}", f"[{letters}]")
+            .replace(r"\p{N}", f"[{numbers}]").replace(r"\S", f"[^{spaces}]").replace(r"\s", f"[{spaces}]"))
 
 
 class PieceEncoder:
-    """ids of texts by the library's BPE model, for each piece of the pattern that the worker doesn't hold yet.
+    """ids of texts by the library's BPE model, called for each piece of the pattern that the worker doesn't hold.
 
     The library's pre-tokenizers carry offset tables through every step, which costs most of the time of a
-    whole-text call; pieces are independent of each other, so the ids are the same. The pattern always breaks
-    at a space after a non-space, so most words are looked up as they stand between spaces.
+    whole-text call; pieces are independent of each other, so the ids are the same.
     """
 
     def __init__(self, model, pattern: str):
-        self.model, self.cut = model, regex.compile(pattern).findall
-        self.words, self.pieces = _Recent(CACHE), _Recent(CACHE)
+        self.model, self.any, self.latin = model, regex.compile(pattern).findall, re.compile(_latin(pattern)).findall
+        self.kept, self.old = {}, {}
         self.shown = dict(enumerate(byte_characters()))
 
-    def _piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
+    def cut(self, text: str) -> list[str]:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.any(text)
+        return self.latin(text)
+
+    def _ids(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
         if ids is None:
-            ids = self.pieces.old.get(piece)
-            if ids is None:
+            if piece.isascii() and piece[1:].isalnum() and piece[0] == " ":
+                shown = self.shown[32] + piece[1:]
+            else:
                 shown = piece.encode("utf-8", "replace").decode("latin-1").translate(self.shown)
-                ids = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
-            self.pieces.keep(piece, ids)
+            ids = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
         return ids
 
-    def _chunk(self, chunk: str) -> bytes:
-        return b"".join(map(self._piece, self.cut(chunk)))
-
-    def ids(self, text: str) -> np.ndarray:
-        parts = text.split(" ")
-        got = list(map(self.words.get, parts))
-        got[0] = None  # without a space before it
-        end, last = 0, len(parts) - 1
-        for i in [i for i, g in enumerate(got) if g is None]:
-            if i < end:
-                continue
-            part, end = parts[i], i + 1
-            if i and part and (part[-1] in _ENDS or part[-1].isalnum()):
-                ids = self.words.old.get(part)
-                got[i] = self._chunk(" " + part) if ids is None else ids
-                self.words.keep(part, got[i])
-                continue
-            # up to the first part that ends in no space: the pattern breaks behind that
-            while end <= last and not (parts[end - 1] and (parts[end - 1][-1] in _ENDS or parts[end - 1][-1].isalnum())):
-                got[end] = b""
-                end += 1
-            got[i] = self._chunk((" " if i else "") + " ".join(parts[i:end]))
-        return np.frombuffer(b"".join(got), dtype=np.uint32)
-
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [self.ids(t) for t in texts]
+        if len(self.kept) > CACHE:  # used pieces return from the old generation, others go with it
+            self.old, self.kept = self.kept, {}
+        cut = [self.cut(t) for t in texts]
+        kept, ids = self.kept, self._ids
+        for p in set().union(*cut).difference(kept):
+            kept[p] = ids(p)
+        get = kept.__getitem__
+        return [np.frombuffer(b"".join(map(get, ps)), dtype=np.uint32) for ps in cut]
 
 
 class Codec:

@@ -26,7 +26,7 @@ from strata.llm.bpe import PieceEncoder
 from strata.llm.common import id_text, limit_batches, shared_path, text_rows
 
 MAGIC, WIDTH, BLOCK = b"DAC1", 8, 512
-SEGMENT_IDS = 1 << 20
+SEGMENT_IDS = 1 << 18
 _ONES = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
 _WORKER: dict = {}
 
