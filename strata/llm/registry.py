@@ -6,10 +6,14 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, chat, decontaminate, pii, quality, simhash, token_store, toxicity
+from strata.llm import bpe, chat, decontaminate, pii, quality, simhash, suffix_dedup, token_store, toxicity
 from strata.llm.common import table
 
 
+def op1_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), digest=True)
+
+
 def op2_token_store(spark, sf_dir):
     return token_store.store(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
                              public_tokenizers.PATTERN, end_id=2)
@@ -49,7 +53,7 @@ def op10_quality(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-SPARK = {"op2_token_store": op2_token_store, "op4_chat": op4_chat, "op5_pii": op5_pii, "op6_bpe": op6_bpe, "op8_toxicity": op8_toxicity,
+SPARK = {"op1_suffix_dedup": op1_suffix_dedup, "op2_token_store": op2_token_store, "op4_chat": op4_chat, "op5_pii": op5_pii, "op6_bpe": op6_bpe, "op8_toxicity": op8_toxicity,
          "op3_simhash": op3_simhash, "op9_decontaminate": op9_decontaminate,
          "op10_quality": op10_quality}
 
