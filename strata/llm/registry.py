@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, chat, decontaminate, pii, quality, simhash, suffix_dedup, token_store, toxicity
+from strata.llm import bpe, chat, decontaminate, line_dedup, pii, quality, simhash, suffix_dedup, token_store, toxicity
 from strata.llm.common import table
 
 
@@ -41,6 +41,10 @@ def op6_bpe(spark, sf_dir):
                           public_tokenizers.PATTERN)
 
 
+def op7_line_dedup(spark, sf_dir):
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark, sf_dir):
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -53,7 +57,7 @@ def op10_quality(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-SPARK = {"op1_suffix_dedup": op1_suffix_dedup, "op2_token_store": op2_token_store, "op4_chat": op4_chat, "op5_pii": op5_pii, "op6_bpe": op6_bpe, "op8_toxicity": op8_toxicity,
+SPARK = {"op1_suffix_dedup": op1_suffix_dedup, "op2_token_store": op2_token_store, "op4_chat": op4_chat, "op5_pii": op5_pii, "op6_bpe": op6_bpe, "op7_line_dedup": op7_line_dedup, "op8_toxicity": op8_toxicity,
          "op3_simhash": op3_simhash, "op9_decontaminate": op9_decontaminate,
          "op10_quality": op10_quality}
 
