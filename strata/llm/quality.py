@@ -27,19 +27,27 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def _pairs(values: Column, step: int) -> Column:
+    """The hash of every value with the one ``step`` further on."""
+    n = F.greatest(F.size(values) - step, F.lit(0))
+    return F.zip_with(F.slice(values, F.lit(1), n), F.slice(values, F.lit(step + 1), n), lambda a, b: F.xxhash64(a, b))
+
+
 def grams(text: Column) -> Column:
-    """The buckets of a text's one- and two-token grams, in order."""
-    def of(tokens):
-        size = F.size(tokens)
-        return F.transform(tokens, lambda t, i: F.array(
-            F.pmod(F.xxhash64(t), F.lit(BUCKETS)).cast("int"),
-            F.when(i + 1 < size, F.pmod(F.xxhash64(t, F.get(tokens, i + 1)), F.lit(BUCKETS)).cast("int"))))
+    """The buckets of a text's one-token and then two-token grams."""
+    def buckets(hashes):
+        return F.transform(hashes, lambda h: h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
+
+    tokens = F.regexp_extract_all(text, F.lit(_TOKENS), F.lit(0))
+    return let(F.transform(tokens, lambda t: F.xxhash64(t)), lambda h: F.concat(buckets(h), buckets(_pairs(h, 1))))
 
-    return F.filter(F.flatten(let(F.regexp_extract_all(text, F.lit(_TOKENS), F.lit(0)), of)), lambda b: b.isNotNull())
+
+def _doubled(step: int):
+    return lambda h: _pairs(h, step)
 
 
 def repeat_words(words: Column, width: int = 8) -> Column:
-    """Words that stand in a window of ``width`` words found twice or more among the windows, first included."""
+    """Words in a window of ``width`` (a power of two) words that stands twice or more, first included."""
     def of(hashes):
         ordered = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
         twice = let(ordered, lambda s: F.filter(F.transform(s, lambda x, k: F.when(
@@ -49,12 +57,13 @@ def repeat_words(words: Column, width: int = 8) -> Column:
                               lambda a: a["n"])
         return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0)).otherwise(covered)
 
-    def windows(w):
-        starts = F.when(F.size(w) >= width, F.sequence(F.lit(1), F.size(w) - (width - 1))).otherwise(
-            F.array().cast("array<int>"))
-        return let(F.transform(starts, lambda i: F.xxhash64(F.slice(w, i, width))), of)
-
-    return let(words, windows)
+    # a window's hash from those of its halves; where no half stands twice, no window does
+    hashes, step = F.transform(words, lambda w: F.xxhash64(w)), 1
+    while 2 * step < width:
+        hashes = let(hashes, _doubled(step))
+        step *= 2
+    return let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(
+        let(_pairs(h, step), of)))
 
 
 def base_features(text: Column) -> list[Column]:
