@@ -2,7 +2,7 @@
 
 A pattern cuts a text into pieces (words with the space before them, numbers, signs, white space), bytes
 become the characters that stand for them, and the library's BPE model encodes each piece. Pieces mostly
-recur, so each worker keeps the ids of some ``CACHE`` recent pieces (twice as many at most, and those of a batch); that never changes a result.
+recur, so each worker keeps the ids of some ``CACHE`` recent pieces (twice as many at most, and those of a text); that never changes a result.
 
 ``encode`` gives ids, and on request the byte and character span of each id (one character may be split over
 several ids; such ids share its span). ``decode`` reverses the byte table: ids give bytes, also where an id
@@ -60,6 +60,18 @@ def _latin(pattern: str) -> str:
             .replace(r"\p{N}", f"[{numbers}]").replace(r"\S", f"[^{spaces}]").replace(r"\s", f"[{spaces}]"))
 
 
+class _Pieces(dict):
+    """ids of pieces, as bytes; what is missing is made."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, piece: str) -> bytes:
+        self[piece] = ids = self.make(piece)
+        return ids
+
+
 class PieceEncoder:
     """ids of texts by the library's BPE model, called for each piece of the pattern that the worker doesn't hold.
 
@@ -69,7 +81,7 @@ class PieceEncoder:
 
     def __init__(self, model, pattern: str):
         self.model, self.any, self.latin = model, regex.compile(pattern).findall, re.compile(_latin(pattern)).findall
-        self.kept, self.old = {}, {}
+        self.kept, self.old = _Pieces(self._ids), {}
         self.shown = dict(enumerate(byte_characters()))
 
     def cut(self, text: str) -> list[str]:
@@ -90,14 +102,12 @@ class PieceEncoder:
         return ids
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.kept) > CACHE:  # used pieces return from the old generation, others go with it
-            self.old, self.kept = self.kept, {}
-        cut = [self.cut(t) for t in texts]
-        kept, ids = self.kept, self._ids
-        for p in set().union(*cut).difference(kept):
-            kept[p] = ids(p)
-        get = kept.__getitem__
-        return [np.frombuffer(b"".join(map(get, ps)), dtype=np.uint32) for ps in cut]
+        out = []
+        for t in texts:
+            if len(self.kept) > CACHE:  # used pieces return from the old generation, others go with it
+                self.old, self.kept = dict(self.kept), _Pieces(self._ids)
+            out.append(np.frombuffer(b"".join(map(self.kept.__getitem__, self.cut(t))), dtype=np.uint32))
+        return out
 
 
 class Codec:

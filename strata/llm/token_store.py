@@ -170,15 +170,13 @@ def read(spark, path: str) -> DataFrame:
             for r in rows:
                 s = Segment(r["payload"])
                 at = base[r["part"]] + r["before"]
-                crc, counts = [], []
-                for k in range(s.n_docs):
-                    ids = s.document(k)
-                    crc.append(zlib.crc32(ids.astype("<u4").tobytes()))
-                    counts.append(len(ids))
+                ids = memoryview(s.slice(0, s.n_ids).astype("<u4")).cast("B")
+                first = s.first.astype(np.int64)
+                crc = [zlib.crc32(ids[4 * x:4 * y]) for x, y in zip(first.tolist(), first[1:].tolist(), strict=False)]
                 keys = [None if d == -(1 << 63) else d for d in s.doc_ids.tolist()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.int64()), pa.array((s.first[:-1].astype(np.int64) + at)),
-                     pa.array(counts, pa.int64()), pa.array(crc, pa.int64())],
+                    [pa.array(keys, pa.int64()), pa.array(first[:-1] + at), pa.array(np.diff(first)),
+                     pa.array(crc, pa.int64())],
                     names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return stored.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
