@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import id_text, shared_checkpoint
 
-BUCKETS, TARGET_DOCS, THRESHOLD = 1 << 16, 8192, -0.2
+BUCKETS, TARGET_DOCS, PRIOR, THRESHOLD = 1 << 13, 8192, 1000, -0.15
 SPACES = r"[\x20\x09-\x0D]+"
 _TOKENS = r"[\p{L}\p{N}_]+|[^\s\p{L}\p{N}_]+"
 
@@ -82,7 +82,11 @@ def _counts(docs: DataFrame, name: str) -> DataFrame:
 
 
 def log_ratios(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """One row with ``table``: the log-ratio target to raw of every bucket, each count plus one."""
+    """One row with ``table``: the log-ratio target to raw of every bucket.
+
+    Raw counts are taken plus one; the target's shares are smoothed towards the raw ones by ``PRIOR`` grams, so
+    where the target says little the ratio is near nought.
+    """
     good = (labels.select(F.col("doc_id").cast("long").alias("k"), "quality").where("quality = 1 AND k IS NOT NULL")
             .select("k").distinct().orderBy(F.xxhash64("k"), "k").limit(TARGET_DOCS))
     target = _counts(docs.join(F.broadcast(good), F.col("doc_id") == F.col("k")), "t")
@@ -92,8 +96,8 @@ def log_ratios(docs: DataFrame, labels: DataFrame) -> DataFrame:
             .select("bucket", F.coalesce("t", F.lit(0)).alias("t"), F.coalesce("r", F.lit(0)).alias("r")))
     both = shared_checkpoint(both)
     sums = both.agg(F.sum("t").alias("nt"), F.sum("r").alias("nr")).first()
-    ratio = (F.log(F.col("t") + 1) - F.log(F.lit(float(sums["nt"] + BUCKETS)))
-             - F.log(F.col("r") + 1) + F.log(F.lit(float(sums["nr"] + BUCKETS))))
+    share = (F.col("r") + 1) / F.lit(float(sums["nr"] + BUCKETS))
+    ratio = F.log((F.col("t") + PRIOR * share) / (float(sums["nt"] + PRIOR) * share))
     return both.agg(F.transform(F.array_sort(F.collect_list(F.struct("bucket", ratio.alias("v")))), lambda x: x["v"]).alias("table"))
 
 
@@ -101,8 +105,8 @@ def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> D
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, score, kept).
 
     Null texts are empty: no word, base_failed, score 0, not kept. A null doc_id keeps its row; repeated rows
-    are judged each; an empty table gives no rows; without trusted documents the ratios say nothing of them
-    and each bucket weighs by the raw corpus alone; other columns are not read.
+    are judged each; an empty table gives no rows; without trusted documents every
+    ratio is nought; other columns are not read.
     """
     docs = id_text(docs)
     docs = docs.withColumn("__ratios", shared_checkpoint(log_ratios(docs, labels)).scalar())
