@@ -113,9 +113,10 @@ def fill_series_gaps(df: DataFrame, columns: Sequence[str], entity: str, date: s
     """Per entity by date, forward fill, then back fill the leading gap, then ``default``."""
     w = feat.series_window(entity, date)
     back = w.rowsBetween(Window.unboundedPreceding, 0)
-    ahead = w.rowsBetween(0, Window.unboundedFollowing)
+    # after the forward fill only the leading gap is open: the series' first value closes it, in one pass
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return df.withColumns({c: F.coalesce(F.last(c, ignorenulls=True).over(back),
-                                         F.first(c, ignorenulls=True).over(ahead), F.lit(default))
+                                         F.first(c, ignorenulls=True).over(whole), F.lit(default))
                            for c in columns})
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.expr import clip, col, lookup, safe_div
-from strata.operators.ranking import with_row_number, with_running_sums
+from strata.operators.ranking import with_running_sums, with_tie_range
 
 
 def series_window(entity: str | Sequence[str], date: str) -> Window:
@@ -172,14 +172,15 @@ def top_share_tier(df: DataFrame, value: str, key: str, share: float = 0.2, out:
                    rank_out: str = "avg_rank") -> DataFrame:
     """Flag rows whose descending average rank is within the top ``share``.
 
-    Average rank = first position of the tie + (tie size - 1) / 2 (pandas
-    ``rank(ascending=False)``). The flag holds for rank <= max(1, floor(share * n)).
+    Average rank = mean of the tie's first and last position (pandas
+    ``rank(ascending=False)``): a row without a value has no rank, counts in no n and is not
+    flagged, but stays. The flag holds for rank <= max(1, floor(share * n)).
     """
-    rn = with_row_number(df, [F.col(value).desc(), F.col(key)], "__rn", total_out="__n")
-    ties = rn.groupBy(value).agg(F.min("__rn").alias("__first"), F.count(F.lit(1)).alias("__tie"))
-    res = rn.join(ties, value).withColumn(rank_out, F.col("__first") + (F.col("__tie") - 1) / F.lit(2.0))
-    bound = F.greatest(F.lit(1), F.floor(F.lit(share) * F.col("__n")))
-    return res.withColumn(out, F.col(rank_out) <= bound).drop("__rn", "__n", "__first", "__tie")
+    res = with_tie_range(df, [value], [F.col(value).desc(), F.col(key)], "__first", "__last", "__n")
+    res = res.withColumn(rank_out, F.when(F.col(value).isNotNull(), (F.col("__first") + F.col("__last")) / F.lit(2.0)))
+    known = F.lit(df.select(F.count(value)).scalar())
+    bound = F.greatest(F.lit(1), F.floor(F.lit(share) * known))
+    return res.withColumn(out, F.coalesce(F.col(rank_out) <= bound, F.lit(False))).drop("__n", "__first", "__last")
 
 
 def _entity_agg(df: DataFrame, entity: str, value: str, fn, name: str) -> DataFrame:
