@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
+import gc
 import tempfile
+import time
 import uuid
 import zipfile
 from collections.abc import Iterator
@@ -13,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes and rows of an Arrow batch handed to a Python worker; whole rows, so one long text may exceed the bytes.
-BATCH_BYTES, BATCH_ROWS = 8 << 20, 2000
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 2000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,34 +53,55 @@ def id_text(docs: DataFrame) -> DataFrame:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that the cluster shares."""
-    sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        sc.setCheckpointDir(folder)
-    return f"{sc.getCheckpointDir()}/{name}-{uuid.uuid4().hex[:12]}"
+    """A new path in the folder that the cluster shares (spark.checkpoint.dir; see session.shared_dir)."""
+    from strata.session import shared_dir  # on the driver alone: workers have this subpackage only
+
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def shared_checkpoint(df: DataFrame) -> DataFrame:
-    """Eager checkpoint() in the folder the cluster shares (spark.checkpoint.dir); raises where none is set."""
+    """Eager checkpoint() in the folder the cluster shares (spark.checkpoint.dir)."""
     shared_path(df.sparkSession, "")
     return df.checkpoint(eager=True)
 
 
 def free_shuffles(spark: SparkSession) -> None:
-    """Let Spark's context cleaner drop the shuffle files of frames that a checkpoint has replaced."""
-    import gc
+    """Let Spark's context cleaner drop the shuffle files of frames that a checkpoint has replaced.
+
+    The first collection detaches what Python held in the driver's JVM, later ones find the shuffles unused.
+    """
+    for _ in range(3):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.4)
 
+
+def trim() -> None:
+    """Give a worker's freed memory back to the system: workers are reused, and share the executor's limit."""
     gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.util.find_library("c")
+    if libc and hasattr(ctypes.CDLL(libc), "malloc_trim"):
+        ctypes.CDLL(libc).malloc_trim(0)
+
+
+def slices(ids: list, texts: list[str], size: int = 1 << 20) -> Iterator[tuple[list, list[str]]]:
+    """(ids, texts) in runs of some ``size`` characters, so that a step's lists stay small."""
+    first, held = 0, 0
+    for i, t in enumerate(texts):
+        held += len(t)
+        if held >= size:
+            yield ids[first:i + 1], texts[first:i + 1]
+            first, held = i + 1, 0
+    if first < len(texts):
+        yield ids[first:], texts[first:]
 
 
 def text_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
     """(doc_ids, texts) of each batch."""
     for b in batches:
         yield b.column(0).to_pylist(), b.column(1).to_pylist()
+    trim()
 
 
 def keep_rows(docs: DataFrame, judge) -> DataFrame:
@@ -90,5 +115,6 @@ def keep_rows(docs: DataFrame, judge) -> DataFrame:
             keeps = keeps or judge()
             texts = [x if x is not None else "" for x in b.column(at).to_pylist()]
             yield b.filter(pa.array(keeps(texts), pa.bool_()))
+        trim()
 
     return docs.mapInArrow(run, docs.schema)

@@ -17,8 +17,8 @@ second round: runs with an equal leader but different strings send their single
 family. A window is thus removed exactly if a smaller doc_id holds it, up to equal 96-bit hashes.
 
 Copies are combined where they are read: a batch sends one entry for equal strings, of the smallest doc_id, so
-a hot string costs a part one entry for each batch. Between the rounds the marks are checkpointed in the
-cluster's shared folder; texts meet their marks in parts of bounded size.
+a hot string costs a part one entry for each batch. The marks of each round are checkpointed in the
+cluster's shared folder and the round's shuffles dropped; texts meet their marks in parts of bounded size.
 """
 
 from __future__ import annotations
@@ -30,12 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import free_shuffles, id_text, limit_batches, shared_checkpoint, text_rows
+from strata.llm.common import free_shuffles, id_text, limit_batches, shared_checkpoint, text_rows, trim
 
 WINDOW, LEAD = 50, 24
 SPREAD = WINDOW - LEAD + 1
 LONGEST_RUN = 32  # of windows; longer runs (periodic texts) are cut
-BATCH_BYTES, PIECE_BYTES, PART_BYTES = 16 << 20, 1 << 20, 8 << 20
+BATCH_BYTES, PIECE_BYTES, PART_BYTES, BUCKET_BYTES = 8 << 20, 1 << 20, 8 << 20, 4 << 20
 _U = np.uint64
 _C = [_U(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                       0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x27D4EB2F165667C5, 0x2545F4914F6CDD1D)]
@@ -124,33 +124,58 @@ def pieces_of(texts: list[bytes]):
         yield out
 
 
+def _order(a: np.ndarray, b: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order by hashed key in which equal (a, b) stand together, and the keys in it."""
+    key = _mix(a + b.astype(np.uint64) * _C[5])
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    same = np.flatnonzero(key[1:] == key[:-1])
+    x, y = order[same], order[same + 1]
+    if ((a[x] != a[y]) | (b[x] != b[y])).any():  # different entries with one key: as good as never
+        order = np.lexsort((doc, b, a, _mix(a + b.astype(np.uint64) * _C[5])))
+    return order, key
+
+
 class Run:
     """A sorted array of entries (a, b, doc): of equal (a, b) only the smallest doc; others are in ``marked``."""
 
-    def __init__(self, a: np.ndarray, b: np.ndarray, doc: np.ndarray):
-        key = _mix(a + b.astype(np.uint64) * _C[5])
-        order = np.lexsort((doc, b, a, key))
-        key, a, b, doc = key[order], a[order], b[order], doc[order]
+    def __init__(self, a: np.ndarray, b: np.ndarray, doc: np.ndarray, ready: bool = False):
+        """``ready``: the entries are a run's, in its order."""
+        if ready:
+            self.key, self.a, self.b, self.doc = _mix(a + b.astype(np.uint64) * _C[5]), a, b, doc.copy()
+            self.marked = (a[:0], b[:0], doc[:0])
+            return
+        order, key = _order(a, b, doc)
+        a, b, doc = a[order], b[order], doc[order]
         first = np.ones(len(a), dtype=bool)
-        first[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-        least = doc[np.flatnonzero(first)][np.cumsum(first) - 1] if len(a) else doc
-        late = doc > least
+        first[1:] = (key[1:] != key[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        starts = np.flatnonzero(first)
+        if len(starts) == len(a):
+            self.key, self.a, self.b, self.doc = key, a, b, doc
+            self.marked = (a[:0], b[:0], doc[:0])
+            return
+        least = np.minimum.reduceat(doc, starts)
+        late = doc > least[np.cumsum(first) - 1]
         self.marked = (a[late], b[late], doc[late])
-        self.key, self.a, self.b, self.doc = key[first], a[first], b[first], doc[first]
+        self.key, self.a, self.b, self.doc = key[starts], a[starts], b[starts], least
 
     def __len__(self):
         return len(self.a)
 
 
 class Family:
-    """Levels of sorted runs; the size of a level is at least about twice that of the next."""
+    """Levels of sorted runs; a level is at least twice the size of the next."""
 
     def __init__(self):
         self.levels: list[Run] = []
         self.marked: list[tuple] = []
 
+    def _mark(self, marked: tuple) -> None:
+        if len(marked[0]):
+            self.marked.append(marked)
+
     def add(self, run: Run) -> None:
-        self.marked.append(run.marked)
+        self._mark(run.marked)
         for level in self.levels:
             self._scan(level, run)
         self.levels.append(run)
@@ -162,25 +187,32 @@ class Family:
         if not len(level):
             return
         at = np.minimum(np.searchsorted(level.key, run.key), len(level) - 1)
-        met = np.flatnonzero((level.a[at] == run.a) & (level.b[at] == run.b) & (level.doc[at] != run.doc))
+        met = np.flatnonzero(level.key[at] == run.key)
+        if not len(met):
+            return
         at = at[met]
-        a, b = run.a[met], run.b[met]
+        met = met[(level.a[at] == run.a[met]) & (level.b[at] == run.b[met]) & (level.doc[at] != run.doc[met])]
+        at = np.searchsorted(level.key, run.key[met])
         small, large = np.minimum(level.doc[at], run.doc[met]), np.maximum(level.doc[at], run.doc[met])
-        self.marked.append((a, b, large))
+        self._mark((run.a[met], run.b[met], large))
         level.doc[at], run.doc[met] = small, small
 
     def _merge(self) -> None:
         y, x = self.levels.pop(), self.levels.pop()
         both = Run(*(np.concatenate([getattr(x, f), getattr(y, f)]) for f in ("a", "b", "doc")))
-        self.marked.append(both.marked)
+        self._mark(both.marked)
         self.levels.append(both)
 
     def finish(self) -> tuple[Run, tuple]:
         """The whole index as one run, and the marks (a, b, doc), each once."""
         while len(self.levels) > 1:
             self._merge()
+        if not self.marked:
+            return self.levels[0], self.levels[0].marked
         a, b, doc = (np.concatenate(x) for x in zip(*self.marked, strict=True))
-        order = np.lexsort((doc, b, a))
+        self.marked = []
+        key = Marks.keys(a, b, doc)
+        order = np.argsort(key, kind="stable")
         a, b, doc = a[order], b[order], doc[order]
         new = np.ones(len(a), dtype=bool)
         new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (doc[1:] != doc[:-1])
@@ -262,6 +294,7 @@ def _batches(docs: DataFrame, buckets: int) -> DataFrame:
                     keys, texts, size = [], [], 0
         if texts:
             yield batch()
+        trim()
 
     return docs.select("doc_id", "text").mapInArrow(run, _ENTRIES)
 
@@ -287,7 +320,7 @@ def _index(entries: DataFrame, parts: int, unsettled: bool) -> DataFrame:
                 family.marked.append(_unpack(packed))
         for packed in group.column("run").to_pylist():
             if packed:
-                family.add(Run(*_unpack(packed)))
+                family.add(Run(*_unpack(packed), ready=True))
         out = []
         index, marks = family.finish() if family.levels else (None, None)
         kinds = [(0, marks)] if index is not None else []
@@ -322,17 +355,17 @@ class Marks:
                if k == kind]
         self.a, self.b, self.doc = (np.concatenate(x) for x in zip(*own, strict=True)) if own else (
             np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.int64))
-        self.key = np.sort(self._key(self.a, self.b, self.doc))
+        self.key = np.sort(self.keys(self.a, self.b, self.doc))
         self.docs = np.unique(self.doc)
 
     @staticmethod
-    def _key(a, b, doc):
+    def keys(a, b, doc):
         return _mix(_mix(a + doc.view(np.uint64) * _C[6]) + b.astype(np.uint64) * _C[7])
 
     def hit(self, a, b, doc) -> np.ndarray:
         if not len(self.key):
             return np.zeros(len(a), dtype=bool)
-        k = self._key(a, b, doc)
+        k = self.keys(a, b, doc)
         return self.key[np.minimum(np.searchsorted(self.key, k), len(self.key) - 1)] == k
 
 
@@ -441,12 +474,13 @@ def remove_repeats(docs: DataFrame, digest: bool = False) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = max(least, size // PART_BYTES + 1)
-    buckets = 1 << (max(2 * least, size // PART_BYTES + 1) - 1).bit_length()
+    buckets = 1 << (max(2 * least, size // BUCKET_BYTES + 1) - 1).bit_length()
     marks = shared_checkpoint(_index(_batches(docs, buckets), parts, unsettled=True))
     free_shuffles(spark)
     key = F.coalesce(F.col("doc_id"), F.lit(_LEAST))
     shared = docs.select("doc_id", "text", F.pmod(F.xxhash64(key), F.lit(parts)).cast("int").alias("part"))
-    settled = _index(_windows(shared, marks, buckets), parts, unsettled=False).select(
-        "part", F.lit(2).alias("kind"), "payload")
+    settled = shared_checkpoint(_index(_windows(shared, marks, buckets), parts, unsettled=False).select(
+        "part", F.lit(2).alias("kind"), "payload"))
+    free_shuffles(spark)
     return _remove(shared, marks.unionByName(settled), digest)
 
