@@ -71,7 +71,7 @@ def title_case(c: ColumnLike) -> Column:
     piece keeps the Python behaviour (``Guinea-Bissau``, ``D'Ivoire``).
     """
     pieces = F.split(F.lower(col(c)), r"(?<=[^\p{L}])")
-    return F.array_join(F.transform(pieces, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 1 << 30))), "")
+    return F.array_join(F.transform(pieces, lambda w: F.concat(F.upper(F.left(w, F.lit(1))), F.right(w, F.length(w) - 1))), "")
 
 
 def month_key(c: ColumnLike) -> Column:
@@ -104,11 +104,13 @@ def lookup(index: ColumnLike, values: Sequence[float]) -> Column:
 
 def md5_fraction_below(key_cols: Sequence[ColumnLike], fraction: float) -> Column:
     """Deterministic sampling predicate: the first 8 hex digits of md5(key) below
-    ``fraction * 2^32``, compared as fixed-width lowercase hex text.
+    ``fraction * 2^32``, compared as fixed-width lowercase hex text; 1 keeps every row.
 
     Reproducible in any engine and under any partitioning, unlike ``sample``.
     Use integer or text keys: their string form is the same everywhere.
     """
     key = F.concat_ws("|", *[col(k).cast("string") for k in key_cols])
-    bound = format(min(int(fraction * (1 << 32)), (1 << 32) - 1), "08x")
+    if fraction >= 1:
+        return F.lit(True)
+    bound = format(int(max(fraction, 0.0) * (1 << 32)), "08x")
     return F.substring(F.md5(key), 1, 8) < F.lit(bound)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.expr import clip, strip_all, title_case
 from strata.operators import features as feat
+from strata.operators.star import DIM_NOT_NULL, FACT_NOT_NULL
 
 
 # ---------------------------------------------------------------- E1-E3
@@ -56,20 +57,14 @@ def distinct_label_audit(before: DataFrame, after: DataFrame, column: str, appro
 def dedupe_keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key, the first in ``order`` (an explicit ingest order).
 
-    ``min(struct(order..., rest...))`` is an ordinary aggregate, so duplicates
-    are collapsed map-side (partial aggregation) before the shuffle: a key with
-    a huge number of copies ships one row per map task. ``order`` plus the
-    remaining columns form a total order, so the kept row is deterministic.
+    ``row_number() == 1``: Catalyst puts a partial WindowGroupLimit before the
+    shuffle, so a key with a huge number of copies ships one row per map task.
+    ``order`` plus the remaining columns form a total order, so the kept row is
+    deterministic. (An aggregate ``min(struct(...))`` over whole rows can't hash
+    and sorts them on both sides of the shuffle.)
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
-    packed = F.struct(*[F.col(c) for c in list(order) + rest])
-    return df.groupBy(*keys).agg(F.min(packed).alias("__first")).select(
-        *keys, *[F.col(f"__first.{c}").alias(c) for c in df.columns if c not in keys]).select(*df.columns)
-
-
-def dedupe_keep_first_window(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """E4, window form: ``row_number() == 1`` (Catalyst adds a partial WindowGroupLimit)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
+    w = Window.partitionBy(*keys).orderBy(*order, *rest)
     return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
 
 
@@ -139,10 +134,16 @@ def sort_panel(df: DataFrame, entity: str, date: str, num_partitions: int | None
 def validate_panel(df: DataFrame, entity: str = "country", date: str = "date",
                    flows: Sequence[str] = ("new_cases",), deaths: str = "total_deaths",
                    cases: str = "total_cases") -> DataFrame:
-    """(check, violations) for the four hard checks, two aggregates."""
+    """(check, violations) for the hard checks, two aggregates.
+
+    A missing flow or stock is a violation: a check holds only where it is known to hold.
+    """
+    def fails(ok: Column) -> Column:
+        return F.count_if(~F.coalesce(ok, F.lit(False)))
+
     row_checks = [F.count_if(F.col(date).isNull()).alias("null_date")]
-    row_checks += [F.count_if(F.col(f) < 0).alias(f"negative_{f}") for f in flows]
-    row_checks.append(F.count_if(F.col(deaths) > F.col(cases) + 1).alias("deaths_exceed_cases"))
+    row_checks += [fails(F.col(f) >= 0).alias(f"negative_{f}") for f in flows]
+    row_checks.append(fails(F.col(deaths) <= F.col(cases) + 1).alias("deaths_exceed_cases"))
     names = ["null_date"] + [f"negative_{f}" for f in flows] + ["deaths_exceed_cases"]
     rows = _long(df.agg(*row_checks), names, "check", "violations")
     dups = (df.groupBy(entity, date).count().where(F.col("count") > 1)
@@ -166,11 +167,18 @@ def row_audit(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 # ---------------------------------------------------------------- E24-E26
 def constraint_checks(fact: DataFrame, dim: DataFrame, entity: str = "country_id", date: str = "report_date",
-                      name: str = "country_name", not_null: Sequence[str] = ()) -> DataFrame:
-    """NOT NULL, UNIQUE(name), UNIQUE(entity, date), foreign key fact -> dim, as (check, violations)."""
-    nn = list(not_null) or [entity, date]
-    parts = [_long(fact.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in nn]), nn, "column", "v")
-             .select(F.concat(F.lit("not_null_"), F.col("column")).alias("check"), F.col("v").alias("violations"))]
+                      name: str = "country_name", not_null: Sequence[str] = FACT_NOT_NULL,
+                      dim_not_null: Sequence[str] = DIM_NOT_NULL) -> DataFrame:
+    """NOT NULL of both tables, UNIQUE(name), UNIQUE(entity, date), foreign key fact -> dim, as (check, violations).
+
+    A column that a table lacks is NULL in all its rows.
+    """
+    def nulls(t: DataFrame, c: str) -> Column:
+        return F.count_if(F.col(c).isNull()) if c in t.columns else F.count(F.lit(1))
+
+    parts = [_long(t.agg(*[nulls(t, c).alias(c) for c in nn]), nn, "column", "v")
+             .select(F.concat(F.lit("not_null_"), F.col("column")).alias("check"), F.col("v").alias("violations"))
+             for t, nn in ((fact, list(not_null)), (dim, list(dim_not_null))) if nn]
     parts.append(dim.groupBy(name).count().where("count > 1")
                  .agg(F.count(F.lit(1)).alias("violations")).select(F.lit("unique_name").alias("check"), "violations"))
     parts.append(fact.groupBy(entity, date).count().where("count > 1")
@@ -199,18 +207,26 @@ def sanity_metrics(fact: DataFrame, dim: DataFrame, entity: str = "country_id",
 
 def clean_panel(raw: DataFrame, entity: str = "country", date: str = "date", *,
                    names: bool = True, dedupe_order: Sequence[str] | None = None,
-                   population: str = "population") -> DataFrame:
+                   population: str = "population", audit: list | None = None) -> DataFrame:
     """E1 -> E4 -> E5 -> E8 -> E9/E10 -> E12..E16 on a raw panel.
 
     ``names=False`` skips E1 for labels that are already clean. ``dedupe_order``
     (ingest-order columns) turns on E4; a panel built on a date spine is unique
-    by construction and needs no dedupe shuffle.
+    by construction and needs no dedupe shuffle. ``audit`` (a list) gets (step, Observation)
+    pairs: the rows before and after each step that can drop some, counted while the frame runs.
     """
-    df = raw
+    def count(frame: DataFrame, step: str) -> DataFrame:
+        if audit is None:
+            return frame
+        frame, seen = row_audit(frame, step)
+        audit.append((step, seen))
+        return frame
+
+    df = count(raw, "input")
     if names:
         df = standardize_names(df, entity)
     if dedupe_order:
-        df = dedupe_keep_first(df, [entity, date], dedupe_order)
+        df = count(dedupe_keep_first(df, [entity, date], dedupe_order), "deduplicated")
     df = floor_negatives(df, ["new_cases"])
     df = recompute_missing_ratio(df, "positive_rate", "new_cases", "new_tests", 4)
     df = fill_series_gaps(df, ["icu_patients"], entity, date)

@@ -259,7 +259,6 @@ def date_spine(entities: DataFrame, start: Column, end: Column, date: str = "rep
 
 
 def date_spine_from(entities: DataFrame, dates: DataFrame, date_col: str, out: str = "report_date") -> DataFrame:
-    """G15 with the range min..max of a data column, taken as two scalar subqueries."""
-    lo = dates.select(F.min(date_col)).scalar()
-    hi = dates.select(F.max(date_col)).scalar()
-    return date_spine(entities, lo, hi, out)
+    """G15 with the range min..max of a data column: one aggregate, taken as a scalar subquery."""
+    span = dates.select(F.struct(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))).scalar()
+    return date_spine(entities, span["lo"], span["hi"], out)

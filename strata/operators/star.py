@@ -9,15 +9,25 @@ from pyspark.sql import functions as F
 
 from strata.operators.ranking import with_row_number
 
-FACT_COLUMNS = (
-    "country_id", "report_date", "total_cases", "new_cases", "total_deaths", "new_deaths",
-    "total_recovered", "active_cases", "total_tests", "new_tests", "positive_rate",
-    "people_fully_vaccinated", "total_boosters", "icu_patients", "hosp_patients",
-    "reproduction_rate", "stringency_index", "case_fatality_rate", "cases_per_million",
-    "deaths_per_million", "vaccination_rate_pct", "testing_rate_pct", "new_cases_7day_avg",
-    "new_deaths_7day_avg", "case_growth_wow_pct",
+# FIXED VALUES: the fact table's columns, in its order, with their types. "count" is a BIGINT that is NOT NULL
+# DEFAULT 0; "key" is NOT NULL; "measure" is a nullable DOUBLE. Everything else on the fact derives from this.
+FACT_LAYOUT = (
+    ("country_id", "key"), ("report_date", "key"), ("total_cases", "count"), ("new_cases", "count"),
+    ("total_deaths", "count"), ("new_deaths", "count"), ("total_recovered", "count"), ("active_cases", "count"),
+    ("total_tests", "count"), ("new_tests", "count"), ("positive_rate", "measure"), ("people_vaccinated", "count"),
+    ("people_fully_vaccinated", "count"), ("total_boosters", "count"), ("icu_patients", "count"),
+    ("hosp_patients", "count"), ("reproduction_rate", "measure"), ("stringency_index", "measure"),
+    ("case_fatality_rate", "measure"), ("cases_per_million", "measure"), ("deaths_per_million", "measure"),
+    ("vaccination_rate_pct", "measure"), ("testing_rate_pct", "measure"), ("new_cases_7day_avg", "measure"),
+    ("new_deaths_7day_avg", "measure"), ("case_growth_wow_pct", "measure"),
 )
+FACT_COLUMNS = tuple(n for n, _ in FACT_LAYOUT)
+FACT_COUNTS = tuple(n for n, kind in FACT_LAYOUT if kind == "count")
+FACT_NOT_NULL = tuple(n for n, kind in FACT_LAYOUT if kind != "measure")
+FACT_ID = "fact_id"
+# FIXED VALUES: the dimension's attributes and its NOT NULL columns.
 DIM_ATTRS = ("continent", "population", "median_age", "gdp_per_capita", "life_expectancy")
+DIM_NOT_NULL = ("country_name", "continent", "population")
 
 
 def extract_dimension(panel: DataFrame, entity: str = "country", date: str = "date",

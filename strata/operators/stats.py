@@ -9,6 +9,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.ranking import with_running_sums
+
 
 def pearson(x: str, y: str) -> Column:
     """corr(x, y), NULL when either side has zero variance (ANSI corr would divide by zero)."""
@@ -29,34 +31,56 @@ def pearson_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], digits: int |
     return one.selectExpr(f"stack({len(pairs)}, {rows}) as (x, y, n, r)")
 
 
+#: Steps of the continued fraction at most: it settles after some sqrt(dof) of them.
+MAX_STEPS = 20_000
+
+
 def t_two_sided_p(t: Column, dof: Column) -> Column:
-    """Two-sided p-value of Student's t with an integer number of degrees of freedom.
-
-    Closed form for integer dof (a finite series, Abramowitz & Stegun 26.7.3-4):
-    theta = atan(|t| / sqrt(v)); with c = cos(theta), the series
-    S = 1 + sum_k prod_{j<=k} r_j c^2 runs to k = (v-3)/2 for odd v (r_j = 2j / (2j+1))
-    or (v-2)/2 for even v (r_j = (2j-1) / 2j); P(|T| < t) is
-    2/pi (theta + sin(theta) c S) for odd v and sin(theta) S for even v.
-    Built from ``aggregate`` over a ``sequence``: JVM expressions, no Python.
+    """Two-sided p-value of Student's t, for any dof >= 1.
+
+    p = I_x(v/2, 1/2), x = v / (v + t^2): the tail itself, so small p keep their relative precision and
+    none is negative. The incomplete beta function is its continued fraction by Lentz's method, on the
+    side where it settles fast, in bounded memory. The gamma ratio in its factor is an asymptotic series
+    at a + 20, brought down by recurrence. Built from ``aggregate`` over a ``sequence``: JVM expressions.
     """
-    nu = dof.cast("bigint")
-    theta = F.atan(F.abs(t) / F.sqrt(nu.cast("double")))
-    c, sn = F.cos(theta), F.sin(theta)
-    c2 = c * c
-    odd = (nu % 2) == 1
-    m = F.when(odd, (nu - 3) / 2).otherwise((nu - 2) / 2).cast("int")
-    ks = F.when(m >= 1, F.sequence(F.lit(1), m)).otherwise(F.array().cast("array<int>"))
-
-    def step(acc, k):
-        kd = k.cast("double")
-        r = F.when(odd, (F.lit(2.0) * kd) / (F.lit(2.0) * kd + F.lit(1.0))) \
-            .otherwise((F.lit(2.0) * kd - F.lit(1.0)) / (F.lit(2.0) * kd))
-        return F.struct((acc["t"] * r * c2).alias("t"), (acc["s"] + acc["t"] * r * c2).alias("s"))
-
-    init = F.struct(F.lit(1.0).alias("t"), F.lit(1.0).alias("s"))
-    series = F.when(m < 0, F.lit(0.0)).otherwise(F.aggregate(ks, init, step, lambda acc: acc["s"]))
-    inside = F.when(odd, F.lit(2.0 / math.pi) * (theta + sn * c * series)).otherwise(sn * series)
-    return F.when((nu >= 1) & t.isNotNull(), F.lit(1.0) - inside)
+    v = dof.cast("double")
+    a = v / 2.0
+    half = F.lit(0.5)
+    t2 = t * t
+    x, y = v / (v + t2), t2 / (v + t2)
+    # G(a + 1/2) / G(a), from its series at z = a + 20
+    z = a + 20.0
+    series = F.sqrt(z) * (1.0 - 1.0 / (8.0 * z) + 1.0 / (128.0 * z * z) + 5.0 / (1024.0 * z * z * z)
+                          - 21.0 / (32768.0 * z * z * z * z) - 399.0 / (262144.0 * z * z * z * z * z))
+    ratio = F.aggregate(F.sequence(F.lit(0), F.lit(19)), series, lambda g, i: g * (a + i) / (a + i + 0.5))
+    # x^a (1-x)^(1/2) / B(a, 1/2); log1p keeps x near 1 exact
+    front = F.exp(a * -F.log1p(t2 / v)) * F.sqrt(y) * ratio / F.lit(math.sqrt(math.pi))
+    direct = x < (a + 1.0) / (a + 2.5)
+    p, q, w = F.when(direct, a).otherwise(half), F.when(direct, half).otherwise(a), F.when(direct, x).otherwise(y)
+    steps = F.least(F.lit(MAX_STEPS), (100 + 6 * F.sqrt(a)).cast("bigint").cast("int"))
+    tiny = F.lit(1e-300)
+
+    def guard(c):
+        return F.when(F.abs(c) < tiny, tiny).otherwise(c)
+
+    def one(state, term):
+        d = 1.0 / guard(1.0 + term * state["d"])
+        c = guard(1.0 + term / state["c"])
+        return F.struct(c.alias("c"), d.alias("d"), (state["h"] * d * c).alias("h"))
+
+    def step(state, i):
+        m = i.cast("double")
+        even = m * (q - m) * w / ((p + 2.0 * m - 1.0) * (p + 2.0 * m))
+        odd = -(p + m) * (p + q + m) * w / ((p + 2.0 * m) * (p + 2.0 * m + 1.0))
+        inner = F.transform(F.array(one(state, even)), lambda s: one(s, odd))
+        return F.get(inner, 0)
+
+    d0 = 1.0 / guard(1.0 - (p + q) * w / (p + 1.0))
+    start = F.struct(F.lit(1.0).alias("c"), d0.alias("d"), d0.alias("h"))
+    fraction = F.aggregate(F.sequence(F.lit(1), steps), start, step, lambda s: s["h"])
+    tail = front * fraction / p
+    value = F.when(t2 == 0, F.lit(1.0)).when(direct, tail).otherwise(1.0 - tail)
+    return F.when((dof >= 1) & t.isNotNull(), F.greatest(value, F.lit(0.0)))
 
 
 def pearson_p_values(pairs_df: DataFrame, digits: int | None = 6) -> DataFrame:
@@ -77,16 +101,24 @@ def pearson_p_values(pairs_df: DataFrame, digits: int | None = 6) -> DataFrame:
 
 def distribution(df: DataFrame, value: str, group: str | None = None,
                  quantiles: Sequence[float] = (0.1, 0.5, 0.9), digits: int | None = 6) -> DataFrame:
-    """Mean vs exact median / quantiles of a skewed measure (per group when given).
+    """Mean vs exact median / quantiles (linear between neighbours) of a skewed measure (per group when given).
 
-    ``percentile`` keeps a value -> count map per group (partial aggregation);
-    for high-cardinality measures use ``approx_distribution``.
+    The values are counted, and running sums of the counts (``with_running_sums``, in range slices) give each
+    value's positions: a group's values are in no task together. NULL values do not count.
     """
-    aggs = [F.count(value).alias("n"), F.avg(value).alias("mean")]
+    by = [group] if group else []
+    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("__c"))
+    at = with_running_sums(counts, [F.col(value)], {"__upto": "__c"}, total_suffix="__all", by=by)
+    n = F.col("__upto__all")
+    aggs = [F.sum("__c").alias("n"), (F.sum(F.col(value) * F.col("__c")) / F.sum("__c")).alias("mean")]
     for q in quantiles:
-        p = F.percentile(value, q)
+        place = F.lit(float(q)) * (n - 1)
+        low = F.min(F.when(F.col("__upto") > F.floor(place), F.col(value))).cast("double")
+        high = F.min(F.when(F.col("__upto") > F.ceil(place), F.col(value))).cast("double")
+        part = F.max(place - F.floor(place))
+        p = low + (high - low) * part
         aggs.append((F.round(p, digits) if digits is not None else p).alias(f"p{int(round(q * 100)):02d}"))
-    return (df.groupBy(group) if group else df).agg(*aggs)
+    return (at.groupBy(*by) if by else at).agg(*aggs)
 
 
 def approx_distribution(df: DataFrame, value: str, group: str | None = None,
@@ -97,16 +129,30 @@ def approx_distribution(df: DataFrame, value: str, group: str | None = None,
     return (df.groupBy(group) if group else df).agg(*aggs)
 
 
+def _mean(c: str, dtype: str) -> Column:
+    """The mean; of floating numbers by their sum to six decimals, which no order of summation changes."""
+    if dtype not in ("float", "double"):
+        return F.avg(c)
+    return F.sum(F.col(c).try_cast("decimal(30,6)")).cast("double") / F.when(F.count(c) > 0, F.count(c))
+
+
 def profile_table(df: DataFrame, columns: Sequence[str] | None = None, digits: int = 6) -> DataFrame:
-    """Per numeric column: type, rows, nulls, min, max, mean (one aggregate, long form)."""
+    """Per column: type, rows, nulls, and min, max, mean of numbers or min_text, max_text of anything else
+    (one aggregate, long form)."""
     num = {"tinyint", "smallint", "int", "bigint", "float", "double"}
     types = dict(df.dtypes)
-    cols = [c for c in (columns or df.columns) if types[c] in num or types[c].startswith("decimal")]
+    cols = list(columns or df.columns)
     aggs = []
     for i, c in enumerate(cols):
+        number = types[c] in num or types[c].startswith("decimal")
+        none = F.lit(None)
         aggs += [F.count(F.lit(1)).alias(f"rows{i}"), F.count_if(F.col(c).isNull()).alias(f"nulls{i}"),
-                 F.min(c).cast("double").alias(f"min{i}"), F.max(c).cast("double").alias(f"max{i}"),
-                 F.round(F.avg(c), digits).alias(f"mean{i}")]
+                 (F.min(c) if number else none).cast("double").alias(f"min{i}"),
+                 (F.max(c) if number else none).cast("double").alias(f"max{i}"),
+                 (F.round(_mean(c, types[c]), digits) if number else none).cast("double").alias(f"mean{i}"),
+                 (none if number else F.min(c)).cast("string").alias(f"mint{i}"),
+                 (none if number else F.max(c)).cast("string").alias(f"maxt{i}")]
     one = df.agg(*aggs)
-    rows = ", ".join(f"'{c}', '{types[c]}', rows{i}, nulls{i}, min{i}, max{i}, mean{i}" for i, c in enumerate(cols))
-    return one.selectExpr(f"stack({len(cols)}, {rows}) as (column, dtype, n_rows, n_null, min, max, mean)")
+    rows = ", ".join(f"'{c}', '{types[c]}', rows{i}, nulls{i}, min{i}, max{i}, mean{i}, mint{i}, maxt{i}"
+                     for i, c in enumerate(cols))
+    return one.selectExpr(f"stack({len(cols)}, {rows}) as (column, dtype, n_rows, n_null, min, max, mean, min_text, max_text)")

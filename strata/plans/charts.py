@@ -52,9 +52,18 @@ def c5_rollout_lines(fact, dim, names: Sequence[str]):
 
 
 def c6_month_heatmap(fact, dim, names: Sequence[str]):
-    """Entity-year x month-of-year matrix of monthly cases (pivot with a fixed value list: no extra job)."""
+    """The entity x month matrix of monthly cases, a column for each month of the data (a calendar's length).
+
+    Two values for one cell (a name with two groups) are refused, as a pivot must not add them up.
+    """
     m = monthly_summary(fact, dim).where(F.col("country_name").isin(*names))
-    m = m.select("country_name", F.substring("report_month", 1, 4).cast("int").alias("year"),
-                 F.substring("report_month", 6, 2).cast("int").alias("month"), "monthly_new_cases")
-    p = m.groupBy("country_name", "year").pivot("month", list(range(1, 13))).agg(F.sum("monthly_new_cases"))
-    return p.select("country_name", "year", *[F.col(str(i)).alias(f"m{i:02d}") for i in range(1, 13)])
+    span = fact.agg(F.min(D).alias("lo"), F.max(D).alias("hi")).first()
+    months = []
+    if span["lo"] is not None:
+        y, mo = span["lo"].year, span["lo"].month
+        while (y, mo) <= (span["hi"].year, span["hi"].month):
+            months.append(f"{y:04d}-{mo:02d}")
+            y, mo = (y, mo + 1) if mo < 12 else (y + 1, 1)
+    cell = F.max("monthly_new_cases")
+    once = F.when(F.count("report_month") > 1, F.raise_error(F.lit("two values for one cell")).cast("bigint")).otherwise(cell)
+    return m.groupBy("country_name").pivot("report_month", months).agg(once)

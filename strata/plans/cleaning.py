@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from strata.functions.expr import md5_fraction_below
 from strata.operators import clean as C
 from strata.operators import features as G
+from strata.operators import ranking as RK
 from strata.operators import star as S
 from strata.sources.tables import read_table
 
@@ -66,11 +67,62 @@ def e6_clip_range(spark, sf, lo=0.0, hi=5000.0):
 
 
 def e18_row_audit(spark, sf):
-    li = _t(spark, sf, "lineitem")
-    before = li.select(F.count(F.lit(1))).scalar()
-    after = C.dedupe_keep_first(li, LINEITEM_KEY, LINEITEM_ORDER).select(F.count(F.lit(1))).scalar()
-    return spark.range(1).select(F.lit(before).alias("rows_before"), F.lit(after).alias("rows_after")) \
-        .selectExpr("stack(2, 'input', rows_before, 'deduplicated', rows_after) as (step, n_rows)")
+    """Rows before and after the dedupe, counted by the one run of it (``observe``)."""
+    before, seen = C.row_audit(_t(spark, sf, "lineitem"), "input")
+    after, left = C.row_audit(C.dedupe_keep_first(before, LINEITEM_KEY, LINEITEM_ORDER), "deduplicated")
+    after.write.format("noop").mode("overwrite").save()
+    rows = [("input", seen.get["rows"]), ("deduplicated", left.get["rows"])]
+    return spark.createDataFrame(rows, "step string, n_rows bigint")
+
+
+def dirty_panel(spark, sf):
+    """Orders as a panel that breaks every check: repeated (customer, day), unknown and negative flows,
+    unknown and too large stocks."""
+    o = _t(spark, sf, "orders", ["o_custkey", "o_orderdate", "o_orderstatus", "o_totalprice"])
+    price = F.col("o_totalprice")
+    return o.select(F.col("o_custkey").alias("country"), F.col("o_orderdate").alias("date"),
+                    F.when(F.col("o_orderstatus") != "P", price - 20000).alias("new_cases"), price.alias("total_deaths"),
+                    F.when(price < 400000, F.lit(150000.0)).alias("total_cases"))
+
+
+def e17_validate_dirty(spark, sf):
+    return C.validate_panel(dirty_panel(spark, sf))
+
+
+def e24_constraints_dirty(spark, sf):
+    """Orders against the customers in credit, whose market segment is taken for a unique name."""
+    c = _t(spark, sf, "customer", ["c_custkey", "c_mktsegment", "c_acctbal"]).where("c_acctbal > 0")
+    dim = c.select(F.col("c_custkey").alias("country"), F.col("c_mktsegment").alias("name"))
+    return C.constraint_checks(dirty_panel(spark, sf), dim, "country", "date", "name",
+                               not_null=("country", "date", "new_cases", "total_cases"), dim_not_null=("name",))
+
+
+def e19_drift_orders(spark, sf):
+    o = _t(spark, sf, "orders", ["o_custkey", "o_orderpriority"])
+    return S.attribute_drift(o, "o_custkey", ("o_orderpriority",))
+
+
+def e21_unmatched_some(spark, sf):
+    o = _t(spark, sf, "orders", ["o_custkey"])
+    c = _t(spark, sf, "customer", ["c_custkey", "c_acctbal"]).where("c_acctbal > 0").select("c_custkey")
+    return S.unmatched_keys(o, c, "o_custkey", "c_custkey")
+
+
+def _with_nulls(spark, sf):
+    c = _t(spark, sf, "customer", ["c_custkey", "c_mktsegment", "c_acctbal"])
+    return c.select("c_custkey", F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_mktsegment")).alias("segment"),
+                    F.when(F.col("c_acctbal") >= 0, F.floor(F.col("c_acctbal") / 500)).cast("bigint").alias("level"))
+
+
+def rank_with_nulls(spark, sf):
+    order = [F.col("level").desc(), F.col("c_custkey")]
+    r = RK.with_rank_variants(_with_nulls(spark, sf), ["level"], order)
+    return RK.with_group_rank(r, ["segment"], ["level"], order, "segment_rank")
+
+
+def running_sum_with_nulls(spark, sf):
+    r = RK.with_running_sums(_with_nulls(spark, sf), [F.col("c_custkey")], {"running": "level"})
+    return RK.with_running_sums(r, [F.col("c_custkey")], {"segment_running": "level"}, by=["segment"])
 
 
 def e20_assign_surrogate_key(fact, dim):
@@ -121,7 +173,8 @@ def panel_ops(raw: DataFrame) -> dict[str, Callable[[], DataFrame]]:
         .select(*keys, "growth"),
         "extract_dimension": lambda: S.extract_dimension(raw),
         "attribute_drift": lambda: S.attribute_drift(raw),
-        "project_rename": lambda: S.project_rename(raw, columns=(K, "report_date", "new_cases", "total_cases")),
+        "project_rename": lambda: S.project_rename(
+            raw, columns=["report_date" if c == DT else c for c in raw.columns]),
         "cumulative_total": lambda: G.cumulative_total(raw.select(*keys, "new_cases"), {"running_cases": "new_cases"}, K, DT),
         "lag_zero": lambda: G.lag_zero(raw.select(*keys, "new_cases"), "new_cases", 12, "lagged_cases", K, DT),
         "elementwise_min_max": lambda: raw.select(*keys, G.elementwise_min("total_recovered", "total_cases").alias("capped"),
@@ -183,11 +236,12 @@ def g16_sample_rows(spark, sf, fraction=0.1):
     return li.where(md5_fraction_below(["l_orderkey", "l_linenumber"], fraction))
 
 
-def g17_concat_rows(spark, sf, years=(1995, 1996)):
+def g17_concat_rows(spark, sf):
+    """Whole frames one after the other: every order's and every event's key and day."""
     o = _t(spark, sf, "orders", ["o_orderkey", "o_orderdate"])
-    a = o.where(F.year("o_orderdate") == years[0])
-    b = o.where(F.year("o_orderdate") == years[1])
-    return a.unionByName(b)
+    e = _t(spark, sf, "events", ["event_id", "ts"])
+    return o.select(F.col("o_orderkey").alias("key"), F.col("o_orderdate").alias("day")).unionByName(
+        e.select(F.col("event_id").alias("key"), F.col("ts").cast("date").alias("day")))
 
 
 def g18_conditional_update(spark, sf):

@@ -64,17 +64,16 @@ LEADER_KPIS = (
 def r5_kpi_leaders(fact, dim, kpis=LEADER_KPIS, as_of=None):
     """Entities at each KPI's extreme; ties are all listed.
 
-    The snapshot is turned into one long (kpi, entity, value) frame; the
-    extremes are a grouped aggregate on it joined back by KPI, so the snapshot
-    is computed once and no per-KPI branch rescans it.
+    The extremes are one aggregate row used as a scalar subquery; each entity's
+    values are compared with it in place, so nothing is shuffled by KPI.
     """
     v = latest_snapshot(fact, dim, as_of=as_of, columns=SNAP_COLS)
-    items = [F.struct(F.lit(label).alias("kpi"), F.col(col).cast("double").alias("value"),
-                      F.lit(how == "max").alias("is_max")) for label, col, how in kpis]
-    long = v.select("country_name", F.explode(F.array(*items)).alias("x")).select("country_name", "x.*")
-    ext = long.groupBy("kpi").agg(F.max("value").alias("__mx"), F.min("value").alias("__mn"))
-    hit = F.when(F.col("is_max"), F.col("value") == F.col("__mx")).otherwise(F.col("value") == F.col("__mn"))
-    return long.join(ext, "kpi").where(hit).select("kpi", "country_name", "value")
+    best = v.select(F.struct(*[(F.max if how == "max" else F.min)(F.col(col).cast("double")).alias(label)
+                               for label, col, how in kpis])).scalar()
+    items = [F.when(F.col(col).cast("double") == best[label],
+                    F.struct(F.lit(label).alias("kpi"), F.col(col).cast("double").alias("value"))) for label, col, _ in kpis]
+    return (v.select("country_name", F.explode(F.array(*items)).alias("x")).where(F.col("x").isNotNull())
+            .select("x.kpi", "country_name", "x.value"))
 
 
 def r6_kpi_table(fact, dim, as_of=None):
@@ -138,27 +137,30 @@ def p7_median_vs_mean(fact, dim, value="new_cases", group="continent"):
     return stats.distribution(f, value, group)
 
 
-PROFILE_COLUMNS = ("new_cases", "new_deaths", "new_tests", "total_cases", "icu_patients", "hosp_patients")
-
-
-def p8_profile_table(fact, columns=PROFILE_COLUMNS):
-    return stats.profile_table(fact, list(columns))
+def p8_profile_table(fact, columns=None):
+    return stats.profile_table(fact, columns)
 
 
 def p9_incremental_upsert(base: DataFrame, delta: DataFrame, keys: Sequence[str], load_col: str = "load_id"):
-    """Merge a newer load into a table: per key the row of the latest load wins.
+    """Merge a newer load into a table: per key the row of the latest load wins, and of two rows of one load
+    the larger by the other columns in turn.
 
     ``row_number() == 1`` per key (partial WindowGroupLimit before the shuffle).
     """
     u = base.unionByName(delta)
-    w = Window.partitionBy(*keys).orderBy(F.col(load_col).desc())
+    rest = [F.col(c).desc() for c in u.columns if c not in keys and c != load_col]
+    w = Window.partitionBy(*keys).orderBy(F.col(load_col).desc(), *rest)
     return u.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
 
 
-def p9_demo(fact, cutoff="1998-12-31", delta_from="1998-12-01"):
+RESTATED = 1000
+
+
+def p9_demo(fact, cutoff="1998-12-31", delta_from="1998-07-01"):
     cols = [E, D, "new_cases", "total_cases", "icu_patients"]
     base = fact.where(F.col(D) <= F.lit(cutoff).cast("date")).select(*cols, F.lit(1).alias("load_id"))
     delta = fact.where(F.col(D) >= F.lit(delta_from).cast("date")).select(*cols, F.lit(2).alias("load_id"))
+    delta = delta.withColumn("new_cases", F.col("new_cases") + RESTATED)  # the newer load corrects the older
     return p9_incremental_upsert(base, delta, [E, D])
 
 

@@ -24,6 +24,8 @@ STRINGENCY_EDGES = (40, 65)
 STRINGENCY_LABELS = ("1. Low stringency", "2. Medium stringency", "3. High stringency")
 GDP_EDGES = (5000, 20000, 50000)
 AGE_EDGES = (25, 35, 42)
+GDP_LABELS = ("1. Low GDP (<$5k)", "2. Mid GDP ($5k-$20k)", "3. High GDP ($20k-$50k)", "4. Very High GDP ($50k+)")
+AGE_LABELS = ("1. Young (<25)", "2. Mid (25-35)", "3. Older (35-42)", "4. Oldest (42+)")
 
 
 def _dec_avg(c: str, scale: int):
@@ -161,7 +163,7 @@ def cohort_summary(v: DataFrame, value: str, edges, labels, name: str, aggs) ->
 
 
 def q14_gdp_cohorts(fact, dim, edges=GDP_EDGES, labels=None, as_of=None):
-    labels = labels or _labels("GDP", edges)
+    labels = labels or (GDP_LABELS if tuple(edges) == GDP_EDGES else _labels("GDP", edges))
     v = latest_snapshot(fact, dim, as_of=as_of, columns=["vaccination_rate_pct", "case_fatality_rate"])
     return cohort_summary(v, "gdp_per_capita", edges, labels, "gdp_bucket", [
         F.count(F.lit(1)).alias("n_countries"),
@@ -170,7 +172,7 @@ def q14_gdp_cohorts(fact, dim, edges=GDP_EDGES, labels=None, as_of=None):
 
 
 def q15_age_cohorts(fact, dim, edges=AGE_EDGES, labels=None, as_of=None):
-    labels = labels or _labels("Age", edges)
+    labels = labels or (AGE_LABELS if tuple(edges) == AGE_EDGES else _labels("Age", edges))
     v = latest_snapshot(fact, dim, as_of=as_of, columns=["case_fatality_rate"])
     return cohort_summary(v, "median_age", edges, labels, "age_bucket", [
         F.count(F.lit(1)).alias("n_countries"),

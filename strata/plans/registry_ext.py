@@ -10,18 +10,18 @@ from strata.operators import star as S
 from strata.plans import charts as CH
 from strata.plans import cleaning as CL
 from strata.plans import kpis as R
-from strata.plans.oracle import clip_sql, latest_cte, r_even, r_up, with_panel
+from strata.plans.oracle import PANEL_CTES, clip_sql, latest_cte, r_even, r_up, with_panel
 from strata.plans.panel import panel
-from strata.plans.registry_core import AS_OF, FACT_SELECT, YEARS
+from strata.plans.registry_core import COVERAGE, FACT_SELECT, YEARS
 from strata.plans.registry_core import ORACLE as CORE_ORACLE
 from strata.sources import io
 from strata.session import new_output_path
 
 NAMES6 = tuple(f"NATION_{i}" for i in range(6))
 NAMES10 = tuple(f"NATION_{i}" for i in range(10))
-RAW_COLS = ("country_id country continent date population median_age gdp_per_capita life_expectancy new_cases "
-            "new_deaths new_tests icu_patients hosp_patients positive_rate stringency_index total_cases total_deaths "
-            "total_recovered total_tests people_fully_vaccinated total_boosters active_cases reproduction_rate").split()
+RAW_COLS = [f.name for f in io.RAW_PANEL_SCHEMA.fields]
+# FIXED VALUES: rows of the written CSV that get dirt, by the remainder of their day number (country_id added).
+DIRT = {"repeated": 250, "no_rate": 67, "no_icu": 101, "shouted": 97, "negative": 1009}
 
 
 def _p(spark, sf):
@@ -40,11 +40,10 @@ def s1_read_panel_csv(spark, sf):
 
 
 def s2_write_panel(spark, sf):
-    """Fact written partitioned by year (date filters prune folders), entity-clustered and date-sorted inside."""
+    """Fact written partitioned by year: date filters prune folders, and a folder has few files."""
     path = new_output_path(spark, "panel-parquet")
     fact = _p(spark, sf).fact.withColumn("report_year", F.year("report_date"))
-    io.write_panel(fact.sortWithinPartitions("report_year", "country_id", "report_date"), path,
-                   partition_by=["report_year"])
+    io.write_panel(fact, path, partition_by=["report_year"])
     return spark.read.parquet(path).drop("report_year")
 
 
@@ -66,7 +65,7 @@ def s4_append_table(spark, sf, cutoff="1998-12-31"):
 def s5_scan_table(spark, sf):
     p = _p(spark, sf)
     io.register_views(spark, p.fact, p.dim)
-    return io.scan_table(spark, "SELECT * FROM vw_latest_snapshot")
+    return io.scan_table(spark, sql="SELECT * FROM vw_latest_snapshot")
 
 
 def s6_register_views(spark, sf):
@@ -79,23 +78,29 @@ def s7_full_rebuild(spark, sf):
     def build():
         p = _p(spark, sf)
         return p.fact, p.dim
-    io.full_rebuild(spark, build, new_output_path(spark, "rebuild"))
-    return io.scan_table(spark, "entities")
+    base = new_output_path(spark, "rebuild")
+    io.full_rebuild(spark, build, base)
+    return spark.read.parquet(io.open_star_tables(spark, base)["panel_facts"])
 
 
 def s8_query_suite(spark, sf):
     from strata.plans.registry_core import SPARK as CORE
     from strata.plans.suite import run_suite
 
-    status, _ = run_suite(spark, {n: (lambda n=n: CORE[n](spark, sf)) for n in SUITE})
+    status, _ = run_suite(spark, {n: (lambda n=n: CORE[n](spark, sf)) for n in QUESTIONS}, new_output_path(spark, "suite"))
     return status
 
 
-SUITE = ("top_per_million", "group_ratio_of_sums", "peak_day", "monthly_global", "global_kpis")
+QUESTIONS = (  # the 25, in their order
+    "top_per_million", "global_running_total", "rank_in_group", "pareto_quintiles", "moving_avg_30", "avg_monthly_gain",
+    "snapshot_pairs", "avg_growth_having", "monthly_global", "group_ratio_of_sums", "below_threshold", "wave_direction",
+    "level_per_million", "gdp_cohorts", "age_cohorts", "bottom_testing", "peak_day", "stringency_cohorts", "stock_ratio",
+    "year_pivot", "count_above", "recovery_rate", "global_kpis", "above_global_avg", "monthly_view_slice")
 
 
-def p9_stream_upsert(spark, sf, cutoff="1998-12-31", delta_from="1998-12-01"):
-    """P9, stream form: base and delta loads land as files; a stream merges them into a table."""
+def p9_stream_upsert(spark, sf, cutoff="1998-12-31", delta_from="1998-07-01"):
+    """P9, stream form: base and delta loads land as files one after the other, and each is merged by a trigger
+    of its own: the first makes the table, the second corrects its rows."""
     from pyspark.sql import types as T
 
     from strata.streaming.upsert import start_upsert_stream
@@ -107,29 +112,46 @@ def p9_stream_upsert(spark, sf, cutoff="1998-12-31", delta_from="1998-12-01"):
     loads = [(fact.where(F.col("report_date") <= F.lit(cutoff).cast("date")), 1),
              (fact.where(F.col("report_date") >= F.lit(delta_from).cast("date")), 2)]
     for df, load in loads:
-        df.select(*cols, F.lit(load).alias("load_id"), month).write.mode("append").parquet(f"{base}/source")
-    schema = spark.read.parquet(f"{base}/source").schema
-    q = start_upsert_stream(spark, f"{base}/source", T.StructType(schema.fields), f"{base}/table",
-                            ["country_id", "report_date"], "load_id", "part_month", f"{base}/checkpoint",
-                            )
-    q.awaitTermination()
+        restated = (F.col("new_cases") + (load - 1) * R.RESTATED).alias("new_cases")
+        df.select(*[restated if c == "new_cases" else c for c in cols], F.lit(load).alias("load_id"), month) \
+            .write.mode("append").parquet(f"{base}/source")
+        schema = spark.read.parquet(f"{base}/source").schema
+        q = start_upsert_stream(spark, f"{base}/source", T.StructType(schema.fields), f"{base}/table",
+                                ["country_id", "report_date"], "load_id", "part_month", f"{base}/checkpoint")
+        q.awaitTermination()
     return spark.read.parquet(f"{base}/table").select(*cols, "load_id")
 
 
 def reference_workflow(spark, sf):
-    """The raw-CSV workflow end to end: the panel is written in the raw daily layout, then read,
-    cleaned (title-cased names, keep-first dedupe by file order, fills, derived columns),
-    validated and split into star tables; the result is the fact with the entity name."""
+    """The raw-CSV workflow end to end on dirt put in by rule: the panel is written in the raw daily layout with
+    repeated rows, missing rates and ICU counts, shouted names and negative flows, then read, cleaned
+    (title-cased names, keep-first dedupe by file order, floor, fills, derived columns), validated and
+    split into star tables; the result is the fact with the entity name."""
     from strata.plans import workflow as WF
 
     raw = _p(spark, sf).raw
     cols = [(F.col(n) if n in raw.columns else F.lit(None).cast(t)).alias(n) for n, t in WF.RAW_CSV_COLUMNS]
+    nth = F.unix_date("date") + F.col("country_id")
+
+    def hit(what):
+        return F.pmod(nth, F.lit(DIRT[what])) == 0
+
+    dirty = raw.withColumns({
+        "repeated": hit("repeated"), "positive_rate": F.when(~hit("no_rate"), F.col("positive_rate")),
+        "icu_patients": F.when(~hit("no_icu"), F.col("icu_patients")),
+        "country": F.when(hit("shouted"), F.concat(F.upper("country"), F.lit("  "))).otherwise(F.col("country")),
+        "new_cases": F.when(hit("negative"), -F.col("new_cases")).otherwise(F.col("new_cases"))})
     path = new_output_path(spark, "raw-csv")
-    io.write_panel(raw.select(*cols), path, fmt="csv")
-    clean, report = WF.clean_raw(WF.read_raw_csv(spark, path))
-    clean = clean.persist()  # read by the validation, the dimension and the fact
-    report = C.validate_panel(clean, entity="country", date="date")
-    C.assert_valid(report)
+    io.write_panel(dirty.select(*cols), path, fmt="csv")
+    # copies come later and say something else: the first row of a key is kept
+    again = dirty.where("repeated").withColumn("new_cases", F.col("new_cases") + 5)
+    path_2 = new_output_path(spark, "raw-csv-later")
+    io.write_panel(again.select(*cols), path_2, fmt="csv")
+    clean, report = WF.clean_raw(WF.read_raw_csv(spark, [path, path_2]))
+    stored = new_output_path(spark, "clean")
+    io.write_panel(clean, stored)  # read by the validation, the dimension and the fact
+    clean = spark.read.parquet(stored)
+    C.assert_valid(C.validate_panel(clean, entity="country", date="date"))
     fact, dim = WF.build_star(clean)
     keep = [c for c in S.FACT_COLUMNS if c != "country_id"]
     return fact.join(dim.select("country_id", "country_name"), "country_id").select("country_name", *keep)
@@ -157,6 +179,12 @@ SPARK = {
     "row_audit": CL.e18_row_audit,
     "lookup_key": CL.e21_lookup_key,
     "unmatched_keys": CL.e21_unmatched,
+    "unmatched_keys_some": CL.e21_unmatched_some,
+    "attribute_drift_orders": CL.e19_drift_orders,
+    "validate_dirty": CL.e17_validate_dirty,
+    "constraints_dirty": CL.e24_constraints_dirty,
+    "rank_with_nulls": CL.rank_with_nulls,
+    "running_sum_with_nulls": CL.running_sum_with_nulls,
     "normalize_date": CL.e23_normalize_date,
     "assign_surrogate_key": lambda spark, sf: CL.e20_assign_surrogate_key(_p(spark, sf).fact, _p(spark, sf).dim),
     "validate_panel": lambda spark, sf: C.validate_panel(_p(spark, sf).fact, "country_id", "report_date"),
@@ -179,15 +207,15 @@ SPARK = {
     # charts
     "global_trend_7d": lambda spark, sf: CH.c1_global_trend_7d(_p(spark, sf).fact),
     "pareto_curve": lambda spark, sf: CH.c2_pareto_curve(_p(spark, sf).fact, _p(spark, sf).dim),
-    "bubble_pairs": lambda spark, sf: CH.c3_bubble_pairs(_p(spark, sf).fact, _p(spark, sf).dim, AS_OF),
+    "bubble_pairs": lambda spark, sf: CH.c3_bubble_pairs(_p(spark, sf).fact, _p(spark, sf).dim),
     "continent_bars": lambda spark, sf: CH.c4_continent_bars(_p(spark, sf).fact, _p(spark, sf).dim),
     "rollout_lines": lambda spark, sf: CH.c5_rollout_lines(_p(spark, sf).fact, _p(spark, sf).dim, NAMES6),
     "month_heatmap": lambda spark, sf: CH.c6_month_heatmap(_p(spark, sf).fact, _p(spark, sf).dim, NAMES10),
     # published metrics
-    "pearson_pairs": lambda spark, sf: R.r1_pearson_pairs(_p(spark, sf).fact, _p(spark, sf).dim, AS_OF),
-    "pearson_p_value": lambda spark, sf: R.r2_pearson_p_value(_p(spark, sf).fact, _p(spark, sf).dim, AS_OF),
+    "pearson_pairs": lambda spark, sf: R.r1_pearson_pairs(_p(spark, sf).fact, _p(spark, sf).dim),
+    "pearson_p_value": lambda spark, sf: R.r2_pearson_p_value(_p(spark, sf).fact, _p(spark, sf).dim),
     "yoy_change_pct": lambda spark, sf: R.r3_yoy_change_pct(_p(spark, sf).fact, YEARS),
-    "share_below": lambda spark, sf: R.r4_share_below(_p(spark, sf).fact, _p(spark, sf).dim, as_of=AS_OF),
+    "share_below": lambda spark, sf: R.r4_share_below(_p(spark, sf).fact, _p(spark, sf).dim, threshold=COVERAGE),
     "kpi_leaders": lambda spark, sf: R.r5_kpi_leaders(_p(spark, sf).fact, _p(spark, sf).dim),
     "kpi_table": lambda spark, sf: R.r6_kpi_table(_p(spark, sf).fact, _p(spark, sf).dim),
     # described patterns
@@ -220,7 +248,6 @@ def title_sql(x: str) -> str:
 
 W = "PARTITION BY country_id ORDER BY date"
 V1 = latest_cte("v1")
-V1A = latest_cte("v1", AS_OF)
 LI_ORDER = ", ".join(f"{c} NULLS FIRST" for c in CL.LINEITEM_ORDER)
 
 
@@ -241,17 +268,16 @@ PAIRS_RAW_SQL = _union([
     f"SELECT '{x}' AS x, '{y}' AS y, count(*) FILTER (WHERE {x} IS NOT NULL AND {y} IS NOT NULL) AS n, "
     f"CASE WHEN var_pop({x}) > 0 AND var_pop({y}) > 0 THEN corr({x}, {y}) END AS r FROM v1"
     for x, y in R.PAIRS])
-# Two-sided Student-t p-value for integer dof, same closed form and operation order as stats.t_two_sided_p.
-_ODD = "((n - 2) % 2 = 1)"
-_M = f"CAST(CASE WHEN {_ODD} THEN (n - 2 - 3) / 2 ELSE (n - 2 - 2) / 2 END AS INTEGER)"
-_R = (f"CASE WHEN {_ODD} THEN (2.0::DOUBLE * k) / (2.0::DOUBLE * k + 1.0::DOUBLE) "
-      "ELSE (2.0::DOUBLE * k - 1.0::DOUBLE) / (2.0::DOUBLE * k) END")
-_C2 = "(cos(th) * cos(th))"
-_SERIES = (f"CASE WHEN {_M} < 0 THEN 0.0::DOUBLE ELSE list_reduce(CASE WHEN {_M} >= 1 THEN generate_series(1, {_M}) "
-           f"ELSE CAST([] AS BIGINT[]) END, lambda acc, k: {{'t': acc.t * {_R} * {_C2}, 's': acc.s + acc.t * {_R} * {_C2}}}, "
-           "{'t': 1.0::DOUBLE, 's': 1.0::DOUBLE}).s END")
-P_SQL = (f"CASE WHEN n - 2 >= 1 AND t IS NOT NULL THEN 1.0::DOUBLE - CASE WHEN {_ODD} THEN (2.0::DOUBLE / pi()) * "
-         f"(th + sin(th) * cos(th) * {_SERIES}) ELSE sin(th) * {_SERIES} END END")
+# Two-sided Student-t p-value by Simpson's rule over the tail: with u = |t| / w, p = 2 c |t| times the integral over
+# w from 0 to 1 of w^(v-1) (w^2 + t^2/v)^(-(v+1)/2), a smooth function; c from lgamma.
+_N = 4000
+_W = f"(k / {_N}.0::DOUBLE)"
+_SIMPSON = (f"list_sum(list_transform(generate_series(1, {_N}), lambda k: (CASE WHEN k = {_N} THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END) * "
+            f"pow({_W}, v - 1) * pow({_W} * {_W} + t * t / v, -(v + 1) / 2.0::DOUBLE))) / (3.0::DOUBLE * {_N})")
+P_SQL = (f"CASE WHEN v >= 1 AND t IS NOT NULL THEN CASE WHEN t = 0 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * exp(lgamma((v + 1) / 2.0::DOUBLE) - "
+         f"lgamma(v / 2.0::DOUBLE)) / sqrt(v * pi()) * abs(t) * {_SIMPSON} END END")
+LEVELS_SQL = ("SELECT c_custkey, nullif(c_mktsegment, 'BUILDING') AS segment, CASE WHEN c_acctbal >= 0 THEN "
+              "CAST(floor(c_acctbal / 500) AS BIGINT) END AS level FROM customer")
 KPI_COLS = ["global_total_cases", "global_total_deaths", "global_total_recovered", "global_active_cases",
             "global_cfr_pct", "avg_country_vaccination_rate_pct"]
 Q23_SQL = ("k AS (SELECT sum(total_cases) AS global_total_cases, sum(total_deaths) AS global_total_deaths, "
@@ -259,20 +285,64 @@ Q23_SQL = ("k AS (SELECT sum(total_cases) AS global_total_cases, sum(total_death
            f"{r_up('100.0::DOUBLE * sum(total_deaths) / nullif(sum(total_cases), 0)', 3)} AS global_cfr_pct, "
            f"{r_up('CAST(sum(CAST(vaccination_rate_pct AS DECIMAL(18,2))) AS DOUBLE) / count(vaccination_rate_pct)', 1)} "
            "AS avg_country_vaccination_rate_pct FROM v1)")
-MONTHS = ", ".join(f"CAST(sum(CASE WHEN mo = {m} THEN c END) AS BIGINT) AS m{m:02d}" for m in range(1, 13))
+MONTHS = ", ".join(f"CAST(sum(c) FILTER (WHERE ym = '{y}-{m:02d}') AS BIGINT) AS \"{y}-{m:02d}\""
+                   for y in range(1995, 2002) for m in range(1, 13) if (y, m) <= (2001, 8))
+
+
+UPSERT_SQL = ("SELECT country_id, report_date, new_cases + CASE WHEN report_date >= DATE '1998-07-01' THEN 1000 ELSE 0 END AS new_cases, "
+              "total_cases, icu_patients, CASE WHEN report_date >= DATE '1998-07-01' THEN 2 ELSE 1 END AS load_id FROM fact")
+def _mean_sql(c, kind):
+    return f"CAST(sum(CAST({c} AS DECIMAL(30,6))) AS DOUBLE) / count({c})" if kind == "measure" else f"avg({c})"
+
+
+FACT_ID_SQL = "row_number() OVER (ORDER BY country_id, report_date) AS fact_id"
+
+
+def _dirt(what):
+    return f"((date - DATE '1970-01-01') + country_id) % {DIRT[what]} = 0"
+
+
+#: The workflow's dirt, then what cleaning makes of it, in the panel's own CTEs.
+DIRTY_PANEL = PANEL_CTES.replace("FROM raw\n),\nfact AS", "FROM spoilt\n),\nfact AS").replace(
+    "clean0 AS (", "spoilt AS (SELECT * REPLACE (CASE WHEN " + _dirt("no_rate") + " THEN NULL ELSE positive_rate END AS "
+    "positive_rate, CASE WHEN " + _dirt("no_icu") + " THEN NULL ELSE icu_patients END AS icu_patients, CASE WHEN "
+    + _dirt("negative") + " THEN 0 ELSE new_cases END AS new_cases) FROM raw),\nclean0 AS (")
 
 ORACLE = {
-    "reference_workflow": with_panel(
-        f"SELECT {title_sql('d.country_name')} AS country_name, "
+    "reference_workflow": "WITH " + DIRTY_PANEL.strip()
+        + f"\nSELECT {title_sql('d.country_name')} AS country_name, "
         + ", ".join(f"f.{c}" for c in FACT_SELECT.split(", ") if c != "country_id")
-        + " FROM fact f JOIN dim d ON d.country_id = f.country_id"),
+        + " FROM fact f JOIN dim d ON d.country_id = f.country_id",
+    "unmatched_keys_some": "SELECT DISTINCT o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer "
+                           "WHERE c_acctbal > 0)",
+    "attribute_drift_orders": "SELECT o_custkey, count(DISTINCT o_orderpriority) AS n_versions FROM orders GROUP BY 1 "
+                              "HAVING count(DISTINCT o_orderpriority) > 1",
+    "validate_dirty": _union([
+        "SELECT 'null_date' AS \"check\", count(*) FILTER (WHERE o_orderdate IS NULL) AS violations FROM orders",
+        "SELECT 'negative_new_cases', count(*) FILTER (WHERE o_orderstatus = 'P' OR o_totalprice < 20000) FROM orders",
+        "SELECT 'deaths_exceed_cases', count(*) FILTER (WHERE o_totalprice > 150001) FROM orders",
+        "SELECT 'duplicate_key', count(*) - count(DISTINCT (o_custkey, o_orderdate)) FROM orders"]),
+    "constraints_dirty": _union([
+        "SELECT 'not_null_country' AS \"check\", count(*) FILTER (WHERE o_custkey IS NULL) AS violations FROM orders",
+        "SELECT 'not_null_date', count(*) FILTER (WHERE o_orderdate IS NULL) FROM orders",
+        "SELECT 'not_null_new_cases', count(*) FILTER (WHERE o_orderstatus = 'P') FROM orders",
+        "SELECT 'not_null_total_cases', count(*) FILTER (WHERE o_totalprice >= 400000) FROM orders",
+        "SELECT 'not_null_name', count(*) FILTER (WHERE c_mktsegment IS NULL) FROM customer WHERE c_acctbal > 0",
+        "SELECT 'unique_name', count(*) FROM (SELECT c_mktsegment FROM customer WHERE c_acctbal > 0 GROUP BY 1 HAVING count(*) > 1)",
+        "SELECT 'unique_key', count(*) FROM (SELECT 1 FROM orders GROUP BY o_custkey, o_orderdate HAVING count(*) > 1)",
+        "SELECT 'foreign_key', count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)"]),
+    "rank_with_nulls": f"WITH l AS ({LEVELS_SQL}) SELECT c_custkey, segment, level, rank() OVER (ORDER BY level DESC NULLS LAST) "
+        "AS rnk, dense_rank() OVER (ORDER BY level DESC NULLS LAST) AS dense_rnk, row_number() OVER (ORDER BY level DESC "
+        "NULLS LAST, c_custkey) AS row_num, rank() OVER (PARTITION BY segment ORDER BY level DESC NULLS LAST) AS segment_rank FROM l",
+    "running_sum_with_nulls": f"WITH l AS ({LEVELS_SQL}) SELECT c_custkey, segment, level, CAST(sum(level) OVER (ORDER BY c_custkey) "
+        "AS BIGINT) AS running, CAST(sum(level) OVER (PARTITION BY segment ORDER BY c_custkey) AS BIGINT) AS segment_running FROM l",
     "query_suite": " UNION ALL ".join(
         f"SELECT '{n}' AS name, true AS ok, (SELECT count(*) FROM ({CORE_ORACLE[n]})) AS n_rows, "
-        "CAST(NULL AS VARCHAR) AS error" for n in SUITE),
+        "CAST(NULL AS VARCHAR) AS error" for n in QUESTIONS),
     "read_panel_csv": _raw(f"SELECT {', '.join(RAW_COLS)} FROM raw"),
     "raw_panel": _raw(f"SELECT {', '.join(RAW_COLS)} FROM raw"),
     "write_panel": with_panel(f"SELECT {FACT_SELECT} FROM fact"),
-    "create_star_tables": with_panel(f"SELECT {FACT_SELECT} FROM fact"),
+    "create_star_tables": with_panel(f"SELECT {FACT_ID_SQL}, {FACT_SELECT} FROM fact"),
     "append_table": with_panel(f"SELECT {FACT_SELECT} FROM fact"),
     "scan_table": with_panel("SELECT * FROM v1", V1),
     "register_views": with_panel(
@@ -282,7 +352,7 @@ ORACLE = {
         "CAST(sum(CAST(f.stringency_index AS DECIMAL(18,4))) AS DOUBLE) / count(f.stringency_index) AS avg_stringency_index, "
         "max(f.people_fully_vaccinated) AS end_of_month_fully_vaccinated "
         "FROM fact f JOIN dim d ON d.country_id = f.country_id GROUP BY 1, 2, 3"),
-    "full_rebuild": with_panel("SELECT * FROM dim"),
+    "full_rebuild": with_panel(f"SELECT {FACT_ID_SQL}, {FACT_SELECT} FROM fact"),
     "standardize_names": f"SELECT o_orderkey, {title_sql(chr(39) + '  ' + chr(39) + ' || o_orderpriority || chr(9)')} AS priority_label FROM orders",
     "map_labels": "SELECT o_orderkey, coalesce(CASE o_orderstatus WHEN 'F' THEN 'FULFILLED' WHEN 'O' THEN 'OPEN' END, "
                   "o_orderstatus) AS status_label FROM orders",
@@ -307,9 +377,9 @@ ORACLE = {
         "SELECT 'deaths_exceed_cases', count(*) FILTER (WHERE total_deaths > total_cases + 1) FROM fact",
         "SELECT 'duplicate_key', CAST(coalesce(sum(n - 1), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM fact "
         "GROUP BY country_id, report_date HAVING count(*) > 1)"])),
-    "constraint_checks": with_panel(_union([
-        "SELECT 'not_null_country_id' AS \"check\", count(*) FILTER (WHERE country_id IS NULL) AS violations FROM fact",
-        "SELECT 'not_null_report_date', count(*) FILTER (WHERE report_date IS NULL) FROM fact",
+    "constraint_checks": with_panel(_union(
+        [f"SELECT 'not_null_{c}' AS \"check\", count(*) FILTER (WHERE {c} IS NULL) AS violations FROM fact" for c in S.FACT_NOT_NULL]
+        + [f"SELECT 'not_null_{c}', count(*) FILTER (WHERE {c} IS NULL) FROM dim" for c in S.DIM_NOT_NULL] + [
         "SELECT 'unique_name', count(*) FROM (SELECT country_name FROM dim GROUP BY 1 HAVING count(*) > 1)",
         "SELECT 'unique_key', count(*) FROM (SELECT 1 FROM fact GROUP BY country_id, report_date HAVING count(*) > 1)",
         "SELECT 'foreign_key', count(*) FROM fact f WHERE NOT EXISTS (SELECT 1 FROM dim d WHERE d.country_id = f.country_id)"])),
@@ -353,7 +423,7 @@ ORACLE = {
     "attribute_drift": _raw(
         "SELECT country, count(DISTINCT (continent, population, median_age, gdp_per_capita, life_expectancy)) AS n_versions "
         "FROM raw GROUP BY country HAVING count(DISTINCT (continent, population, median_age, gdp_per_capita, life_expectancy)) > 1"),
-    "project_rename": _raw("SELECT country_id, date AS report_date, new_cases, total_cases FROM raw"),
+    "project_rename": _raw(f"SELECT {', '.join('date AS report_date' if c == 'date' else c for c in RAW_COLS)} FROM raw"),
     "cumulative_total": _raw(
         f"SELECT country_id, date, new_cases, CAST(sum(new_cases) OVER ({W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) "
         "AS BIGINT) AS running_cases FROM raw"),
@@ -406,7 +476,8 @@ ORACLE = {
     "date_spine": with_panel("SELECT dim.country_id, cal.d AS report_date FROM dim CROSS JOIN cal"),
     "sample_rows": "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE "
                    "substr(md5(concat_ws('|', l_orderkey, l_linenumber)), 1, 8) < '19999999'",
-    "concat_rows": "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders WHERE year(o_orderdate) IN (1995, 1996)",
+    "concat_rows": "SELECT o_orderkey AS key, CAST(o_orderdate AS DATE) AS day FROM orders UNION ALL "
+                   "SELECT event_id, CAST(ts AS DATE) FROM events",
     "conditional_update": "SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_totalprice END AS price_or_null, "
                           "CASE WHEN o_orderstatus = 'F' THEN upper(o_orderpriority) || '  ' ELSE o_orderpriority END AS priority_label, "
                           "CASE WHEN o_orderstatus = 'O' THEN -abs(o_totalprice) ELSE o_totalprice END AS signed_price FROM orders",
@@ -423,7 +494,7 @@ ORACLE = {
         "AS cum_pct FROM v1 ORDER BY total_cases DESC, country_name LIMIT 15", V1),
     "bubble_pairs": with_panel(
         "SELECT country_name, vaccination_rate_pct, case_fatality_rate, gdp_per_capita, continent, "
-        "gdp_per_capita / 400.0::DOUBLE AS bubble_size FROM v1", V1A),
+        "gdp_per_capita / 400.0::DOUBLE AS bubble_size FROM v1", V1),
     "continent_bars": with_panel(
         "SELECT continent, CAST(sum(total_cases) AS BIGINT) AS total_cases, CAST(sum(total_deaths) AS BIGINT) AS total_deaths, "
         f"{r_up('100.0::DOUBLE * sum(total_deaths) / nullif(sum(total_cases), 0)', 2)} AS cfr FROM v1 GROUP BY continent", V1),
@@ -431,17 +502,15 @@ ORACLE = {
         "SELECT d.country_name, f.report_date, f.vaccination_rate_pct FROM fact f JOIN dim d ON d.country_id = f.country_id "
         f"WHERE d.country_name IN {NAMES6!r}"),
     "month_heatmap": with_panel(
-        f"SELECT country_name, CAST(substr(ym, 1, 4) AS INTEGER) AS year, {MONTHS} FROM (SELECT d.country_name, "
-        "strftime(f.report_date, '%Y-%m') AS ym, CAST(substr(strftime(f.report_date, '%Y-%m'), 6, 2) AS INTEGER) AS mo, "
+        f"SELECT country_name, {MONTHS} FROM (SELECT d.country_name, strftime(f.report_date, '%Y-%m') AS ym, "
         "sum(f.new_cases) AS c FROM fact f JOIN dim d ON d.country_id = f.country_id "
-        f"WHERE d.country_name IN {NAMES10!r} GROUP BY 1, 2, 3) GROUP BY 1, 2"),
+        f"WHERE d.country_name IN {NAMES10!r} GROUP BY 1, 2) GROUP BY 1"),
     # metrics
-    "pearson_pairs": with_panel(PAIRS_SQL, V1A),
+    "pearson_pairs": with_panel(PAIRS_SQL, V1),
     "pearson_p_value": with_panel(
         f"SELECT x, y, n, {r_up('r', 6)} AS r, {r_up('t', 6)} AS t, {r_up(P_SQL, 6)} AS p_value FROM "
-        "(SELECT *, atan(abs(t) / sqrt(CAST(n - 2 AS DOUBLE))) AS th FROM "
-        "(SELECT x, y, n, r, r * sqrt((n - 2) / CASE WHEN 1.0::DOUBLE - r * r > 0 THEN 1.0::DOUBLE - r * r END) AS t FROM "
-        f"({PAIRS_RAW_SQL})))", V1A),
+        "(SELECT *, CAST(n - 2 AS DOUBLE) AS v, r * sqrt((n - 2) / CASE WHEN 1.0::DOUBLE - r * r > 0 THEN 1.0::DOUBLE - r * r END) AS t "
+        f"FROM ({PAIRS_RAW_SQL}))", V1),
     "yoy_change_pct": with_panel(
         f"SELECT {r_up(f'(cases_{YEARS[1]} / nullif(cases_{YEARS[0]}, 0) - 1.0::DOUBLE) * 100.0::DOUBLE', 1)} AS cases_yoy_pct, "
         f"{r_up(f'(deaths_{YEARS[1]} / nullif(deaths_{YEARS[0]}, 0) - 1.0::DOUBLE) * 100.0::DOUBLE', 1)} AS deaths_yoy_pct "
@@ -450,7 +519,7 @@ ORACLE = {
             for m, src in (("cases", "new_cases"), ("deaths", "new_deaths")) for y in YEARS) + " FROM fact)"),
     "share_below": with_panel(
         "SELECT n_below, n_total, " + r_up("100.0::DOUBLE * n_below / nullif(n_total, 0)", 1) + " AS share_pct FROM "
-        "(SELECT count(*) FILTER (WHERE vaccination_rate_pct < 50) AS n_below, count(*) AS n_total FROM v1)", V1A),
+        f"(SELECT count(*) FILTER (WHERE vaccination_rate_pct < {COVERAGE}) AS n_below, count(*) AS n_total FROM v1)", V1),
     "kpi_leaders": with_panel(_union([
         f"SELECT '{label}' AS kpi, country_name, CAST({col} AS DOUBLE) AS value FROM v1 WHERE {col} = "
         f"(SELECT {how}({col}) FROM v1)" for label, col, how in R.LEADER_KPIS]), V1),
@@ -488,15 +557,16 @@ ORACLE = {
         + ", ".join(f"{r_up(f'quantile_cont(f.new_cases, {q})', 6)} AS p{int(q * 100):02d}" for q in (0.1, 0.5, 0.9))
         + " FROM fact f JOIN dim d ON d.country_id = f.country_id GROUP BY d.continent"),
     "profile_table": with_panel(_union([
-        f"SELECT '{c}' AS \"column\", 'bigint' AS dtype, count(*) AS n_rows, count(*) FILTER (WHERE {c} IS NULL) AS n_null, "
-        f"CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, {r_up(f'avg({c})', 6)} AS mean FROM fact"
-        for c in R.PROFILE_COLUMNS])),
+        f"SELECT '{c}' AS \"column\", '{'date' if c == 'report_date' else 'double' if kind == 'measure' else 'bigint'}' AS dtype, "
+        f"count(*) AS n_rows, count(*) FILTER (WHERE {c} IS NULL) AS n_null, "
+        + (f"CAST(NULL AS DOUBLE) AS min, CAST(NULL AS DOUBLE) AS max, CAST(NULL AS DOUBLE) AS mean, CAST(min({c}) AS VARCHAR) AS min_text, "
+           f"CAST(max({c}) AS VARCHAR) AS max_text FROM fact" if c == "report_date" else
+           f"CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, {r_up(_mean_sql(c, kind), 6)} AS mean, "
+           "CAST(NULL AS VARCHAR) AS min_text, CAST(NULL AS VARCHAR) AS max_text FROM fact") for c, kind in S.FACT_LAYOUT])),
     "incremental_upsert": with_panel(
-        "SELECT country_id, report_date, new_cases, total_cases, icu_patients, "
-        "CASE WHEN report_date >= DATE '1998-12-01' THEN 2 ELSE 1 END AS load_id FROM fact"),
+        UPSERT_SQL),
     "stream_upsert": with_panel(
-        "SELECT country_id, report_date, new_cases, total_cases, icu_patients, "
-        "CASE WHEN report_date >= DATE '1998-12-01' THEN 2 ELSE 1 END AS load_id FROM fact"),
+        UPSERT_SQL),
     "flow_stock_reconcile": with_panel(
         "SELECT d.country_name, r.sum_flow, r.last_stock, r.last_stock - r.sum_flow AS difference FROM (SELECT country_id, "
         "CAST(sum(new_cases) AS BIGINT) AS sum_flow, arg_max(total_cases, report_date) AS last_stock FROM fact GROUP BY 1) r "

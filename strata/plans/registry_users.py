@@ -62,13 +62,12 @@ udaily AS (
          count(*) FILTER (WHERE event_type = 'error') AS d_errors,
          CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS d_value
   FROM ev GROUP BY 1, 2),
-ucal AS (SELECT CAST(unnest(generate_series(min(d), max(d), INTERVAL 1 DAY)) AS DATE) AS d FROM ev),
+uspan AS (SELECT user_id, CAST(unnest(generate_series(min(d), max(d), INTERVAL 1 DAY)) AS DATE) AS d FROM ev GROUP BY user_id),
 up0 AS (
-  SELECT u.user_id, c.d AS date, CAST(coalesce(x.d_events, 0) AS BIGINT) AS new_events,
+  SELECT u.user_id, u.d AS date, CAST(coalesce(x.d_events, 0) AS BIGINT) AS new_events,
          CAST(coalesce(x.d_purchases, 0) AS BIGINT) AS new_purchases, CAST(coalesce(x.d_errors, 0) AS BIGINT) AS new_errors,
          x.d_value AS value_sum, x.d_purchases / nullif(x.d_events, 0) AS conversion_rate
-  FROM (SELECT DISTINCT user_id FROM ev) u CROSS JOIN ucal c
-  LEFT JOIN udaily x ON x.user_id = u.user_id AND x.d = c.d),
+  FROM uspan u LEFT JOIN udaily x ON x.user_id = u.user_id AND x.d = u.d),
 up1 AS (
   SELECT user_id, date, new_events, new_purchases, new_errors,
          CAST(sum(new_events) OVER ({W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS total_events,

@@ -34,5 +34,5 @@ def run_suite(spark: SparkSession, named: Mapping[str, Callable[[], DataFrame]],
             df.unpersist()
             status.append((name, True, n, None))
         except Exception as e:  # noqa: BLE001 - a failed query is recorded, the suite goes on
-            status.append((name, False, None, f"{type(e).__name__}: {str(e)[:500]}"))
+            status.append((name, False, None, f"{type(e).__name__}: {e}"))
     return spark.createDataFrame(status, STATUS_SCHEMA), samples

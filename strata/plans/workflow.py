@@ -10,10 +10,9 @@ This is the path a user with a raw entity x day extract takes:
     create_star_tables(spark, fact, dim, base); register_views(spark, fact, dim)
     status, samples = run_questions(spark, fact, dim)
 
-Keep-first deduplication needs the file order: ``monotonically_increasing_id``
-taken right after the scan (before any shuffle) is increasing in file order
-(split index, then row position), so "first in the file" is an explicit
-column rather than an accident of partitioning.
+Keep-first deduplication needs the file order. Spark orders file splits by size,
+so it is taken at the scan as explicit columns: the file's path, the split's
+start in it, and an id that increases with the rows of a split.
 """
 
 from __future__ import annotations
@@ -26,6 +25,7 @@ from strata.operators import clean as C
 from strata.operators import star as S
 from strata.plans import questions as Q
 from strata.plans.suite import run_suite
+from strata.sources import io
 
 L, D, STR = T.LongType(), T.DoubleType(), T.StringType()
 
@@ -39,36 +39,49 @@ RAW_CSV_COLUMNS = (
 )
 RAW_CSV_SCHEMA = T.StructType([T.StructField(n, t) for n, t in RAW_CSV_COLUMNS])
 
-INGEST = "_ingest_order"
+INGEST = ("_ingest_file", "_ingest_block", "_ingest_row")
 DIM_OUT = ("country_id", "country_name", "continent", "population", "median_age", "gdp_per_capita",
            "life_expectancy")
 
 
 def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_CSV_SCHEMA) -> DataFrame:
-    """S1 for the raw layout, with the file order captured as a column."""
-    df = spark.read.option("header", True).option("dateFormat", "yyyy-MM-dd").schema(schema).csv(path)
-    return df.withColumn(INGEST, F.monotonically_increasing_id())
-
-
-def clean_raw(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """E26 on the raw layout (names, keep-first dedupe, floor, fills, derived columns) plus the E17 report."""
-    order = [INGEST] if INGEST in raw.columns else []
-    clean = C.clean_panel(raw, entity="country", date="date", names=True, dedupe_order=order or None)
-    clean = clean.drop(INGEST) if order else clean
-    return clean, C.validate_panel(clean, entity="country", date="date")
+    """S1 for the raw layout: columns by header name, cells of a wrong type counted in ``io.BAD_CELLS``, and
+    the file order captured as columns."""
+    order = (F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    return io.read_panel_csv(spark, path, schema, bad_cells=io.BAD_CELLS,
+                             keep=tuple(c.alias(n) for c, n in zip(order, INGEST)))
+
+
+def clean_raw(raw: DataFrame, audit: list | None = None) -> tuple[DataFrame, DataFrame]:
+    """E26 on the raw layout (names, keep-first dedupe, floor, fills, derived columns) plus the E17 report.
+
+    The report also counts the cells of the raw rows that are not of their type. ``audit`` collects the row
+    counts of the steps (E18), to be read after the clean frame has run.
+    """
+    order = [c for c in INGEST if c in raw.columns]
+    clean = C.clean_panel(raw, entity="country", date="date", names=True, dedupe_order=order or None, audit=audit)
+    clean = clean.drop(*INGEST, io.BAD_CELLS)
+    report = C.validate_panel(clean, entity="country", date="date")
+    if io.BAD_CELLS in raw.columns:
+        bad = raw.select(F.lit("bad_cells").alias("check"), io.BAD_CELLS).groupBy("check").agg(
+            F.sum(io.BAD_CELLS).cast("bigint").alias("violations"))
+        report = report.unionByName(bad)
+    return clean, report
 
 
 def build_star(clean: DataFrame) -> tuple[DataFrame, DataFrame]:
     """E19 + E20 (ids in name order) for the dimension; E21 + E22 for the fact."""
     dim = S.assign_surrogate_key(S.extract_dimension(clean), ["country_name"], "country_id").select(*DIM_OUT)
-    cols = S.FACT_COLUMNS + (("people_vaccinated",) if "people_vaccinated" in clean.columns else ())
-    fact = S.project_rename(S.lookup_key(clean, dim, "country", "country_name", "country_id"), columns=cols)
+    fact = S.project_rename(S.lookup_key(clean, dim, "country", "country_name", "country_id"))
     return fact, dim
 
 
+# FIXED VALUES: the entities and years of the original questions.
+NAMES3, WAVE_OF, SLICE_OF, YEARS = ("United States", "India", "Brazil"), "India", "Germany", (2021, 2022)
+
+
 def run_questions(spark: SparkSession, fact: DataFrame, dim: DataFrame, out_dir: str | None = None,
-                  names3=("United States", "India", "Brazil"), one="India", years=(2021, 2022),
-                  as_of: str | None = None):
+                  names3=NAMES3, one=WAVE_OF, slice_of=SLICE_OF, years=YEARS, as_of: str | None = None):
     """S8 over the 25 questions with their default parameters (entity names and years of the
     original daily data set; pass others for other data)."""
     named = {
@@ -96,6 +109,6 @@ def run_questions(spark: SparkSession, fact: DataFrame, dim: DataFrame, out_dir:
         "q22": lambda: Q.q22_recovery_rate(fact, dim),
         "q23": lambda: Q.q23_global_kpis(fact, dim),
         "q24": lambda: Q.q24_above_global_avg(fact, dim, 60.0, as_of),
-        "q25": lambda: Q.q25_monthly_view_slice(fact, dim, one),
+        "q25": lambda: Q.q25_monthly_view_slice(fact, dim, slice_of),
     }
     return run_suite(spark, named, out_dir)

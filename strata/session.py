@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "strata") -> SparkSession:
+    """One machine: the shared folder may be a temporary one, removed by the system."""
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
@@ -20,6 +21,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="strata-ckpt-"))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -44,6 +47,7 @@ def cluster_settings(input_bytes: int, total_cores: int, target_partition_bytes:
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 << 20),
     }
@@ -52,8 +56,9 @@ def cluster_settings(input_bytes: int, total_cores: int, target_partition_bytes:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for written intermediate tables.
 
-    Uses the session's checkpoint directory (``spark.checkpoint.dir``); only
-    when none is configured (local tests) is a private temporary folder set.
+    It is the session's checkpoint directory (``spark.checkpoint.dir``). Without one, a local master (one
+    process, as in tests) gets a temporary folder; on a cluster this raises, as the executors would not see
+    a folder of the driver's machine.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -63,6 +68,8 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(d)
             d = sc.getCheckpointDir() or d
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="strata-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d

@@ -11,9 +11,10 @@ Plan shape (what Catalyst is given):
   data), then the per-order line stats on the order key.
 * group to (nation, day): partial aggregation, so the exchange carries at
   most one row per (map task, nation, day).
-* each customer's first and second order: ``row_number() <= 2`` over the
-  customer's orders; Catalyst plans a partial ``WindowGroupLimit`` before the
-  shuffle, so even a customer with a third of all orders ships 2 rows per map task.
+* each customer's first, tenth and twelfth order (vaccinated, fully, boosted):
+  ``row_number() <= 12`` over the customer's orders; Catalyst plans a partial
+  ``WindowGroupLimit`` before the shuffle, so even a customer with a third of all
+  orders ships 12 rows per map task.
 * calendar: each nation explodes min..max order day (scalar subqueries), and the
   day aggregates are left-joined on (nation, day).
 """
@@ -24,12 +25,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.functions.expr import clip
-from strata.operators.features import active_balance, cumulative_total, date_spine, momentum_index
+from strata.operators.features import active_balance, cumulative_total, date_spine_from, momentum_index
 from strata.sources.tables import read_table
 
 # FIXED VALUES: labels in the driver tables that the adapter maps to measures.
 STATUS_DEATH = "F"
 STATUS_RECOVERED = "O"
+DOSE_ORDERS = (1, 10, 12)
 PRIORITY_ICU = ("1-URGENT",)
 PRIORITY_HOSP = ("1-URGENT", "2-HIGH")
 SEGMENT_AGE = "BUILDING"
@@ -46,8 +48,7 @@ def build_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.sum(F.col("c_acctbal").cast("decimal(15,2)")).cast("double") / F.count(F.lit(1))).alias("gdp_per_capita"),
         F.max("c_acctbal").alias("life_expectancy"),
     )
-    # nation and region are fixed-size reference tables (25 and 5 rows)
-    dim = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
+    dim = nation.join(region, nation.n_regionkey == region.r_regionkey)
     dim = dim.join(stats, dim.n_nationkey == stats.c_nationkey, "left")
     return dim.select(
         F.col("n_nationkey").cast("bigint").alias("country_id"),
@@ -89,16 +90,15 @@ def daily_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def first_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per (nation, day): customers placing their first and their second order."""
+    """Per (nation, day): customers placing the orders that stand for the three doses (DOSE_ORDERS)."""
     orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
     w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    firsts = orders.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= 2)
+    firsts = orders.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= DOSE_ORDERS[-1])
     cust = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
     j = firsts.join(cust, firsts.o_custkey == cust.c_custkey)
     return j.groupBy(F.col("c_nationkey").cast("bigint").alias("country_id"),
                      F.col("o_orderdate").alias("date")).agg(
-        F.count_if(F.col("rn") == 1).alias("d_first"),
-        F.count_if(F.col("rn") == 2).alias("d_second"),
+        *[F.count_if(F.col("rn") == n).alias(name) for n, name in zip(DOSE_ORDERS, ("d_any", "d_full", "d_boost"))],
     )
 
 
@@ -110,9 +110,7 @@ def build_raw_panel(spark: SparkSession, sf_dir: str, dim: DataFrame | None = No
     """
     dim = dim if dim is not None else build_dimension(spark, sf_dir)
     orders = read_table(spark, sf_dir, "orders", ["o_orderdate"])
-    lo = orders.select(F.min("o_orderdate")).scalar()
-    hi = orders.select(F.max("o_orderdate")).scalar()
-    spine = date_spine(dim.withColumnRenamed("country_name", "country"), lo, hi, "date")
+    spine = date_spine_from(dim.withColumnRenamed("country_name", "country"), orders, "o_orderdate", "date")
 
     day = daily_measures(spark, sf_dir)
     vax = first_orders(spark, sf_dir)
@@ -125,8 +123,9 @@ def build_raw_panel(spark: SparkSession, sf_dir: str, dim: DataFrame | None = No
         F.coalesce("d_deaths", zero).alias("new_deaths"),
         F.coalesce("d_recovered", zero).alias("new_recovered"),
         F.coalesce("d_tests", zero).alias("new_tests"),
-        F.coalesce("d_first", zero).alias("new_fully_vaccinated"),
-        F.coalesce("d_second", zero).alias("new_boosters"),
+        F.coalesce("d_any", zero).alias("new_vaccinated"),
+        F.coalesce("d_full", zero).alias("new_fully_vaccinated"),
+        F.coalesce("d_boost", zero).alias("new_boosters"),
         F.col("d_icu").alias("icu_patients"),
         F.coalesce("d_hosp", zero).alias("hosp_patients"),
         (F.col("d_orders") / F.when(F.col("d_tests") != 0, F.col("d_tests"))).alias("positive_rate"),
@@ -137,9 +136,10 @@ def build_raw_panel(spark: SparkSession, sf_dir: str, dim: DataFrame | None = No
         "total_deaths": "new_deaths",
         "total_recovered": "new_recovered",
         "total_tests": "new_tests",
+        "people_vaccinated": "new_vaccinated",
         "people_fully_vaccinated": "new_fully_vaccinated",
         "total_boosters": "new_boosters",
     }, entity="country_id", date="date")
     p = active_balance(p, "total_cases", ("total_deaths", "total_recovered"), "active_cases")
     p = momentum_index(p, "new_cases", "reproduction_rate", entity="country_id", date="date")
-    return p.drop("new_recovered", "new_fully_vaccinated", "new_boosters")
+    return p.drop("new_recovered", "new_vaccinated", "new_fully_vaccinated", "new_boosters")

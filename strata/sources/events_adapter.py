@@ -31,9 +31,9 @@ def build_user_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_if(F.col("event_type") == ERROR).alias("d_errors"),
         F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("d_value"),
     )
-    lo = ev.select(F.min(DT)).scalar()
-    hi = ev.select(F.max(DT)).scalar()
-    spine = G.date_spine(ev.select(U).distinct(), lo, hi, DT)
+    # each user's own days, first to last: rows follow the users' activity, not users x calendar
+    spans = ev.groupBy(U).agg(F.min(DT).alias("__lo"), F.max(DT).alias("__hi"))
+    spine = G.date_spine(spans, F.col("__lo"), F.col("__hi"), DT).select(U, DT)
     zero = F.lit(0).cast("bigint")
     p = spine.join(daily, [U, DT], "left").select(
         U, DT,

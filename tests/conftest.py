@@ -18,10 +18,10 @@ def spark():
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")
              .config("spark.sql.session.timeZone", "UTC")
+             .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="strata-test-ckpt-"))
+             .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.sparkContext.getCheckpointDir() and not spark.conf.get("spark.checkpoint.dir", None):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strata-test-ckpt-"))
     yield spark
 
 

@@ -56,7 +56,7 @@ def test_dedupe_after_names(spark):
                                "ingest long, country string, d date, cases long")
     out = C.dedupe_keep_first(C.standardize_names(df, "country"), ["country", "d"], ["ingest"])
     assert sorted(r.ingest for r in out.collect()) == [1, 3]
-    out2 = C.dedupe_keep_first_window(C.standardize_names(df, "country"), ["country", "d"], ["ingest"])
+    out2 = C.dedupe_keep_first(C.standardize_names(df, "country"), ["country", "d"], ["ingest"])
     assert sorted(r.ingest for r in out2.collect()) == [1, 3]
 
 
@@ -202,7 +202,10 @@ def test_star_checks_with_violations(spark):
 
     dim = spark.createDataFrame([(1, "A"), (2, "A")], "country_id long, country_name string")
     fact = spark.createDataFrame([(1, D0), (1, D0), (3, D0), (None, D0)], "country_id long, report_date date")
-    rep = {r.check: r.violations for r in C.constraint_checks(fact, dim).collect()}
+    every = {r.check: r.violations for r in C.constraint_checks(fact, dim).collect()}
+    assert every["not_null_total_cases"] == 4 and every["not_null_continent"] == 2 and len(every) == 15 + 3 + 3
+    rep = {r.check: r.violations for r in C.constraint_checks(
+        fact, dim, not_null=("country_id", "report_date"), dim_not_null=()).collect()}
     assert rep == {"not_null_country_id": 1, "not_null_report_date": 0, "unique_name": 1, "unique_key": 1,
                    "foreign_key": 2}
     orphans = S.unmatched_keys(spark.createDataFrame([("A",), ("Z",)], "n string"), dim, "n", "country_name")

@@ -29,10 +29,13 @@ def test_star_tables_append_and_rebuild(spark, tmp_out):
     got = [(f.name, f.dataType) for f in spark.read.parquet(paths["entities"]).schema.fields]
     assert got == [(f.name, f.dataType) for f in io.DIM_SCHEMA.fields]
     assert io.scan_table(spark, "panel_facts").count() == p.fact.count()
-    io.append_table(io.conform(p.fact.limit(3), io.FACT_SCHEMA), paths["panel_facts"])
+    stored = spark.read.parquet(paths["panel_facts"])
+    assert stored.columns == [io.FACT_ID, *(f.name for f in io.FACT_SCHEMA.fields)] and "people_vaccinated" in stored.columns
+    assert stored.select("fact_id").distinct().count() == stored.count() == stored.agg(F.max("fact_id")).first()[0]
+    io.append_table(io.conform(p.fact.limit(3), io.FACT_TABLE_SCHEMA), paths["panel_facts"])
     assert spark.read.parquet(paths["panel_facts"]).count() == p.fact.count() + 3
     views = io.register_views(spark, p.fact, p.dim)
-    assert "vw_latest_snapshot" in views and io.scan_table(spark, "SELECT count(*) FROM vw_latest_snapshot").first()[0] == 25
+    assert "vw_latest_snapshot" in views and io.scan_table(spark, sql="SELECT\ncount(*)\nFROM vw_latest_snapshot").first()[0] == 25
 
     def failing():
         raise RuntimeError("build failed")
@@ -41,6 +44,9 @@ def test_star_tables_append_and_rebuild(spark, tmp_out):
         io.full_rebuild(spark, failing, f"{tmp_out}/rb")
     except RuntimeError:
         pass
+    for v in ("entities", "panel_facts"):
+        spark.catalog.dropTempView(v)
+    assert io.open_star_tables(spark, f"{tmp_out}/rb") == first  # the pointer outlives the session's views
     # the failed build left the views on the first version
     assert io.scan_table(spark, "entities").inputFiles()[0].find(first["entities"].split("/")[-2]) >= 0
 
@@ -101,12 +107,45 @@ def test_partitioned_write_prunes(spark, tmp_out):
 
 
 def test_t_p_value(spark):
-    from pyspark.sql import functions as F
-
-    # two-sided p checked against numerical integration of the t density
-    cases = [(2.0, 10, 0.073388), (2.0, 23, 0.057445), (1.0, 1, 0.5), (3.0, 2, 0.095466), (0.0, 7, 1.0)]
-    df = spark.createDataFrame([(t, v) for t, v, _ in cases] + [(None, 5)], "t double, v long")
+    # exact values (closed forms for 1 and 2 degrees, high-precision quadrature for the others)
+    cases = [(2.0, 10, 0.0733880347707404), (2.0, 23, 0.057444548992082685), (1.0, 1, 0.5), (0.0, 7, 1.0),
+             (3.0, 2, 0.09546596626670911), (31.7, 49, 2.6053734809336387e-34)]
+    df = spark.createDataFrame([(t, v) for t, v, _ in cases] + [(None, 5), (31.7, 5_000_000_000), (2.0, 5_000_000_000)],
+                               "t double, v long")
     got = [r.p for r in df.select(t_two_sided_p(F.col("t"), F.col("v")).alias("p")).collect()]
-    for (_, _, want), p in zip(cases, got):
-        assert abs(p - want) < 1e-6, (want, p)
-    assert got[-1] is None
+    for (t, v, want), p in zip(cases, got):
+        assert abs(p - want) <= 1e-10 * want, (want, p)
+    assert got[-3] is None and 0 < got[-2] < 1e-200 and abs(got[-1] - 0.04550026389635842) < 1e-6
+
+
+def test_shared_folder_must_be_set_on_a_cluster():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from strata.session import shared_dir
+
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="local-cluster[3,2,1024]")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *a: None)))
+
+
+def test_checkpoints_are_removed_after_use(spark):
+    import gc
+    import os
+    import time
+
+    from strata.operators.ranking import with_rank_variants
+
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    df = with_rank_variants(spark.range(50).withColumn("v", F.col("id") % 7), ["v"], [F.col("v"), F.col("id")])
+    assert df.count() == 50 and set(os.listdir(folder)) - before
+    del df
+    for _ in range(20):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
+        if not set(os.listdir(folder)) - before:
+            break
+    assert not set(os.listdir(folder)) - before

@@ -9,8 +9,9 @@ from tools.check import rows_of
 
 from .conftest import SF_SMALL
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+# the corpus queries have tests of their own beside them
+QUERIES = {k: f for r in entry._registries() for k, f in r.SPARK.items()}
+ORACLE = {k: q for r in entry._registries() for k, q in r.ORACLE.items()}
 
 
 @pytest.fixture(scope="module")

@@ -31,9 +31,12 @@ def unpartitioned_windows(plan: str) -> list[str]:
     return bad
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+QUERIES = {k: f for r in entry._registries() for k, f in r.SPARK.items()}
+
+
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_no_single_partition_window(spark, key):
-    df = entry.queries()[key](spark, SF_SMALL)
+    df = QUERIES[key](spark, SF_SMALL)
     assert unpartitioned_windows(plan_text(df)) == []
 
 
