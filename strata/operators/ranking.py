@@ -80,14 +80,14 @@ def _positions(df: DataFrame, order: Sequence[Column], value_cols: Sequence[str]
     local = local.withColumns({"__last": F.max(F.when(F.col("__new"), F.col("__lrn"))).over(upto),
                                "__seen": F.sum(F.col("__new").cast("int")).over(upto)})
     per = local.groupBy(_PID, *by).agg(
-        F.count(F.lit(1)).alias("__cnt"), F.max("__last").alias("__b"), F.max("__seen").alias("__nb"),
+        F.count(F.lit(1)).alias("__tot_cnt"), F.max("__last").alias("__b"), F.max("__seen").alias("__nb"),
         F.min_by("__vals", "__lrn").alias("__first"), F.max_by("__vals", "__lrn").alias("__end"))
     part = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(1))
     ordered = part.orderBy(_PID)
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
     head = F.lag("__end").over(ordered)
     per = per.withColumns({
-        "__off": F.coalesce(F.sum("__cnt").over(before), F.lit(0)), "__n": F.sum("__cnt").over(part),
+        "__off": F.coalesce(F.sum("__tot_cnt").over(before), F.lit(0)), "__n": F.sum("__tot_cnt").over(part),
         "__head": head.isNull() | ~F.col("__first").eqNullSafe(head)})
     per = per.withColumns({
         "__mark": F.coalesce(F.col("__off") + F.col("__b"), F.when(F.col("__head"), F.col("__off") + 1)),
@@ -129,12 +129,12 @@ def with_running_sums(df: DataFrame, order: Sequence[Column], sums: dict[str, st
     w = Window.partitionBy(_PID, *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     values = list(sums.values())
     local = sliced.withColumns({f"__l{i}": F.sum(v).over(w) for i, v in enumerate(values)})
-    per = local.groupBy(_PID, *by).agg(*[F.sum(v).alias(f"__t{i}") for i, v in enumerate(values)])
+    per = local.groupBy(_PID, *by).agg(*[F.sum(v).alias(f"__tot_{i}") for i, v in enumerate(values)])
     part = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(1))
     before = part.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    per = per.withColumns({f"__off{i}": F.sum(f"__t{i}").over(before) for i in range(len(values))}
-                          | {f"__all{i}": F.sum(f"__t{i}").over(part) for i in range(len(values))})
-    res = _attach(local, per.drop(*[f"__t{i}" for i in range(len(values))]), by)
+    per = per.withColumns({f"__off{i}": F.sum(f"__tot_{i}").over(before) for i in range(len(values))}
+                          | {f"__all{i}": F.sum(f"__tot_{i}").over(part) for i in range(len(values))})
+    res = _attach(local, per.drop(*[f"__tot_{i}" for i in range(len(values))]), by)
     drop = [_PID]
     for i, out in enumerate(sums):
         off, own = F.col(f"__off{i}"), F.col(f"__l{i}")
