@@ -12,8 +12,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """(node, component): each node of an edge with the smallest node it can reach (the Kiveris et al. method).
 
     Node keys are long or string. Each step replaces the links of a node by links to the smallest node of its
-    neighbourhood; star centres are aggregated with map-side combine and joined back by a join that adaptive
-    execution can split, so no centre's links meet in one task. Every step ends in a checkpoint in the
+    neighbourhood; star centres are aggregated with map-side combine, checkpointed, and joined back by a join
+    that adaptive execution can split, so no centre's links meet in one task. Checkpoints lie in the
     cluster's shared folder. Self-links, repeated links and links with a null end are ignored.
     """
     e = (edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
@@ -25,9 +25,10 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select(
             F.col("u").alias("k"), F.least("u", "m").alias("m"))
+        low = shared_checkpoint(low)
         e = both.where("v > u").join(low, F.col("u") == F.col("k")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         # small star: u and its smaller neighbours are linked to the smallest of them
-        e = e.distinct()
+        e = shared_checkpoint(e.distinct())
         low = e.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), "m")
         e = (e.join(low, F.col("u") == F.col("k"))
              .select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),

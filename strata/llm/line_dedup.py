@@ -8,9 +8,9 @@ links the first line, by doc_id and line number, stays.
 
 Every stage works on distinct lines. The signature is a one-permutation MinHash: the smallest shingle hash in each
 of ``BANDS * ROWS`` bins, an empty bin borrowing from another. Tasks send packed band keys. A band group links its
-members by a star to its smallest line, so no pairs are listed: verified stars give components, and only groups
-that hold several components are looked at again, in cells of bounded size, pair by pair across components
-until no unverified pair is left. So a link of the group is never lost and no group is ever one task's.
+members by a star to its smallest line, so no pairs are listed: only groups with members that are not like
+that line are looked at again, in cells of bounded size, where such members are held against all others
+(in the first band that a pair shares). So a link of the group is never lost and no group is ever one task's.
 
 Texts of candidates are looked up by joins on doc_id, links and components stay distributed, and every stage's
 result is a checkpoint or a table in the cluster's shared folder.
@@ -26,12 +26,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import free_shuffles, id_text, limit_batches, shared_checkpoint, shared_path, text_rows
+from strata.llm.common import free_shuffles, id_text, limit_batches, shared_checkpoint, shared_path, text_rows, trim
 from strata.llm.components import connected_components
 
 SHINGLE, ROWS, BANDS, THRESHOLD = 8, 4, 16, 0.8
 CELL = 256
-BLOCK_BYTES, PIECE_BYTES, BUCKET_BYTES = 16 << 20, 1 << 20, 4 << 20
+BLOCK_BYTES, PIECE_BYTES, BUCKET_BYTES = 8 << 20, 1 << 20, 4 << 20
 _U, _MAX = np.uint64, np.iinfo(np.uint64).max
 _LEAST = -(1 << 63)  # stands for a null doc_id
 _A, _B = _U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93)
@@ -46,15 +46,6 @@ def line_id(line: bytes) -> int:
     return xxhash.xxh3_64_intdigest(line) - (1 << 63)
 
 
-def shingles(line: bytes) -> set[bytes]:
-    return {line[i:i + SHINGLE] for i in range(max(1, len(line) - SHINGLE + 1))}
-
-
-def jaccard(a: set[bytes], b: set[bytes]) -> float:
-    both = len(a & b)
-    return both / (len(a) + len(b) - both)
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> _U(32))) * _B
     return x ^ (x >> _U(31))
@@ -91,15 +82,15 @@ def signatures(lines: list[bytes]) -> np.ndarray:
     if pieces:
         flush()
     out = out.reshape(-1, bins)
-    empty, tries = out == _MAX, 0
-    own = ~empty
-    while empty.any():  # a line has a shingle, so every bin finds a full one
-        r, c = np.nonzero(empty)
+    own = out != _MAX
+    r, c = np.nonzero(~own)
+    tries = 0
+    while len(r):  # a line has a shingle, so every bin finds a full one
         tries += 1
         other = (_mix(c.astype(np.uint64) * _A + _U(tries)) % _U(bins)).astype(np.int64)
         full = own[r, other]
         out[r[full], c[full]] = _mix(out[r[full], other[full]] + _U(tries))
-        empty[r[full], c[full]] = False
+        r, c = r[~full], c[~full]
     return out
 
 
@@ -135,7 +126,8 @@ def _occurrences(docs: DataFrame) -> DataFrame:
 
 
 def _packed_bands(docs: DataFrame, bits: int) -> DataFrame:
-    """(bucket, payload): 40 bits of band keys and the ids of a task's distinct lines, by leading key bits."""
+    """(bucket, payload): 40 bits of band keys, the last being the band's number, and the ids of a task's
+    distinct lines, by leading key bits."""
     def run(batches):
         held, size = {}, 0
 
@@ -147,7 +139,9 @@ def _packed_bands(docs: DataFrame, bits: int) -> DataFrame:
             keys = keys.reshape(-1)
             at = (keys >> _U(64 - bits)).astype(np.int64)
             order = np.argsort(at, kind="stable")
-            at, keys, ids = at[order], (keys[order] >> _U(24 - bits)) & _U((1 << 40) - 1), ids[order]
+            band = (np.arange(len(keys)) % BANDS).astype(np.uint64)[order]
+            at, ids = at[order], ids[order]
+            keys = ((keys[order] >> _U(24 - bits)) & _U((1 << 40) - BANDS)) | band
             cuts = np.flatnonzero(np.diff(at)) + 1
             spans = list(zip([0, *cuts.tolist()], [*cuts.tolist(), len(at)], strict=True))
             return pa.RecordBatch.from_arrays(
@@ -160,12 +154,13 @@ def _packed_bands(docs: DataFrame, bits: int) -> DataFrame:
                 k = line_id(line)
                 if k not in held:
                     held[k] = line
-                    size += len(line)
+                    size += len(line) + 8 * BANDS * ROWS // 4
                     if size >= BLOCK_BYTES:
                         yield block()
                         held, size = {}, 0
         if held:
             yield block()
+        trim()
 
     return docs.mapInArrow(run, "bucket int, payload binary")
 
@@ -180,6 +175,10 @@ def _groups(bands: DataFrame) -> DataFrame:
             keys.append(np.frombuffer(p, "<u4", n).astype(np.int64) | np.frombuffer(p, np.uint8, n, 4 * n).astype(np.int64) << 32)
             ids.append(np.frombuffer(p, np.int64, n, 5 * n))
         key, own = np.concatenate(keys), np.concatenate(ids)
+        order = np.argsort(key, kind="stable")
+        again = key[order[1:]] == key[order[:-1]]
+        order = order[np.append(again, False) | np.insert(again, 0, False)] if len(order) else order
+        key, own = key[order], own[order]
         order = np.lexsort((own, key))
         key, own = key[order], own[order]
         new = np.ones(len(key), dtype=bool)
@@ -221,60 +220,144 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     """The pairs (a, b) whose lines are that similar."""
     def run(batches):
         for b in batches:
-            on = [jaccard(shingles(x), shingles(y)) >= threshold
-                  for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
+            sets = {}  # a line stands in many pairs
+
+            def of(line):
+                if line not in sets:
+                    sets[line] = _shingle_words(line)
+                return sets[line]
+
+            on = []
+            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+                x, y = of(x), of(y)
+                both = _overlap(x, y)
+                on.append(both >= threshold * (len(x) + len(y) - both))
             yield b.select([0, 1]).filter(pa.array(on, pa.bool_()))
+        trim()
 
     both = (pairs.join(texts.withColumnsRenamed({"id": "ia", "text": "ta"}), F.col("a") == F.col("ia"))
             .join(texts.withColumnsRenamed({"id": "ib", "text": "tb"}), F.col("b") == F.col("ib")))
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def _open_cells(groups: DataFrame, components: DataFrame) -> DataFrame:
-    """(key, i, j, id, component, side): the members of groups with several components, in cells of chunks."""
-    own = groups.join(components, groups["member"] == components["node"], "left").select(
-        "key", F.col("member").alias("id"), F.coalesce("component", "member").alias("component"))
-    sums = own.groupBy("key").agg(
-        F.count("*").alias("n"), F.min("component").alias("c0"), F.max("component").alias("c1"),
-        F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("members"))
-    # a group of two is its star; bands that hold the same members are looked at once
-    live = (sums.where("n > 2 AND c0 != c1").groupBy("n", "members").agg(F.min("key").alias("k"))
-            .select("k", F.ceil(F.col("n") / CELL).cast("int").alias("chunks")))
+def _open_cells(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """(key, i, j, id, component, c): the members of groups in which not all are linked to the pivot, in cells of
+    chunks c. The component of the pivot and of those linked to it is the pivot; the others stand alone."""
+    own = groups.join(links, (groups["pivot"] == links["a"]) & (groups["member"] == links["b"]), "left").select(
+        "key", F.col("member").alias("id"), F.when(F.col("b").isNotNull(), F.col("pivot")).otherwise(F.col("member")).alias("component"))
+    sums = own.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("c0"), F.max("component").alias("c1"))
+    # a group of two is its star
+    live = sums.where("n > 2 AND c0 != c1").select(F.col("key").alias("k"), F.ceil(F.col("n") / CELL).cast("int").alias("chunks"))
+    live = shared_checkpoint(live)  # so that the join can split a large group
     rows = own.join(live, F.col("key") == F.col("k"))
     chunk = F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
     return (rows.withColumn("c", chunk).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
             .select("key", F.least("c", "o").alias("i"), F.greatest("c", "o").alias("j"), "id", "component", "c"))
 
 
-def _cell_links(cells: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """Links (a, b) between components of a cell, found pair by pair; pairs of one component need no look."""
-    def run(group: pa.Table) -> pa.Table:
-        i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
-        rows = sorted(zip(*(group.column(c).to_pylist() for c in ("id", "component", "c", "text")), strict=True))
-        sets = [shingles(r[3]) for r in rows]
-        parent = {r[1]: r[1] for r in rows}
-
-        def root(x):
-            while parent[x] != x:
-                parent[x] = x = parent[parent[x]]
-            return x
-
-        left = [n for n, r in enumerate(rows) if r[2] == i]
-        right = [n for n, r in enumerate(rows) if r[2] == j]
+def _overlap(x: np.ndarray, y: np.ndarray) -> int:
+    """The number of common words of two sorted sets."""
+    if len(x) < len(y):
+        x, y = y, x
+    return int(np.count_nonzero(x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y))
+
+
+def _shingle_words(line: bytes) -> np.ndarray:
+    """The shingle set as sorted 64-bit words (a shingle has eight bytes)."""
+    line = line.ljust(SHINGLE, b"\0")
+    words = np.sort(np.ndarray(len(line) - SHINGLE + 1, dtype="<u8", buffer=line, strides=(1,)))
+    new = np.ones(len(words), dtype=bool)
+    np.not_equal(words[1:], words[:-1], out=new[1:])
+    return words[new]
+
+
+def _common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """The number of common shingles of each pair (positions in left and right): pair by pair if they are few,
+    else all at once, as a product of 0/1 matrices over some thousand shingles at a time."""
+    if len(pairs) <= 2 * len(sets):
+        return np.array([_overlap(sets[left[x]], sets[right[y]]) for x, y in pairs])
+    ids, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    order = np.argsort(flat, kind="stable")
+    flat, row = flat[order], row[order]
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    for at in range(0, len(ids), 4096):
+        a, b = np.searchsorted(flat, at), np.searchsorted(flat, at + 4096)
+        part = np.zeros((len(sets), 4096), dtype=np.float32)
+        part[row[a:b], flat[a:b] - at] = 1
+        out += part[left] @ part[right].T
+    return out[pairs[:, 0], pairs[:, 1]]
+
+
+def _cell_links(cells: DataFrame, groups: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) that join components of a cell. A pair is looked at in the first band that it shares."""
+    bands = groups.groupBy("member").agg(F.collect_list("key").alias("bands"))
+    held = texts.join(bands, texts["id"] == bands["member"]).select(F.col("id").alias("own"), "text", "bands")
+
+    def links(key, i, j, rows) -> list[tuple]:
+        left = np.array([n for n, r in enumerate(rows) if r[2] == i])
+        right = np.array([n for n, r in enumerate(rows) if r[2] == j])
+        if not len(left) or not len(right):
+            return []
+        keys = np.full((len(rows), BANDS), -1, dtype=np.int64)
+        for n, r in enumerate(rows):
+            own = np.array(r[4], dtype=np.int64)
+            keys[n, own % BANDS] = own
+        same = keys[left][:, None, :] == keys[right][None, :, :]
+        same &= keys[left][:, None, :] >= 0
+        component = np.unique([r[1] for r in rows], return_inverse=True)[1]
+        mask = (same.argmax(axis=2) == key % BANDS) & (component[left][:, None] != component[right][None, :])
+        if i == j:
+            mask &= left[:, None] < right[None, :]
+        if not mask.any():
+            return []
+        sets = [_shingle_words(r[3]) for r in rows]
+        size = np.array([len(x) for x in sets])
+        a, b = size[left][:, None], size[right][None, :]
+        mask &= np.minimum(a, b) >= threshold * np.maximum(a, b)
+        pairs = np.argwhere(mask)
+        if not len(pairs):
+            return []
+        both = _common(sets, left, right, pairs)
+        x, y = left[pairs[:, 0]], right[pairs[:, 1]]
+        on = both / (size[x] + size[y] - both) >= threshold
+        parent = list(range(component.max() + 1))
+
+        def root(n):
+            while parent[n] != n:
+                parent[n] = n = parent[parent[n]]
+            return n
+
         out = []
-        for x in left:
-            for y in right:
-                if i == j and y <= x:
-                    continue
-                a, b = root(rows[x][1]), root(rows[y][1])
-                small, large = sorted((len(sets[x]), len(sets[y])))
-                if a != b and small >= threshold * large and jaccard(sets[x], sets[y]) >= threshold:
-                    parent[max(a, b)] = min(a, b)
-                    out.append((rows[x][0], rows[y][0]))
-        return pa.table([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64())], names=["a", "b"])
+        for n, m in zip(x[on].tolist(), y[on].tolist(), strict=True):
+            p, q = root(component[n]), root(component[m])
+            if p != q:
+                parent[max(p, q)] = min(p, q)
+                out.append((rows[n][0], rows[m][0]))
+        return out
 
-    return cells.join(texts, "id").select("key", "i", "j", "id", "component", "c", "text").groupBy("key", "i", "j").applyInArrow(
-        run, "a long, b long")
+    def run(batches):
+        cell, rows = None, []
+        for b in batches:
+            found = []
+            for key, i, j, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if (key, i, j) != cell:
+                    if cell:
+                        found += links(*cell, rows)
+                    cell, rows = (key, i, j), []
+                rows.append(row)
+            yield _edges(found)
+        if cell:
+            yield _edges(links(*cell, rows))
+        trim()
+
+    return (cells.join(held, F.col("id") == F.col("own")).select("key", "i", "j", "id", "component", "c", "text", "bands")
+            .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "id").mapInArrow(run, "a long, b long"))
+
+
+def _edges(found: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())],
+                                      names=["a", "b"])
 
 
 def line_components(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
@@ -298,10 +381,9 @@ def line_components(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Data
     texts = spark.read.parquet(f"{at}/texts")
     stars = groups.where("member != pivot").select(F.col("pivot").alias("a"), F.col("member").alias("b")).distinct()
     links = shared_checkpoint(_verified(stars, texts, threshold))
-    components = connected_components(links)
-    more = shared_checkpoint(_cell_links(_open_cells(groups, components), texts, threshold))
-    if not more.isEmpty():
-        components = connected_components(links.unionByName(more))
+    more = shared_checkpoint(_cell_links(_open_cells(groups, links), groups, texts, threshold))
+    free_shuffles(spark)
+    components = connected_components(links.unionByName(more))
     free_shuffles(spark)
     return occurrences, components
 
@@ -313,6 +395,7 @@ def duplicate_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         "id", F.coalesce("component", "id").alias("c"), "doc", "line")
     keeper = own.groupBy("c").agg(F.min(F.struct("doc", "line")).alias("keep"), F.count("*").alias("n")).where(
         "n > 1").select(F.col("c").alias("k"), "keep")
+    keeper = shared_checkpoint(keeper)  # so that the join below can split the places of a frequent line
     late = own.join(keeper, F.col("c") == F.col("k")).where(
         (F.col("doc") != F.col("keep.doc")) | (F.col("line") != F.col("keep.line")))
     return late.groupBy("doc").agg(F.collect_list(F.struct("line", "id")).alias("gone"))
