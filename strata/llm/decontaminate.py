@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import id_text, keep_rows, limit_batches, text_rows
+from strata.llm.common import id_text, keep_rows, limit_batches, slices, text_rows
 from strata.llm.words import folded_words, hash_words, mix, shingle_hashes
 
 FUNCTIONS = 32
@@ -92,6 +92,12 @@ class ItemIndex:
 
     def search(self, texts: list[str], threshold: float) -> list[tuple[int, int, int, int]]:
         """(row, item id, item's shingles, shingles found) for the texts that hold an item."""
+        out = []
+        for rows, part in slices(list(range(len(texts))), texts):
+            out += [(rows[r], *hit) for r, *hit in self._search(part, threshold)]
+        return out
+
+    def _search(self, texts: list[str], threshold: float) -> list[tuple[int, int, int, int]]:
         words = [folded_words(t) for t in texts]
         hashes = [hash_words(w) for w in words]
         pairs = set()
