@@ -68,12 +68,11 @@ def r5_kpi_leaders(fact, dim, kpis=LEADER_KPIS, as_of=None):
     values are compared with it in place, so nothing is shuffled by KPI.
     """
     v = latest_snapshot(fact, dim, as_of=as_of, columns=SNAP_COLS)
-    best = v.select(F.struct(*[(F.max if how == "max" else F.min)(F.col(col).cast("double")).alias(label)
-                               for label, col, how in kpis])).scalar()
-    items = [F.when(F.col(col).cast("double") == best[label],
-                    F.struct(F.lit(label).alias("kpi"), F.col(col).cast("double").alias("value"))) for label, col, _ in kpis]
-    return (v.select("country_name", F.explode(F.array(*items)).alias("x")).where(F.col("x").isNotNull())
-            .select("x.kpi", "country_name", "x.value"))
+    best = v.select(F.create_map(*[c for label, col, how in kpis for c in (
+        F.lit(label), (F.max if how == "max" else F.min)(F.col(col).cast("double")))])).scalar()
+    items = [F.struct(F.lit(label).alias("kpi"), F.col(col).cast("double").alias("value")) for label, col, _ in kpis]
+    long = v.select("country_name", F.explode(F.array(*items)).alias("x"))
+    return long.where(F.col("x.value") == F.element_at(best, F.col("x.kpi"))).select("x.kpi", "country_name", "x.value")
 
 
 def r6_kpi_table(fact, dim, as_of=None):
