@@ -36,6 +36,7 @@ WINDOW, LEAD = 50, 24
 SPREAD = WINDOW - LEAD + 1
 LONGEST_RUN = 32  # of windows; longer runs (periodic texts) are cut
 BATCH_BYTES, PIECE_BYTES, PART_BYTES, BUCKET_BYTES = 8 << 20, 1 << 20, 8 << 20, 4 << 20
+MARKS_A_ROW = 1 << 13
 _U = np.uint64
 _C = [_U(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                       0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x27D4EB2F165667C5, 0x2545F4914F6CDD1D)]
@@ -249,6 +250,17 @@ def _by_bucket(a, b, doc, buckets: int):
             yield int(at[x]), _pack(a[x:y], b[x:y], doc[x:y])
 
 
+def _entry_rows(own: Run, buckets: int) -> tuple[list, list, list]:
+    """(bucket, run, marked): the run by bucket; the marks, which are settled and only pass through, dealt out
+    evenly, so that a string with many copies does not gather in the bucket of its hash."""
+    rows = [(k, packed, None) for k, packed in _by_bucket(own.a, own.b, own.doc, buckets)]
+    a, b, doc = own.marked
+    for at in range(0, len(a), MARKS_A_ROW):
+        part = slice(at, at + MARKS_A_ROW)
+        rows.append((int(_mix(doc[at:at + 1].view(np.uint64) + a[at:at + 1])[0]) % buckets, None, _pack(a[part], b[part], doc[part])))
+    return tuple(map(list, zip(*rows, strict=True))) if rows else ([], [], [])
+
+
 def _runs_of(keys: np.ndarray, texts: list[bytes]):
     """(leader, string, doc, row, first byte, end byte) of all runs."""
     got = [[] for _ in range(6)]
@@ -274,12 +286,9 @@ def _batches(docs: DataFrame, buckets: int) -> DataFrame:
         def batch():
             a, b, doc, *_ = _runs_of(np.array(keys, dtype=np.int64), texts)
             own = Run(a.astype(np.uint64), b.astype(np.uint32), doc)
-            runs = dict(_by_bucket(own.a, own.b, own.doc, buckets))
-            marks = dict(_by_bucket(*own.marked, buckets))
-            at = sorted(runs.keys() | marks.keys())
-            return pa.RecordBatch.from_arrays(
-                [pa.array(at, pa.int32()), pa.array([runs.get(k) for k in at], pa.binary()),
-                 pa.array([marks.get(k) for k in at], pa.binary())], names=["bucket", "run", "marked"])
+            at, runs, marks = _entry_rows(own, buckets)
+            return pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(runs, pa.binary()), pa.array(marks, pa.binary())],
+                                              names=["bucket", "run", "marked"])
 
         for ids, rows in text_rows(batches):
             for k, t in zip(ids, rows, strict=True):
@@ -322,9 +331,11 @@ def _index(entries: DataFrame, parts: int, unsettled: bool) -> DataFrame:
             if packed:
                 family.add(Run(*_unpack(packed), ready=True))
         out = []
-        index, marks = family.finish() if family.levels else (None, None)
-        kinds = [(0, marks)] if index is not None else []
-        if unsettled and index is not None:
+        if not family.levels:
+            family.add(Run(np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.int64)))
+        index, marks = family.finish()
+        kinds = [(0, marks)]
+        if unsettled and len(index):
             order = np.argsort(index.a, kind="stable")
             a, b, doc = index.a[order], index.b[order], index.doc[order]
             new = np.ones(len(a), dtype=bool)
@@ -401,10 +412,9 @@ def _windows(parts: DataFrame, marks: DataFrame, buckets: int) -> DataFrame:
     def run(docs: pa.Table, found: pa.Table) -> pa.Table:
         keys, texts = _docs_of(docs)
         own = Run(*_window_entries(keys, texts, Marks(found, 1))[:3])
-        runs, marked = dict(_by_bucket(own.a, own.b, own.doc, buckets)), dict(_by_bucket(*own.marked, buckets))
-        at = sorted(runs.keys() | marked.keys())
-        return pa.table([pa.array(at, pa.int32()), pa.array([runs.get(k) for k in at], pa.binary()),
-                         pa.array([marked.get(k) for k in at], pa.binary())], names=["bucket", "run", "marked"])
+        at, runs, marked = _entry_rows(own, buckets)
+        return pa.table([pa.array(at, pa.int32()), pa.array(runs, pa.binary()), pa.array(marked, pa.binary())],
+                        names=["bucket", "run", "marked"])
 
     return parts.groupBy("part").cogroup(marks.groupBy("part")).applyInArrow(run, _ENTRIES)
 
