@@ -28,6 +28,7 @@ from strata.llm.words import folded_words
 
 PER_CLASS, TERMS, MIN_CHI2, MIN_LIFT, MIN_EXAMPLES = 3000, 512, 25.0, 4.0, 3
 NEIGHBOURS, BLOCK, SHRINK, THRESHOLD = 25, 64, 1.0, 0.3
+EXAMPLE_PARTS = 12  # the sample is bounded, and so are its files
 BEGINNINGS, TIMES = (4, 5, 6, 7, 8), (2, 3, 5)
 
 
@@ -141,7 +142,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         chosen = part if chosen is None else chosen.unionByName(part)
     chosen = shared_checkpoint(chosen)
     examples = shared_checkpoint(docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("k"))
-                                 .select("doc_id", "text", "toxic"))
+                                 .select("doc_id", "text", "toxic").repartition(EXAMPLE_PARTS))
 
     def count(batches):
         for b in batches:
