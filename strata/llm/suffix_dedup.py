@@ -36,7 +36,7 @@ WINDOW, LEAD = 50, 24
 SPREAD = WINDOW - LEAD + 1
 LONGEST_RUN = 32  # of windows; longer runs (periodic texts) are cut
 BATCH_BYTES, PIECE_BYTES, PART_BYTES, BUCKET_BYTES = 8 << 20, 1 << 20, 8 << 20, 4 << 20
-MARKS_A_ROW = 1 << 13
+MARKS_A_ROW = 1 << 10
 _U = np.uint64
 _C = [_U(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                       0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x27D4EB2F165667C5, 0x2545F4914F6CDD1D)]
@@ -239,9 +239,9 @@ def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _by_bucket(a, b, doc, buckets: int):
-    """(bucket, packed entries) by the leading bits of a."""
+    """(bucket, packed entries) by the leading bits of a's hash: leaders are minima, so their own are mostly 0."""
     shift = _U(64 - max(1, buckets.bit_length() - 1))
-    at = (a >> shift).astype(np.int64)
+    at = (_mix(a * _C[7]) >> shift).astype(np.int64)
     order = np.argsort(at, kind="stable")
     at, a, b, doc = at[order], a[order], b[order], doc[order]
     cuts = np.flatnonzero(np.diff(at)) + 1
@@ -484,7 +484,7 @@ def remove_repeats(docs: DataFrame, digest: bool = False) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = max(least, size // PART_BYTES + 1)
-    buckets = 1 << (max(2 * least, size // BUCKET_BYTES + 1) - 1).bit_length()
+    buckets = 1 << (max(least, size // BUCKET_BYTES + 1) - 1).bit_length()
     marks = shared_checkpoint(_index(_batches(docs, buckets), parts, unsettled=True))
     free_shuffles(spark)
     key = F.coalesce(F.col("doc_id"), F.lit(_LEAST))
