@@ -103,11 +103,27 @@ class Segment:
         return self.slice(int(self.first[k]), int(self.first[k + 1]))
 
 
-def _encoder(path: str, pattern: str) -> PieceEncoder:
-    if (path, pattern) not in _WORKER:
+class FileEncoder:
+    """ids as the tokenizer file's whole-text call gives them: by pieces, unless a text holds an added token."""
+
+    def __init__(self, path: str, pattern: str):
         from tokenizers import Tokenizer
 
-        _WORKER[path, pattern] = PieceEncoder(Tokenizer.from_file(path).model, pattern)
+        self.whole = Tokenizer.from_file(path)
+        self.pieces = PieceEncoder(self.whole.model, pattern)
+        self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        out = self.pieces.encode(texts)
+        for i, t in enumerate(texts):
+            if any(a in t for a in self.added):
+                out[i] = np.array(self.whole.encode(t, add_special_tokens=False).ids, dtype=np.uint32)
+        return out
+
+
+def _encoder(path: str, pattern: str) -> FileEncoder:
+    if (path, pattern) not in _WORKER:
+        _WORKER[path, pattern] = FileEncoder(path, pattern)
     return _WORKER[path, pattern]
 
 

@@ -127,6 +127,22 @@ def test_stored_ids_match_the_library(spark):
     assert bag(tuple(r) for r in got) == bag(expected)
 
 
+def test_stored_ids_know_the_added_tokens_of_the_file(spark):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(JSON)
+    rows = [(1, "a <|endoftext|> b"), (2, "x<|endoftext|><|endoftext|>é😀\n"), (3, "<|endoftext|"), (4, "plain " + prose(4, 30)),
+            (5, "<|endoftext|>"), (6, "<|endof<|endoftext|>text|>  z"), (7, None)]
+    expected, at = [], 0
+    for k, text in rows:
+        ids = [*t.encode(text or "", add_special_tokens=False).ids, 2]
+        expected.append((k, at, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())))
+        at += len(ids)
+    assert t.encode(rows[0][1], add_special_tokens=False).ids == [64, 220, 50256, 275]
+    got = token_store.store(frame(spark, rows).repartition(3), JSON, PATTERN).collect()
+    assert bag(tuple(r) for r in got) == bag(expected)
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.lists(st.integers(0, (1 << 32) - 1) | st.integers(0, 300), max_size=700), max_size=4))
 def test_directly_addressable_codes_round_trip(docs):
