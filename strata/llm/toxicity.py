@@ -2,7 +2,7 @@
 
 Fitting. Labelled rows outside the held-out fold (crc32 of the id's text mod 4 is not 2) give at most
 ``PER_CLASS`` examples of each class, the first by a hash of their ids: a documented bound, so the sample may be
-broadcast. Terms are folded words and word beginnings of 4 to 8 bytes, and a term that stands 2, 3 or 5 times in a
+broadcast. Rows that share an id are one example, by the text of the smallest hash. Terms are folded words and word beginnings of 4 to 8 bytes, and a term that stands 2, 3 or 5 times in a
 text is a term of its own each time; kept are the at most ``TERMS`` terms that mark label 1 in the examples by
 chi-squared and lift (``MIN_CHI2``, ``MIN_LIFT``). Their document frequencies are counted over all documents.
 
@@ -141,8 +141,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         part = known.where(F.col("toxic") == y).orderBy(F.xxhash64("k"), "k").limit(PER_CLASS)
         chosen = part if chosen is None else chosen.unionByName(part)
     chosen = shared_checkpoint(chosen)
-    examples = shared_checkpoint(docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("k"))
-                                 .select("doc_id", "text", "toxic").repartition(EXAMPLE_PARTS))
+    # of rows that share an id one text, so that the examples are no more than the chosen ids
+    examples = (docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("k")).groupBy("doc_id", "toxic")
+                .agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("least")))
+    examples = shared_checkpoint(examples.select("doc_id", "least.text", "toxic").repartition(EXAMPLE_PARTS))
 
     def count(batches):
         for b in batches:

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter
 
 import duckdb
@@ -221,6 +222,16 @@ def test_toxicity_without_labels_or_documents(spark):
     assert toxicity.score(frame(spark, []), none).collect() == []
 
 
+def test_rows_that_share_an_id_are_one_example(spark):
+    rows, labels = toxic_corpus()
+    t = spark.createDataFrame(labels, "doc_id long, toxic int")
+    own = [k for k, y in labels if y and not zlib.crc32(str(k).encode()) % 4 == 2][0]
+    many = [(own, f"vilest horrid zzgrumix {prose(900 + i % 50, 20)}") for i in range(150)]
+    once, again = (toxicity.fit(frame(spark, x), t) for x in (rows, rows + many))
+    assert len(set(again.ids.tolist())) == len(again.ids) and own in again.ids
+    assert again.weights == once.weights and again.prior == once.prior
+
+
 def test_harmful_documents_go(spark):
     rows, labels = toxic_corpus()
     t = spark.createDataFrame(labels, "doc_id long, toxic int")
