@@ -3,8 +3,8 @@
 Fitting. Labelled rows outside the held-out fold (crc32 of the id's text mod 4 is not 2) give at most
 ``PER_CLASS`` examples of each class, the first by a hash of their ids: a documented bound, so the sample may be
 broadcast. Rows that share an id are one example, by the text of the smallest hash. Terms are folded words and word beginnings of 4 to 8 bytes, and a term that stands 2, 3 or 5 times in a
-text is a term of its own each time; kept are the at most ``TERMS`` terms that mark label 1 in the examples by
-chi-squared and lift (``MIN_CHI2``, ``MIN_LIFT``). Their document frequencies are counted over all documents.
+text is a term of its own each time; kept are all terms that mark label 1 in the examples by chi-squared and lift
+(``MIN_CHI2``, ``MIN_LIFT``, ``MIN_EXAMPLES``); the sample bounds their number. Their document frequencies are counted over all documents.
 
 Scoring. Examples are unit TF-IDF vectors in an inverted index cut into blocks of ``BLOCK`` examples, with the
 largest weight of each term in each block. A text's blocks are visited by their upper bound until the bound is
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from strata.llm.common import id_text, keep_rows, limit_batches, shared_checkpoint, text_rows
 from strata.llm.words import folded_words
 
-PER_CLASS, TERMS, MIN_CHI2, MIN_LIFT, MIN_EXAMPLES = 3000, 512, 25.0, 4.0, 3
+PER_CLASS, MIN_CHI2, MIN_LIFT, MIN_EXAMPLES = 3000, 25.0, 4.0, 3
 NEIGHBOURS, BLOCK, SHRINK, THRESHOLD = 25, 64, 1.0, 0.3
 EXAMPLE_PARTS = 12  # the sample is bounded, and so are its files
 BEGINNINGS, TIMES = (4, 5, 6, 7, 8), (2, 3, 5)
@@ -165,8 +165,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     under = (a + b) * (n1 + n0 - a - b) * float(n1) * float(n0)
     chi2 = F.when(under > 0, float(n1 + n0) * F.pow(a * (n0 - b) - b * (n1 - a), F.lit(2.0)) / under)
     kept = (counts.where((F.col("n1") >= MIN_EXAMPLES) & (F.length("term") > 1) & (a * n0 >= MIN_LIFT * b * n1))
-            .withColumn("chi2", chi2).where(F.col("chi2") >= MIN_CHI2)
-            .orderBy(F.desc("chi2"), "term").limit(TERMS).select("term").collect())
+            .withColumn("chi2", chi2).where(F.col("chi2") >= MIN_CHI2).select("term").collect())
     terms = sorted(bytes(r["term"]) for r in kept)
     blank = Model({t: 1.0 for t in terms}, [], (1.0, 1.0), 0.0)
     shared = spark.sparkContext.broadcast(blank)

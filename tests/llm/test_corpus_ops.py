@@ -232,6 +232,15 @@ def test_rows_that_share_an_id_are_one_example(spark):
     assert again.weights == once.weights and again.prior == once.prior
 
 
+def test_all_marking_terms_are_kept(spark):
+    rows, labels = toxic_corpus()
+    marks = [f"{chr(97 + i // 26)}{chr(97 + i % 26)}q" for i in range(600)]
+    bad = dict(labels)
+    rows = [(k, t + " " + " ".join(marks) if bad[k] else t) for k, t in rows]
+    model = toxicity.fit(frame(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert {m.encode() for m in marks} <= set(model.number)
+
+
 def test_harmful_documents_go(spark):
     rows, labels = toxic_corpus()
     t = spark.createDataFrame(labels, "doc_id long, toxic int")
