@@ -1,12 +1,11 @@
 """Quality rules and a hashed n-gram log-likelihood ratio, in DataFrame functions alone (operator 10).
 
 Tokens are runs of letters, digits and underscores, and runs of other signs. The one- and two-token grams of a
-text are hashed to ``BUCKETS`` buckets. One multinomial is counted over the trusted target (at most
-``TARGET_DOCS`` documents labelled quality 1, the first by a hash of their ids: a documented bound), one over
-the whole raw corpus. A text's score is the mean over its grams of the log-ratio of the two, so length does not
+text are hashed to ``BUCKETS`` buckets. One multinomial is counted over the trusted target (all documents
+labelled quality 1), one over the whole raw corpus, both in one pass. A text's score is the mean over its grams of the log-ratio of the two, so length does not
 count, and every document is decided by the same threshold: no sampling, no random noise.
 
-Counting ships at most ``BUCKETS`` partial sums a task. The table of log-ratios has a fixed size and reaches the
+Counting ships at most ``BUCKETS`` pairs of partial sums a task. The table of log-ratios has a fixed size and reaches the
 tasks as a scalar subquery.
 """
 
@@ -17,7 +16,8 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import id_text, shared_checkpoint
 
-BUCKETS, TARGET_DOCS, PRIOR, THRESHOLD = 1 << 13, 8192, 1000, -0.15
+BUCKETS, PRIOR, THRESHOLD = 1 << 13, 1000, -0.15
+BROADCAST_IDS = 1 << 20
 SPACES = r"[\x20\x09-\x0D]+"
 _TOKENS = r"[\p{L}\p{N}_]+|[^\s\p{L}\p{N}_]+"
 
@@ -77,10 +77,6 @@ def base_features(text: Column) -> list[Column]:
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines")]
 
 
-def _counts(docs: DataFrame, name: str) -> DataFrame:
-    return docs.select(F.explode(grams(F.col("text"))).alias("bucket")).groupBy("bucket").agg(F.count("*").alias(name))
-
-
 def log_ratios(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row with ``table``: the log-ratio target to raw of every bucket.
 
@@ -88,11 +84,14 @@ def log_ratios(docs: DataFrame, labels: DataFrame) -> DataFrame:
     where the target says little the ratio is near nought.
     """
     good = (labels.select(F.col("doc_id").cast("long").alias("k"), "quality").where("quality = 1 AND k IS NOT NULL")
-            .select("k").distinct().orderBy(F.xxhash64("k"), "k").limit(TARGET_DOCS))
-    target = _counts(docs.join(F.broadcast(good), F.col("doc_id") == F.col("k")), "t")
-    raw = _counts(docs, "r")
-    both = (docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
-            .join(raw, "bucket", "left").join(target, "bucket", "left")
+            .select("k").distinct())
+    good = shared_checkpoint(good)
+    if good.count() <= BROADCAST_IDS:  # else the texts are shuffled to their labels
+        good = F.broadcast(good)
+    marked = docs.join(good, F.col("doc_id") == F.col("k"), "left")
+    counts = (marked.select(F.col("k").isNotNull().cast("long").alias("own"), F.explode(grams(F.col("text"))).alias("bucket"))
+              .groupBy("bucket").agg(F.sum("own").alias("t"), F.count("*").alias("r")))
+    both = (docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left")
             .select("bucket", F.coalesce("t", F.lit(0)).alias("t"), F.coalesce("r", F.lit(0)).alias("r")))
     both = shared_checkpoint(both)
     sums = both.agg(F.sum("t").alias("nt"), F.sum("r").alias("nr")).first()

@@ -341,6 +341,18 @@ def test_likelihood_ratio_tells_noise_from_prose(spark):
     assert len(table) == quality.BUCKETS
 
 
+@pytest.mark.parametrize("ids", [1 << 20, 0])
+def test_every_trusted_document_counts(spark, monkeypatch, ids):
+    monkeypatch.setattr(quality, "BROADCAST_IDS", ids, raising=False)
+    docs = frame(spark, [(i, f"w{i % 50} of w{i}") for i in range(9000)], extra=False)
+    labels = docs.selectExpr("doc_id", "1 AS quality")
+    raw = Counter(b for r in docs.select(quality.grams(docs["text"]).alias("g")).collect() for b in r.g)
+    n, got = sum(raw.values()), quality.log_ratios(docs, labels).first()["table"]
+    r = np.array([raw[b] for b in range(quality.BUCKETS)], dtype=float)
+    share = (r + 1) / (n + quality.BUCKETS)
+    assert np.allclose(got, np.log((r + quality.PRIOR * share) / ((n + quality.PRIOR) * share)))
+
+
 def test_empty_tables_give_empty_results(spark):
     none = frame(spark, [])
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
