@@ -6,7 +6,8 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, chat, decontaminate, line_dedup, pii, quality, simhash, suffix_dedup, token_store, toxicity
+from strata.llm import (bpe, chat, decontaminate, fim, line_dedup, packing, pii, quality, simhash, suffix_dedup,
+                        token_store, toxicity, whitening)
 from strata.llm.common import table
 
 
@@ -57,9 +58,28 @@ def op10_quality(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_packing(spark, sf_dir):
+    packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                          public_tokenizers.PATTERN, end_id=1)
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                         "offset")
+
+
+def op13_fill_in_middle(spark, sf_dir):
+    made = fim.transform(table(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(fim.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
 SPARK = {"op1_suffix_dedup": op1_suffix_dedup, "op2_token_store": op2_token_store, "op4_chat": op4_chat, "op5_pii": op5_pii, "op6_bpe": op6_bpe, "op7_line_dedup": op7_line_dedup, "op8_toxicity": op8_toxicity,
          "op3_simhash": op3_simhash, "op9_decontaminate": op9_decontaminate,
-         "op10_quality": op10_quality}
+         "op10_quality": op10_quality, "op11_whitening": op11_whitening, "op12_packing": op12_packing,
+         "op13_fill_in_middle": op13_fill_in_middle}
 
 _WORDS = ("list_filter(string_split(regexp_replace(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
           "'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+', ' ', 'g'), ' '), "
@@ -81,6 +101,22 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
        sum(length('<|im_start|>') + length(head) + 1 + length(body) + length('<|im_end|>') + 1)::BIGINT AS formatted_chars
 FROM e GROUP BY conv_id""",
+    "op13_fill_in_middle": r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+     u AS (SELECT *, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS units FROM t),
+     c AS (SELECT *, len(units) AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(units) + 1) AS x,
+                  ('0x' || substr(h, 9, 8))::BIGINT % (len(units) + 1) AS y,
+                  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain'
+                       WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM u),
+     p AS (SELECT doc_id, n, form, text, array_to_string(units[1:least(x, y)], '') AS pre,
+                  array_to_string(units[least(x, y) + 1:greatest(x, y)], '') AS mid,
+                  array_to_string(units[greatest(x, y) + 1:], '') AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        WHEN 'spm' THEN '<S>' || suf || '<P>' || pre || '<M>' || mid ELSE text END) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN text ELSE pre || mid || suf END) AS restored_sha256
+FROM p""",
     "op9_decontaminate": f"""
 WITH d AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
      b AS (SELECT item_id, {_WORDS.format("coalesce(text, '')")} AS w FROM benchmark),

@@ -121,7 +121,8 @@ class FileEncoder:
         return out
 
 
-def _encoder(path: str, pattern: str) -> FileEncoder:
+def file_encoder(path: str, pattern: str) -> FileEncoder:
+    """The worker's encoder for this file, made once."""
     if (path, pattern) not in _WORKER:
         _WORKER[path, pattern] = FileEncoder(path, pattern)
     return _WORKER[path, pattern]
@@ -136,7 +137,7 @@ def write(docs: DataFrame, tokenizer: str, pattern: str, end_id: int, out: str)
     limit_batches(docs.sparkSession)
 
     def run(batches):
-        encoder, part = _encoder(tokenizer, pattern), TaskContext.get().partitionId()
+        encoder, part = file_encoder(tokenizer, pattern), TaskContext.get().partitionId()
         end = np.array([end_id], dtype=np.uint32)
         keys, arrays, held, before, number = [], [], 0, 0, 0
 

@@ -336,7 +336,7 @@ def test_pipeline_stages_do_what_their_operators_do(spark, tmp_path):
 
 def test_every_operator_has_its_query():
     names = entry.queries()
-    assert "pipeline" in names and all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11))
+    assert "pipeline" in names and all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(registry.ORACLE))
@@ -351,7 +351,7 @@ def test_query_matches_oracle(spark, name):
     assert bag(tuple(r) for r in df.collect()) == bag(expected)
 
 
-@pytest.mark.parametrize("name", sorted(set(registry.SPARK) - set(registry.ORACLE)))
+@pytest.mark.parametrize("name", sorted(set(registry.SPARK) - set(registry.ORACLE) - {"op11_whitening", "op12_packing"}))
 def test_query_has_a_row_for_every_document(spark, name):
     got = registry.SPARK[name](spark, SF_SMALL).select("doc_id").collect()
     assert Counter(r[0] for r in got) == Counter(r[0] for r in table(spark, SF_SMALL, "documents").select("doc_id").collect())
