@@ -35,29 +35,34 @@ from strata.llm.token_store import file_encoder
 
 #: Tokens of a sequence; step of the length classes; the program's gap and steps; gaps that are filled by cutting.
 SIZE, GRID, GAP, PIVOTS, LOOSE = 2048, 4, 2e-4, 1000, 16
-PIECES = ("doc_id long, doc_tokens long, start long, length int, ids binary, part int, nth long")
+PIECES = "doc_id long, doc_tokens long, start long, length int, width int, ids binary, part int, nth long"
 PLAN = "p_length int, lo long, hi long, cut_from int, cut_to int, sequence long, offset int"
 
 
 def pieces(docs: DataFrame, tokenizer: str, pattern: str, end_id: int, size: int = SIZE) -> DataFrame:
-    """The pieces of all documents (``PIECES``; ids as little-endian unsigned 32-bit numbers), written and reread."""
+    """The pieces of all documents (``PIECES``), written and reread. ids are little-endian numbers of ``width`` bytes: 2
+    where all ids of the file and ``end_id`` fit, as the bytes are shuffled once, and 4 otherwise."""
+    from tokenizers import Tokenizer
+
     limit_batches(docs.sparkSession)
+    width = 2 if max(end_id, *Tokenizer.from_file(tokenizer).get_vocab().values()) < 1 << 16 else 4
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part = file_encoder(tokenizer, pattern), TaskContext.get().partitionId()
-        end, made = np.array([end_id], dtype="<u4").tobytes(), [0] * (size + 1)
+        end, made = np.array([end_id], dtype=f"<u{width}").tobytes(), [0] * (size + 1)
         for ids, texts in text_rows(batches):
             for keys, some in slices(ids, texts):
                 rows = []
                 for k, tokens in zip(keys, encoder.encode(some), strict=True):
-                    raw = tokens.astype("<u4").tobytes() + end
-                    n = len(raw) // 4
+                    raw = tokens.astype(f"<u{width}").tobytes() + end
+                    n = len(raw) // width
                     for at in range(0, n, size):
                         length = min(size, n - at)
-                        rows.append((k, n, at, length, raw[4 * at:4 * (at + length)], part, made[length]))
+                        own = raw[width * at:width * (at + length)]
+                        rows.append((k, n, at, length, width, own, part, made[length]))
                         made[length] += 1
                 cols = list(zip(*rows, strict=True))
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.int64()]
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int32(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)],
                                                  [c.split()[0] for c in PIECES.split(", ")])
 
@@ -250,7 +255,8 @@ def plan(counts: dict[int, int], size: int = SIZE, grid: int = GRID, gap: float
 
 
 def assign(made: DataFrame, size: int = SIZE, grid: int = GRID) -> DataFrame:
-    """Every piece of the result: doc_id, start, length, ids, doc_tokens, sequence_id, offset.
+    """Every piece of the result: doc_id, start, length, ids (little-endian unsigned 32-bit numbers), doc_tokens,
+    sequence_id, offset.
 
     ``made`` are the rows of ``pieces``, as written. A piece of the residue may be cut again.
     """
@@ -265,9 +271,12 @@ def assign(made: DataFrame, size: int = SIZE, grid: int = GRID) -> DataFrame:
               .withColumn("rank", F.col("first") + F.col("nth")))
     placed = ranked.join(F.broadcast(rows), (F.col("length") == F.col("p_length")) & (F.col("rank") >= F.col("lo"))
                          & (F.col("rank") < F.col("hi")))  # the plan's size is bounded by ``size``
-    own = F.col("cut_to") - F.col("cut_from")
+    own, width = F.col("cut_to") - F.col("cut_from"), F.col("width")
+    ids = F.substring("ids", F.col("cut_from") * width + 1, own * width)
+    # two bytes become four: in hexadecimal, zeros after every four digits
+    ids = F.when(width == 2, F.unhex(F.regexp_replace(F.hex(ids), "(.{4})", "$10000"))).otherwise(ids)
     return placed.select("doc_id", (F.col("start") + F.col("cut_from")).alias("start"), own.cast("long").alias("length"),
-                         F.substring("ids", F.col("cut_from") * 4 + 1, own * 4).alias("ids"), "doc_tokens",
+                         ids.alias("ids"), "doc_tokens",
                          (F.col("sequence") + F.col("rank") - F.col("lo")).alias("sequence_id"),
                          F.col("offset").cast("long").alias("offset"))
 
