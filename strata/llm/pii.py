@@ -3,11 +3,15 @@
 Base: e-mail, IP, card and phone numbers by pattern. The patterns here match what the plain ones match, but their
 loops are possessive and a run of characters is tried once, so a very long text costs linear time.
 
-Information-theoretic sanitisation: a protected entity c is one base value (normalised). For a term t (a word of
-four letters or more) that stands within ``CONTEXT`` code points of c in n(c, t) documents, with n(c) documents
-that hold c, n(t) that hold t and N in all, t discloses PMI(c; t) = log2(n(c, t) N / (n(c) n(t))) of the IC(c) =
-log2(N / n(c)) bits of c. A term of at least ``MIN_DOCS`` documents with c and a share PMI / IC of ``GENERALISE`` is
-generalised where it stands beside c, and removed from a share of ``REMOVE`` on. All counts are of all documents.
+Information-theoretic sanitisation: a protected entity c is one base value (normalised), a term t a word of four
+letters or more outside e-mail addresses. With n(c, t) documents that hold both, n(c) that hold c, n(t) that hold t
+and N in all, t discloses PMI(c; t) = log2(n(c, t) N / (n(c) n(t))) of the IC(c) = log2(N / n(c)) bits of c. A term
+of at least ``MIN_DOCS`` documents with c and a share PMI / IC of ``GENERALISE`` is generalised wherever it stands in
+documents that hold c, and removed from a share of ``REMOVE`` on. All counts are of all documents, and a document
+is a (doc_id, text): rows that repeat one count once in all four.
+
+As n(c, t) is at most n(c), only terms with n(t) <= n(c) ** GENERALISE * N ** (1 - GENERALISE) can reach the
+share: others are dropped before terms meet entities, so a long document with many values does not give all pairs.
 """
 
 from __future__ import annotations
@@ -15,10 +19,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import id_text, shared_checkpoint
+from strata.llm.common import id_text, shared_checkpoint, shared_path
 from strata.llm.quality import let
 
-CONTEXT, MIN_DOCS, GENERALISE, REMOVE = 100, 2, 0.75, 0.95
+MIN_DOCS, GENERALISE, REMOVE = 2, 0.75, 0.95
+#: Repeated documents that may be broadcast; with more, texts are shuffled to them.
+BROADCAST_REPEATS = 100_000
 KINDS = ("email", "ip", "card", "phone")
 PATTERNS = {
     "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -28,7 +34,8 @@ PATTERNS = {
 }
 TERM = r"\p{L}{4,}"
 _CHUNK = 64
-_NO_SPANS = "array<struct<kind:string,start:int,end:int,value:string,before:string,after:string>>"
+_NO_SPANS = "array<struct<kind:string,start:int,end:int,value:string>>"
+_NO_TERMS = "array<struct<term:string,start:int,end:int>>"
 
 
 def _running(lengths: Column) -> Column:
@@ -71,7 +78,7 @@ def _entity(kind: str, value: Column) -> Column:
 
 
 def find(kind: str, text: Column) -> Column:
-    """The valid matches of a kind: (kind, start, end, value, text before, text after), code points, end exclusive."""
+    """The valid matches of a kind: (kind, start, end, value), code points, end exclusive."""
     pattern = PATTERNS[kind]
 
     def place(found):
@@ -80,7 +87,7 @@ def find(kind: str, text: Column) -> Column:
             rows = let(at, lambda starts: F.transform(found, lambda value, i: F.struct(
                 F.lit(kind).alias("kind"), (F.get(starts, i) + F.char_length(F.get(between, i))).alias("start"),
                 (F.get(starts, i) + F.char_length(F.get(between, i)) + F.char_length(value)).alias("end"),
-                value.alias("value"), _tail(F.get(between, i)).alias("before"), _head(F.get(between, i + 1)).alias("after"))))
+                value.alias("value"))))
             return F.filter(rows, lambda r: _valid(kind, r["value"]))
 
         return F.when(F.size(found) == 0, F.array().cast(_NO_SPANS)).otherwise(let(F.split(text, pattern, -1), around))
@@ -88,19 +95,8 @@ def find(kind: str, text: Column) -> Column:
     return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), place)
 
 
-def _tail(between: Column) -> Column:
-    """The last CONTEXT code points, without a word that they cut."""
-    cut = F.char_length(between) > CONTEXT
-    return F.when(cut, F.regexp_replace(F.right(between, F.lit(CONTEXT)), r"^\p{L}+", "")).otherwise(between)
-
-
-def _head(between: Column) -> Column:
-    cut = F.char_length(between) > CONTEXT
-    return F.when(cut, F.regexp_replace(F.left(between, F.lit(CONTEXT)), r"\p{L}++$", "")).otherwise(between)
-
-
-def _terms(context: Column, first: Column) -> Column:
-    """(term, start, end) of a context that starts at ``first``; a context is short."""
+def _terms(text: Column, first: Column) -> Column:
+    """(term, start, end) of a text that starts at ``first``."""
     def place(found):
         def around(between):
             at = _running(F.zip_with(F.slice(between, 1, F.size(found)), found, lambda a, b: F.char_length(a) + F.char_length(b)))
@@ -108,10 +104,28 @@ def _terms(context: Column, first: Column) -> Column:
                 F.lower(t).alias("term"), (first + F.get(starts, i) + F.char_length(F.get(between, i))).alias("start"),
                 (first + F.get(starts, i) + F.char_length(F.get(between, i)) + F.char_length(t)).alias("end"))))
 
-        return F.when(F.size(found) == 0, F.array().cast("array<struct<term:string,start:int,end:int>>")).otherwise(
-            let(F.split(context, TERM, -1), around))
+        return F.when(F.size(found) == 0, F.array().cast(_NO_TERMS)).otherwise(let(F.split(text, TERM, -1), around))
+
+    return let(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), place)
+
 
-    return let(F.regexp_extract_all(context, F.lit(TERM), F.lit(0)), place)
+def terms(text: Column) -> Column:
+    """(term, start, end) of all terms of a whole text, those in e-mail addresses left out."""
+    def of(found):
+        def around(between):
+            ends = F.zip_with(between, F.concat(found, F.array(F.lit(""))), lambda a, b: F.char_length(a) + F.char_length(b))
+            return let(_running(ends), lambda starts: F.flatten(F.transform(between, lambda part, i: _terms(part, F.get(starts, i)))))
+
+        return let(F.split(text, PATTERNS["email"], -1), around)
+
+    whole = _terms(text, F.lit(0))
+    return F.when(F.contains(text, F.lit("@")), let(F.regexp_extract_all(text, F.lit(PATTERNS["email"]), F.lit(0)), of)).otherwise(whole)
+
+
+def distinct_terms(text: Column) -> Column:
+    """Each term of a whole text once."""
+    outside = F.when(F.contains(text, F.lit("@")), F.regexp_replace(text, PATTERNS["email"], " ")).otherwise(text)
+    return F.array_distinct(F.transform(F.regexp_extract_all(outside, F.lit(TERM), F.lit(0)), lambda t: F.lower(t)))
 
 
 def _shown(spans: Column) -> Column:
@@ -119,38 +133,79 @@ def _shown(spans: Column) -> Column:
         s["kind"], F.lit(":"), s["start"].cast("string"), F.lit(":"), s["end"].cast("string"))), ",")
 
 
+ROW = ["doc_id", "text_key"]
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_key, text): the key tells the documents of one doc_id apart."""
+    return id_text(docs).select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+
+
 def base_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, spans): base spans by kind and start; text_key tells rows of one doc_id apart."""
-    return id_text(docs).select("doc_id", F.xxhash64("text").alias("text_key"),
-                                F.concat(*(find(k, F.col("text")) for k in KINDS)).alias("spans"))
+    """(doc_id, text_key, spans, text): base spans by kind and start; the text only where there are any."""
+    rows = _rows(docs).select(*ROW, F.concat(*(find(k, F.col("text")) for k in KINDS)).alias("spans"), "text")
+    return rows.withColumn("text", F.when(F.size("spans") > 0, F.col("text")))
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _on_row(left: DataFrame, right: DataFrame, how: str, also: tuple = ()) -> DataFrame:
+    """Join on the document, a null doc_id being equal to another, and on the columns ``also``."""
+    r = right.withColumnsRenamed({c: f"__{c}" for c in (*ROW, *also)})
+    same = F.col("doc_id").eqNullSafe(F.col("__doc_id"))
+    for c in (*ROW[1:], *also):
+        same = same & (F.col(c) == F.col(f"__{c}"))
+    return left.join(r, same, how).drop(*[f"__{c}" for c in (*ROW, *also)])
+
+
+def _term_counts(docs: DataFrame, times: DataFrame) -> DataFrame:
+    """(term, nt): documents that hold a term; a document that stands in m rows counts 1 / m in each of them."""
+    repeated = shared_checkpoint(times.where(F.col("times") > 1))
+    if repeated.count() <= BROADCAST_REPEATS:
+        repeated = F.broadcast(repeated)
+    rows = _on_row(_rows(docs), repeated, "left")
+    each = rows.select(F.explode(distinct_terms(F.col("text"))).alias("term"), (1 / F.coalesce("times", F.lit(1))).alias("part"))
+    return each.groupBy("term").agg(F.round(F.sum("part")).cast("bigint").alias("nt")).where(F.col("nt") >= MIN_DOCS)
 
 
 def disclosing_terms(docs: DataFrame, base: DataFrame) -> DataFrame:
-    """(doc_id, text_key, start, end, share): occurrences of terms that disclose the entity beside them."""
-    keyed = base.select("doc_id", "text_key", F.explode("spans").alias("s"))
-    entity = F.when(F.col("s.kind") == "email", _entity("email", F.col("s.value"))).when(
-        F.col("s.kind") == "ip", _entity("ip", F.col("s.value"))).otherwise(_entity("card", F.col("s.value")))
-    terms = F.concat(_terms(F.col("s.before"), F.col("s.start") - F.char_length("s.before")),
-                     _terms(F.col("s.after"), F.col("s.end")))
-    mentions = keyed.select("doc_id", "text_key", F.col("s.kind").alias("kind"), entity.alias("entity"), terms.alias("terms"))
-    beside = mentions.select("doc_id", "text_key", "kind", "entity", F.explode("terms").alias("t")).select(
-        "doc_id", "text_key", "kind", "entity", "t.term", "t.start", "t.end")
-    beside = shared_checkpoint(beside)
-    row = ("doc_id", "text_key")
-    n_entity = (mentions.select(*row, "kind", "entity").distinct().groupBy("kind", "entity").agg(F.count("*").alias("nc"))
-                .where(F.col("nc") >= MIN_DOCS))
-    pairs = (beside.select(*row, "kind", "entity", "term").distinct().groupBy("kind", "entity", "term")
-             .agg(F.count("*").alias("nct")).where(F.col("nct") >= MIN_DOCS).join(n_entity, ["kind", "entity"]))
-    text = F.col("text")
-    held = id_text(docs).select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))).alias("term"))
-    n_term = held.groupBy("term").agg(F.count("*").alias("nt"))
-    n = float(docs.count())
-    scored = pairs.join(n_term, "term").select(
-        "kind", "entity", "term",
-        (F.log2(F.col("nct") * n / (F.col("nc") * F.col("nt"))) / F.log2(F.lit(n) / F.col("nc"))).alias("share"))
+    """(doc_id, text_key, terms): for documents with any, (start, end, share) of the terms that disclose an entity in them."""
+    times = base.groupBy(*ROW).agg(F.count(F.lit(1)).alias("times"))
+    n = float(times.count())
+    held = base.where(F.size("spans") > 0).groupBy(*ROW).agg(F.first("spans").alias("spans"), F.first("text").alias("text"))
+    held = _written(held, "pii-texts")
+    s = F.col("s")
+    entity = F.when(s["kind"] == "email", _entity("email", s["value"])).when(
+        s["kind"] == "ip", _entity("ip", s["value"])).otherwise(_entity("card", s["value"]))
+    entities = held.select(*ROW, F.explode("spans").alias("s")).select(*ROW, s["kind"].alias("kind"), entity.alias("entity")).distinct()
+    n_entity = shared_checkpoint(entities.groupBy("kind", "entity").agg(F.count("*").alias("nc")).where(F.col("nc") >= MIN_DOCS))
+    known = entities.join(n_entity, ["kind", "entity"])
+    n_term = _written(_term_counts(docs, times), "pii-terms")
+    own = held.select(*ROW, F.explode(distinct_terms(F.col("text"))).alias("term")).join(n_term, "term")
+    # the largest n(t) that can reach the share, with a little room for rounding
+    reach = F.pow(F.col("nc"), F.lit(GENERALISE)) * (n ** (1 - GENERALISE) * (1 + 1e-9))
+    pairs = _on_row(own, known, "inner").where(F.col("nt") <= reach)
+    pairs = _written(pairs.select(*ROW, "kind", "entity", "term", "nc", "nt"), "pii-pairs")
+    scored = pairs.groupBy("kind", "entity", "term", "nc", "nt").agg(F.count("*").alias("nct")).where(F.col("nct") >= MIN_DOCS)
+    share = F.log2(F.col("nct") * n / (F.col("nc") * F.col("nt"))) / F.log2(F.lit(n) / F.col("nc"))
     # an entity that every document holds has no information, and its share is not a number
-    scored = scored.where((F.col("share") >= GENERALISE) & ~F.isnan("share"))
-    return beside.join(scored, ["kind", "entity", "term"]).groupBy(*row, "start", "end").agg(F.max("share").alias("share"))
+    scored = scored.select("kind", "entity", "term", share.alias("share")).where((F.col("share") >= GENERALISE) & ~F.isnan("share"))
+    told = pairs.select(*ROW, "kind", "entity", "term").join(shared_checkpoint(scored), ["kind", "entity", "term"])
+    told = told.groupBy(*ROW, "term").agg(F.max("share").alias("share"))
+    places = held.select(*ROW, F.explode(terms(F.col("text"))).alias("t")).select(*ROW, "t.term", "t.start", "t.end")
+    found = _on_row(places, told, "inner", ("term",))
+    return found.groupBy(*ROW).agg(F.array_sort(F.collect_list(F.struct("start", "end", "share"))).alias("terms"))
+
+
+def _found(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_key, spans, terms) of every row."""
+    base = _written(base_spans(docs), "pii-base")
+    rows = _on_row(base.select(*ROW, "spans"), disclosing_terms(docs, base), "left")
+    return rows.withColumn("terms", F.coalesce("terms", F.array().cast("array<struct<start:int,end:int,share:double>>")))
 
 
 def find_personal_data(docs: DataFrame) -> DataFrame:
@@ -161,14 +216,8 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     doc_id keeps its row; repeated rows are reported each, and count as one document for the statistics; an empty
     table gives no rows; other columns are not read.
     """
-    base = shared_checkpoint(base_spans(docs))
-    found = disclosing_terms(docs, base).groupBy("doc_id", "text_key").agg(
-        F.array_sort(F.collect_list(F.struct("start", "end", "share"))).alias("terms")).select(
-        F.col("doc_id").alias("d"), F.col("text_key").alias("k"), "terms")
-    rows = base.join(found, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")), "left")
-    empty = F.array().cast("array<struct<start:int,end:int,share:double>>")
-    rows = rows.withColumn("terms", F.coalesce("terms", empty))
-    terms = F.transform("terms", lambda t: F.struct(F.lit("term").alias("kind"), t["start"].alias("start"), t["end"].alias("end")))
+    rows = _found(docs)
+    told = F.transform("terms", lambda t: F.struct(F.lit("term").alias("kind"), t["start"].alias("start"), t["end"].alias("end")))
     plain = F.transform("spans", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
 
     def count(kind):
@@ -177,28 +226,28 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     counts = [count(k) for k in KINDS]
     actions = F.transform("terms", lambda t: F.when(t["share"] >= REMOVE, "remove").otherwise("generalise"))
     return rows.select("doc_id", *counts, F.sha2(_shown(F.col("spans")), 256).alias("base_sha256"),
-                       _shown(F.concat(plain, terms)).alias("spans"), F.array_join(actions, ",").alias("term_actions"))
+                       _shown(F.concat(plain, told)).alias("spans"), F.array_join(actions, ",").alias("term_actions"))
 
 
 def sanitise(docs: DataFrame) -> DataFrame:
-    """(doc_id, text): base spans become [KIND], generalised terms [TERM], removed terms nothing; whole texts.
+    """(doc_id, text): base spans become [KIND], generalised terms [TERM], removed terms nothing; whole texts, a row for
+    each row, whatever ids they share.
 
-    Where spans overlap, the one that starts first stands, then the longer one. Rows that share a doc_id must
-    differ in nothing but repetition.
+    Spans that overlap are replaced together, by the mark of the one that starts first (then of the longer one).
     """
-    docs = id_text(docs)
-    found = find_personal_data(docs).where("spans != ''").select(
-        F.col("doc_id").alias("d"), "spans", "term_actions").distinct()
-    rows = docs.join(found, F.col("doc_id").eqNullSafe(F.col("d")), "left")
-    kinds = F.transform(F.split("spans", ","), lambda s: F.split(s, ":"))
-    n_base = F.size(F.filter(kinds, lambda p: p[0] != "term"))
-    marks = F.transform(kinds, lambda p, i: F.struct(
-        p[1].cast("int").alias("start"), (-p[2].cast("int")).alias("minus_end"),
-        F.when(p[0] != "term", F.concat(F.lit("["), F.upper(p[0]), F.lit("]"))).when(
-            F.get(F.split("term_actions", ","), i - n_base) == "remove", "").otherwise("[TERM]").alias("mark")))
-    walked = F.aggregate(F.array_sort(marks), F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),
-                         lambda a, m: F.when(m["start"] < a["at"], a).otherwise(F.struct(
-                             (-m["minus_end"]).alias("at"),
-                             F.concat(a["out"], F.array(F.col("text").substr(a["at"] + 1, m["start"] - a["at"]), m["mark"])).alias("out"))))
+    found = _found(docs).where((F.size("spans") > 0) | (F.size("terms") > 0)).groupBy(*ROW).agg(
+        F.first("spans").alias("spans"), F.first("terms").alias("terms"))
+    rows = _on_row(_rows(docs), found, "left")
+
+    def mark(x, name):
+        return F.struct(x["start"].alias("start"), (-x["end"]).alias("minus_end"), name.alias("mark"))
+
+    base = F.transform("spans", lambda x: mark(x, F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]"))))
+    told = F.transform("terms", lambda x: mark(x, F.when(x["share"] >= REMOVE, "").otherwise("[TERM]")))
+    walked = F.aggregate(F.array_sort(F.concat(base, told)), F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),
+                         lambda a, m: F.when(m["start"] < a["at"], F.struct(
+                             F.greatest(a["at"], -m["minus_end"]).alias("at"), a["out"].alias("out"))).otherwise(F.struct(
+                                 (-m["minus_end"]).alias("at"),
+                                 F.concat(a["out"], F.array(F.col("text").substr(a["at"] + 1, m["start"] - a["at"]), m["mark"])).alias("out"))))
     done = let(walked, lambda w: F.concat(F.array_join(w["out"], ""), F.col("text").substr(w["at"] + 1, F.char_length("text"))))
     return rows.select("doc_id", F.when(F.col("spans").isNull(), F.col("text")).otherwise(done).alias("text"))

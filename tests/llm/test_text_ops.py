@@ -1,6 +1,7 @@
 """Suffix dedup, token store, SimHash, PII, BPE, quality: brute force on hard cases and driver tables."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter
@@ -8,6 +9,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -310,6 +312,93 @@ def test_disclosing_terms(spark):
     assert clean[None] == "write to [EMAIL]"
 
 
+def entity(kind, value):
+    return value.lower() if kind == "email" else value if kind == "ip" else re.sub("[^0-9]", "", value)
+
+
+def term_spans(rows):
+    """Brute force: for each distinct (doc_id, text) its term spans with their shares, by the definition."""
+    docs = sorted(set((k, t or "") for k, t in rows), key=repr)
+    held, words = {}, {}
+    for d in docs:
+        spans = [s.split(":") for s in base_spans(d[1])]
+        held[d] = {(k, entity(k, d[1][int(a):int(b)])) for k, a, b in spans}
+        mails = [(int(a), int(b)) for k, a, b in spans if k == "email"]
+        cuts = [0, *[x for m in mails for x in m], len(d[1])]
+        words[d] = [(m[0].lower(), cuts[i] + m.start(), cuts[i] + m.end()) for i in range(0, len(cuts), 2)
+                    for m in regex.finditer(r"\p{L}{4,}", d[1][cuts[i]:cuts[i + 1]])]
+    n, out = len(docs), {d: {} for d in docs}
+    nt = Counter(w for d in docs for w in {x[0] for x in words[d]})
+    nc = Counter(e for d in docs for e in held[d])
+    nct = Counter((e, w) for d in docs for e in held[d] for w in {x[0] for x in words[d]})
+    for (e, w), both in nct.items():
+        if both >= 2 and nc[e] < n:
+            share = math.log2(both * n / (nc[e] * nt[w])) / math.log2(n / nc[e])
+            if share >= pii.GENERALISE:
+                for d in docs:
+                    if e in held[d]:
+                        for x in words[d]:
+                            if x[0] == w:
+                                out[d][x[1:]] = max(share, out[d].get(x[1:], 0))
+    return out
+
+
+def disclosing_rows():
+    """Cards with terms beside and far from them, repeated rows, shared and null ids, mail words that are no terms."""
+    card, far = "4111111111111111", " ".join(f"filler{'abcdefghij'[i % 10]}" for i in range(60))
+    rows = [(i, f"Wilhelmina has {card} here {prose(i, 8)} {far} Éloïse and wilhelmina") for i in range(3)]
+    rows += [(10 + i, f"the account with the bank uses numbers {prose(i, 12)}") for i in range(30)]
+    rows += [(0, rows[0][1])] * 60 + [(10, rows[3][1])] * 5  # repeated rows count once
+    rows += [(None, f"jakobine writes to anna.specialword@mail.example.org {i}") for i in range(3)]
+    rows += [(None, "plain text"), (None, "write to nobody@example.org now"), (7, "call +49 30 1234567 soon"), (7, "other text")]
+    rows += [(50 + i, f"{prose(60 + i, 9)} 10.0.0.{i % 3} jakobine") for i in range(6)] + [(90, None), (91, ""), (92, "ab@c.de")]
+    return rows
+
+
+def test_terms_match_brute_force(spark):
+    rows = disclosing_rows()
+    want = term_spans(rows)
+    assert sum(map(len, want.values())) > 10
+    got = pii.find_personal_data(frame(spark, rows).repartition(5)).collect()
+    shown = []
+    for k, t in rows:
+        found = want[k, t or ""]
+        spans = base_spans(t or "") + [f"term:{a}:{b}" for a, b in sorted(found)]
+        shown.append((k, ",".join(spans), ",".join("remove" if found[x] >= pii.REMOVE else "generalise" for x in sorted(found))))
+    assert bag((r.doc_id, r.spans, r.term_actions) for r in got) == bag(shown)
+
+
+def test_terms_beyond_what_is_broadcast(spark, monkeypatch):
+    rows = disclosing_rows()
+    df = frame(spark, rows, extra=False)
+    one = bag(tuple(r) for r in pii.find_personal_data(df).collect())
+    monkeypatch.setattr(pii, "BROADCAST_REPEATS", 0)
+    assert bag(tuple(r) for r in pii.find_personal_data(df).collect()) == one
+
+
+def test_sanitised_texts_hold_no_base_span(spark):
+    extra = [(None, "card 4111 1111 1111 1111 and +1 (123) 555-7890 or 4111111111111111"), (None, PRIVATE[1]), (3, "+1 (123) 555-7890 x +49 30 123456"),
+             (3, "+1 (123) 555-7890 x +49 30 123456"), (3, "+4111111111111111 x@y.zz"), (4, "+4222222222222 and (4222222222222)"), (5, "1.2.3.4@example.org")]
+    rows = disclosing_rows() + extra
+    got = pii.sanitise(frame(spark, rows).repartition(3)).collect()
+    want = term_spans(rows)
+
+    def clean(k, t):
+        marks = [(int(s.split(":")[1]), -int(s.split(":")[2]), f"[{s.split(':')[0].upper()}]") for s in base_spans(t)]
+        marks += [(a, -b, "" if share >= pii.REMOVE else "[TERM]") for (a, b), share in want[k, t].items()]
+        out, at = "", 0
+        for a, b, mark in sorted(marks):
+            if a >= at:
+                out += t[at:a] + mark
+            at = max(at, -b)
+        return out + t[at:]
+
+    assert bag((r.doc_id, r.text) for r in got) == bag((k, clean(k, t or "")) for k, t in rows)
+    for r in got:
+        assert "@" not in r.text and "4111" not in r.text and not re.search(r"\+[0-9]", r.text), r.text
+    assert [r.text for r in got if "plain" in r.text] == ["plain text"]
+
+
 # op 10
 
 def features(text):
