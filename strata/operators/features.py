@@ -184,8 +184,9 @@ def top_share_tier(df: DataFrame, value: str, key: str, share: float = 0.2, out:
 
 
 def _entity_agg(df: DataFrame, entity: str, value: str, fn, name: str) -> DataFrame:
-    agg = df.groupBy(entity).agg(fn(value).alias(name))
-    return df.join(agg, entity)
+    """``df`` with the entity's aggregate; rows without an entity are one group and stay."""
+    agg = df.groupBy(F.col(entity).alias("__entity")).agg(fn(value).alias(name))
+    return df.join(agg, F.col(entity).eqNullSafe(F.col("__entity")), "left").drop("__entity")
 
 
 def share_of_entity_max(df: DataFrame, value: str, out: str, entity: str = "country_id") -> DataFrame:

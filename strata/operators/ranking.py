@@ -34,7 +34,7 @@ from strata.session import shared_dir
 _PID = "__slice"
 
 
-def _sliced(df: DataFrame, order: Sequence[Column], num_partitions: int | None) -> DataFrame:
+def sliced(df: DataFrame, order: Sequence[Column], num_partitions: int | None) -> DataFrame:
     """Range slices in ``order``, numbered by ``spark_partition_id``.
 
     Without an explicit count the exchange uses the session's shuffle partitions
@@ -70,11 +70,11 @@ def _positions(df: DataFrame, order: Sequence[Column], value_cols: Sequence[str]
 
     Rows are equal in rank if they are equal (null-safe) on ``value_cols``.
     """
-    sliced = _sliced(df, [F.col(b) for b in by] + list(order), num_partitions)
+    cut = sliced(df, [F.col(b) for b in by] + list(order), num_partitions)
     w = Window.partitionBy(_PID, *by).orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     vals = F.struct(*[F.col(v) for v in value_cols]) if value_cols else F.struct(F.lit(0))
-    local = sliced.withColumn("__lrn", F.row_number().over(w)).withColumn("__vals", vals)
+    local = cut.withColumn("__lrn", F.row_number().over(w)).withColumn("__vals", vals)
     # a boundary: the row differs from the one before it in its slice (the first row is decided by the slices)
     local = local.withColumn("__new", (F.col("__lrn") > 1) & ~F.col("__vals").eqNullSafe(F.lag("__vals").over(w)))
     local = local.withColumns({"__last": F.max(F.when(F.col("__new"), F.col("__lrn"))).over(upto),
@@ -125,10 +125,10 @@ def with_running_sums(df: DataFrame, order: Sequence[Column], sums: dict[str, st
     earlier slices of the same entity is added. With ``total_suffix`` each
     ``out`` also gets ``out + total_suffix``, the (group) grand total.
     """
-    sliced = _sliced(df, [F.col(b) for b in by] + list(order), num_partitions)
+    cut = sliced(df, [F.col(b) for b in by] + list(order), num_partitions)
     w = Window.partitionBy(_PID, *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     values = list(sums.values())
-    local = sliced.withColumns({f"__l{i}": F.sum(v).over(w) for i, v in enumerate(values)})
+    local = cut.withColumns({f"__l{i}": F.sum(v).over(w) for i, v in enumerate(values)})
     per = local.groupBy(_PID, *by).agg(*[F.sum(v).alias(f"__tot_{i}") for i, v in enumerate(values)])
     part = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(1))
     before = part.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)

@@ -100,7 +100,8 @@ def pearson_p_values(pairs_df: DataFrame, digits: int | None = 6) -> DataFrame:
 
 
 def distribution(df: DataFrame, value: str, group: str | None = None,
-                 quantiles: Sequence[float] = (0.1, 0.5, 0.9), digits: int | None = 6) -> DataFrame:
+                 quantiles: Sequence[float] = (0.1, 0.5, 0.9), digits: int | None = 6,
+                 distinct: bool = False) -> DataFrame:
     """Mean vs exact median / quantiles (linear between neighbours) of a skewed measure (per group when given).
 
     The values are counted, and running sums of the counts (``with_running_sums``, in range slices) give each
@@ -111,6 +112,8 @@ def distribution(df: DataFrame, value: str, group: str | None = None,
     at = with_running_sums(counts, [F.col(value)], {"__upto": "__c"}, total_suffix="__all", by=by)
     n = F.col("__upto__all")
     aggs = [F.sum("__c").alias("n"), (F.sum(F.col(value) * F.col("__c")) / F.sum("__c")).alias("mean")]
+    if distinct:
+        aggs = [aggs[0], F.count(F.lit(1)).alias("n_distinct"), F.round(_exact_mean(value), digits or 6).alias("mean")]
     for q in quantiles:
         place = F.lit(float(q)) * (n - 1)
         low = F.min(F.when(F.col("__upto") > F.floor(place), F.col(value))).cast("double")
@@ -121,6 +124,12 @@ def distribution(df: DataFrame, value: str, group: str | None = None,
     return (at.groupBy(*by) if by else at).agg(*aggs)
 
 
+def _exact_mean(value: str) -> Column:
+    """The mean from counted values, their sum exact to six decimals: no order of summation changes it."""
+    each = F.col(value).try_cast("decimal(30,6)") * F.col("__c").cast("decimal(20,0)")
+    return F.sum(each).cast("double") / F.sum("__c")
+
+
 def approx_distribution(df: DataFrame, value: str, group: str | None = None,
                         quantiles: Sequence[float] = (0.1, 0.5, 0.9), accuracy: int = 10000) -> DataFrame:
     """P7 at scale: ``percentile_approx`` (bounded sketch per group)."""
@@ -156,3 +165,19 @@ def profile_table(df: DataFrame, columns: Sequence[str] | None = None, digits: i
     rows = ", ".join(f"'{c}', '{types[c]}', rows{i}, nulls{i}, min{i}, max{i}, mean{i}, mint{i}, maxt{i}"
                      for i, c in enumerate(cols))
     return one.selectExpr(f"stack({len(cols)}, {rows}) as (column, dtype, n_rows, n_null, min, max, mean, min_text, max_text)")
+
+
+def profile_distribution(df: DataFrame, columns: Sequence[str] | None = None,
+                         quantiles: Sequence[float] = (0.01, 0.25, 0.5, 0.75, 0.99), digits: int = 6) -> DataFrame:
+    """Per number column the non-NULL rows, distinct values, mean and exact quantiles (linear between neighbours).
+
+    Columns become (column, value) rows that are counted where they are read, so the running counts that
+    give the positions hold each distinct value once. NaN counts as the largest value.
+    """
+    num = {"tinyint", "smallint", "int", "bigint", "float", "double"}
+    types = dict(df.dtypes)
+    cols = [c for c in (columns or df.columns) if types[c] in num or types[c].startswith("decimal")]
+    if not cols:
+        raise ValueError("no number columns")
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "value")
+    return distribution(long, "value", "column", quantiles, digits, distinct=True)

@@ -131,6 +131,22 @@ def p6_before_after_profile(raw: DataFrame, fact: DataFrame):
     return prof(raw).withColumnRenamed("v", "before").join(prof(fact).withColumnRenamed("v", "after"), "metric")
 
 
+def p6_before_after_means(raw: DataFrame, fact: DataFrame, dim: DataFrame, group: str = "continent",
+                          metrics: Sequence[str] = ("new_cases", "new_deaths", "positive_rate", "icu_patients")):
+    """Group means of the metrics before and after cleaning, and their change in percent of the mean before."""
+    def means(df, when):
+        rows = df.select(E, *metrics).join(dim.select(E, group), E).unpivot(group, list(metrics), "metric", "v")
+        return rows.groupBy(group, "metric").agg(F.count("v").alias(f"n_{when}"), (F.sum("v").cast("double") / F.when(F.count("v") > 0, F.count("v"))).alias(f"mean_{when}"))
+
+    def exact(df):  # sums of decimals do not depend on the order of rows
+        return df.select(E, *[F.col(m).try_cast("decimal(30,6)").alias(m) for m in metrics])
+
+    both = means(exact(raw), "before").join(means(exact(fact), "after"), [group, "metric"], "full")
+    both = both.withColumns({c: F.round(F.col(c), 6) for c in ("mean_before", "mean_after")})
+    change = (F.col("mean_after") - F.col("mean_before")) / F.when(F.col("mean_before") != 0, F.col("mean_before"))
+    return both.withColumn("change_pct", F.round(change * F.lit(100.0), 4))
+
+
 def p7_median_vs_mean(fact, dim, value="new_cases", group="continent"):
     f = fact.select(E, value).join(dim.select(E, group), E)
     return stats.distribution(f, value, group)
@@ -140,16 +156,32 @@ def p8_profile_table(fact, columns=None):
     return stats.profile_table(fact, columns)
 
 
+def p8_profile_distribution(fact, columns=None):
+    return stats.profile_distribution(fact, columns)
+
+
 def p9_incremental_upsert(base: DataFrame, delta: DataFrame, keys: Sequence[str], load_col: str = "load_id"):
     """Merge a newer load into a table: per key the row of the latest load wins, and of two rows of one load
-    the larger by the other columns in turn.
+    the larger by the other columns in turn. Columns that the delta lacks keep the base's value of their key;
+    columns that only the delta has are NULL in rows of the base.
 
     ``row_number() == 1`` per key (partial WindowGroupLimit before the shuffle).
     """
-    u = base.unionByName(delta)
-    rest = [F.col(c).desc() for c in u.columns if c not in keys and c != load_col]
+    kept = [c for c in base.columns if c not in delta.columns]
+    won = _winners(base.unionByName(delta, allowMissingColumns=True), keys, load_col)
+    if not kept:
+        return won
+    own = _winners(base, keys, load_col).select(*[F.col(c).alias(f"__b_{c}") for c in (*keys, *kept)])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__b_{k}"))
+    return won.join(own, same, "left").select(*[F.col(f"__b_{c}").alias(c) if c in kept else F.col(c) for c in won.columns])
+
+
+def _winners(rows: DataFrame, keys: Sequence[str], load_col: str) -> DataFrame:
+    rest = [F.col(c).desc() for c in rows.columns if c not in keys and c != load_col]
     w = Window.partitionBy(*keys).orderBy(F.col(load_col).desc(), *rest)
-    return u.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
+    return rows.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
 
 
 RESTATED = 1000

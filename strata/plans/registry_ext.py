@@ -14,8 +14,10 @@ from strata.plans.oracle import PANEL_CTES, clip_sql, latest_cte, r_even, r_up,
 from strata.plans.panel import panel
 from strata.plans.registry_core import COVERAGE, FACT_SELECT, YEARS
 from strata.plans.registry_core import ORACLE as CORE_ORACLE
-from strata.sources import io
 from strata.session import new_output_path
+from strata.sources import io
+from strata.sources.tables import read_table
+from strata.streaming.upsert import read_current
 
 NAMES6 = tuple(f"NATION_{i}" for i in range(6))
 NAMES10 = tuple(f"NATION_{i}" for i in range(10))
@@ -32,6 +34,9 @@ def _raw_op(name):
     return lambda spark, sf: CL.panel_ops(_p(spark, sf).raw)[name]()
 
 
+MEAN_METRICS = ("new_cases", "new_deaths", "positive_rate", "icu_patients")
+
+
 # ---------------------------------------------------------------- S1-S8
 def s1_read_panel_csv(spark, sf):
     path = new_output_path(spark, "panel-csv")
@@ -122,6 +127,23 @@ def p9_stream_upsert(spark, sf, cutoff="1998-12-31", delta_from="1998-07-01"):
     return spark.read.parquet(f"{base}/table").select(*cols, "load_id")
 
 
+def p9_stream_upsert_moves(spark, sf, month="1997-06"):
+    """P9, stream form, on orders by status: a correction that lacks a column and moves rows to another partition.
+
+    The first load is the whole table, partitioned by status; the second closes the open orders of a month and says
+    nothing of their price, which stays."""
+    from strata.streaming.upsert import upsert_batch
+
+    base = new_output_path(spark, "upsert-moves")
+    orders = read_table(spark, sf, "orders", ["o_orderkey", "o_orderdate", "o_totalprice", "o_orderstatus"])
+    keep = ["o_orderkey", "o_orderdate", "o_totalprice", "o_orderstatus"]
+    upsert_batch(spark, orders.select(*keep, F.lit(1).alias("load_id")), base, ["o_orderkey"], "load_id", "o_orderstatus")
+    closed = orders.where((F.date_format("o_orderdate", "yyyy-MM") == month) & (F.col("o_orderstatus") == "O"))
+    delta = closed.select("o_orderkey", "o_orderdate", F.lit("F").alias("o_orderstatus"), F.lit(2).alias("load_id"))
+    upsert_batch(spark, delta, base, ["o_orderkey"], "load_id", "o_orderstatus")
+    return read_current(spark, base).select(*keep, "load_id")
+
+
 def reference_workflow(spark, sf):
     """The raw-CSV workflow end to end on dirt put in by rule: the panel is written in the raw daily layout with
     repeated rows, missing rates and ICU counts, shouted names and negative flows, then read, cleaned
@@ -229,6 +251,9 @@ SPARK = {
     "profile_table": lambda spark, sf: R.p8_profile_table(_p(spark, sf).fact),
     "incremental_upsert": lambda spark, sf: R.p9_demo(_p(spark, sf).fact),
     "stream_upsert": p9_stream_upsert,
+    "stream_upsert_moves": p9_stream_upsert_moves,
+    "before_after_means": lambda spark, sf: R.p6_before_after_means(_p(spark, sf).raw, _p(spark, sf).fact, _p(spark, sf).dim),
+    "profile_distribution": lambda spark, sf: R.p8_profile_distribution(_p(spark, sf).fact),
     "flow_stock_reconcile": lambda spark, sf: R.p10_flow_stock_reconcile(_p(spark, sf).fact, _p(spark, sf).dim),
 }
 for _k in ("null_audit recompute_missing_ratio fill_series_gaps round_to_int sort_panel fatality_rate per_million "
@@ -563,6 +588,23 @@ ORACLE = {
            f"CAST(max({c}) AS VARCHAR) AS max_text FROM fact" if c == "report_date" else
            f"CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, {r_up(_mean_sql(c, kind), 6)} AS mean, "
            "CAST(NULL AS VARCHAR) AS min_text, CAST(NULL AS VARCHAR) AS max_text FROM fact") for c, kind in S.FACT_LAYOUT])),
+    "before_after_means": with_panel(
+        "SELECT continent, metric, n_before, mean_before, n_after, mean_after, "
+        + r_up("(mean_after - mean_before) / nullif(mean_before, 0) * 100.0::DOUBLE", 4) + " AS change_pct FROM ("
+        + ") b JOIN (".join(_union([
+            f"SELECT d.continent, '{m}' AS metric, count(f.{m}) AS n_{when}, "
+            + r_up(f"CAST(sum(CAST(f.{m} AS DECIMAL(30,6))) AS DOUBLE) / nullif(count(f.{m}), 0)", 6)
+            + f" AS mean_{when} FROM {t} f JOIN dim d ON d.country_id = f.country_id GROUP BY 1" for m in MEAN_METRICS])
+            for when, t in (("before", "raw"), ("after", "fact"))) + ") a USING (continent, metric)"),
+    "profile_distribution": with_panel(_union([
+        f"SELECT '{c}' AS \"column\", count({c}) AS n, count(DISTINCT {c}) AS n_distinct, "
+        + r_up(f"CAST(sum(CAST({c} AS DECIMAL(30,6))) AS DOUBLE) / count({c})", 6) + " AS mean, "
+        + ", ".join(f"{r_up(f'quantile_cont(CAST({c} AS DOUBLE), {q})', 6)} AS p{round(q * 100):02d}" for q in (0.01, 0.25, 0.5, 0.75, 0.99))
+        + f" FROM fact HAVING count({c}) > 0" for c, _ in S.FACT_LAYOUT if c != "report_date"])),
+    "stream_upsert_moves": """
+SELECT o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate, o_totalprice,
+       CASE WHEN moved THEN 'F' ELSE o_orderstatus END AS o_orderstatus, CASE WHEN moved THEN 2 ELSE 1 END AS load_id
+FROM (SELECT *, strftime(o_orderdate, '%Y-%m') = '1997-06' AND o_orderstatus = 'O' AS moved FROM orders)""",
     "incremental_upsert": with_panel(
         UPSERT_SQL),
     "stream_upsert": with_panel(

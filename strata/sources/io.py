@@ -13,6 +13,7 @@ import time
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -137,9 +138,14 @@ def create_star_tables(spark: SparkSession, fact: DataFrame, dim: DataFrame, bas
 
 def _point(spark: SparkSession, base: str, paths: dict[str, str]) -> None:
     """Append a pointer (version, name, path); the largest version is current. A row is visible only when
-    its job has committed, so readers see the old tables or the new ones."""
-    rows = [(time.time_ns(), n, p) for n, p in paths.items()]
-    rows = [(rows[0][0], n, p) for _, n, p in rows]
+    its job has committed, so readers see the old tables or the new ones. The version is the clock's time, or
+    one more than the last where this machine's clock is behind the last writer's."""
+    try:
+        last = spark.read.parquet(f"{base}/_current").agg(F.max("version")).first()[0] or 0
+    except AnalysisException:  # the first pointer of this folder
+        last = 0
+    version = max(time.time_ns(), last + 1)
+    rows = [(version, n, p) for n, p in paths.items()]
     spark.createDataFrame(rows, "version long, name string, path string").coalesce(1).write.mode("append").parquet(f"{base}/_current")
 
 

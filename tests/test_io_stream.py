@@ -149,3 +149,84 @@ def test_checkpoints_are_removed_after_use(spark):
         if not set(os.listdir(folder)) - before:
             break
     assert not set(os.listdir(folder)) - before
+
+
+def upsert_table(spark, base):
+    from strata.streaming.upsert import read_current
+
+    t = read_current(spark, base)
+    return sorted((r.asDict() for r in t.collect()), key=lambda r: (r["k"], str(r["p"])))
+
+
+def test_upsert_keeps_columns_that_the_delta_lacks(spark, tmp_out):
+    from strata.streaming.upsert import upsert_batch
+
+    base = f"{tmp_out}/t"
+    rows = [(1, "p", 10, "keep", 1), (2, "p", 20, "keep", 1), (3, "q", 30, "other", 1)]
+    upsert_batch(spark, spark.createDataFrame(rows, "k long, p string, v long, extra string, load_id int"), base, ["k"], "load_id", "p")
+    delta = spark.createDataFrame([(1, "p", 11, 2), (4, "p", 40, 2), (3, "q", 31, 0)], "k long, p string, v long, load_id int")
+    for _ in range(2):  # a batch that runs again changes nothing
+        upsert_batch(spark, delta, base, ["k"], "load_id", "p")
+        assert [(r["k"], r["v"], r["extra"], r["load_id"]) for r in upsert_table(spark, base)] == [
+            (1, 11, "keep", 2), (2, 20, "keep", 1), (3, 30, "other", 1), (4, 40, None, 2)]
+
+
+def test_upsert_takes_new_columns(spark, tmp_out):
+    from strata.streaming.upsert import upsert_batch
+
+    base = f"{tmp_out}/t"
+    upsert_batch(spark, spark.createDataFrame([(1, "p", 1), (2, "q", 1)], "k long, p string, load_id int"), base, ["k"], "load_id", "p")
+    upsert_batch(spark, spark.createDataFrame([(1, "p", 2, "new")], "k long, p string, load_id int, c string"), base, ["k"], "load_id", "p")
+    assert [(r["k"], r["c"]) for r in upsert_table(spark, base)] == [(1, "new"), (2, None)]
+
+
+def test_upsert_moves_keys_between_partitions(spark, tmp_out):
+    """Also out of a partition that is then empty, and into and out of the NULL partition."""
+    from strata.streaming.upsert import upsert_batch
+
+    base, schema = f"{tmp_out}/t", "k long, p string, v long, load_id int"
+    upsert_batch(spark, spark.createDataFrame([(1, "p", 1, 1), (2, "p", 2, 1), (3, "q", 3, 1), (5, None, 5, 1)], schema), base, ["k"], "load_id", "p")
+    delta = spark.createDataFrame([(1, "q", 11, 2), (3, None, 33, 2), (5, "r s", 55, 2)], schema)
+    for _ in range(2):
+        upsert_batch(spark, delta, base, ["k"], "load_id", "p")
+        assert [(r["k"], r["p"], r["v"]) for r in upsert_table(spark, base)] == [(1, "q", 11), (2, "p", 2), (3, None, 33), (5, "r s", 55)]
+    upsert_batch(spark, spark.createDataFrame([(2, "q", 22, 3), (5, "q", 56, 3)], schema), base, ["k"], "load_id", "p")
+    assert [(r["k"], r["p"], r["v"]) for r in upsert_table(spark, base)] == [(1, "q", 11), (2, "q", 22), (3, None, 33), (5, "q", 56)]
+    # an older load of a key that has moved since does not bring it back
+    upsert_batch(spark, spark.createDataFrame([(2, "p", 0, 1)], schema), base, ["k"], "load_id", "p")
+    assert [(r["k"], r["p"], r["v"]) for r in upsert_table(spark, base)] == [(1, "q", 11), (2, "q", 22), (3, None, 33), (5, "q", 56)]
+
+
+def test_shares_keep_rows_without_an_entity(spark):
+    from strata.operators.features import share_of_entity_max, share_of_entity_total
+
+    df = spark.createDataFrame([("a", 1.0), ("a", 4.0), (None, 2.0), (None, 8.0), ("b", None)], "e string, v double")
+    assert sorted(((r.e, r.s) for r in share_of_entity_max(df, "v", "s", "e").collect()), key=repr) == sorted(
+        [("a", 0.25), ("a", 1.0), (None, 0.25), (None, 1.0), ("b", 0.0)], key=repr)
+    assert sorted(((r.e, r.s) for r in share_of_entity_total(df, "v", "s", "e").collect()), key=repr) == sorted(
+        [("a", 0.2), ("a", 0.8), (None, 0.2), (None, 0.8), ("b", None)], key=repr)
+
+
+def test_rebuilds_are_found_when_the_clock_is_behind(spark, tmp_out, monkeypatch):
+    p = panel(spark, SF_SMALL)
+    io.create_star_tables(spark, p.fact, p.dim, f"{tmp_out}/star")
+    monkeypatch.setattr(io.time, "time_ns", lambda: 5)
+    paths = io.full_rebuild(spark, lambda: (p.fact, p.dim), f"{tmp_out}/star")
+    assert io.open_star_tables(spark, f"{tmp_out}/star") == paths
+
+
+def test_profile_distribution_matches_numpy(spark):
+    import numpy as np
+
+    from strata.operators.stats import profile_distribution
+
+    rng = np.random.default_rng(1)
+    a, b = rng.integers(0, 9, 200), rng.normal(size=200).round(4)
+    df = spark.createDataFrame([(int(x), float(y) if i % 7 else None, "t") for i, (x, y) in enumerate(zip(a, b))], "a long, b double, c string")
+    got = {r["column"]: r for r in profile_distribution(df).collect()}
+    held = np.array([y for i, y in enumerate(b) if i % 7])
+    assert set(got) == {"a", "b"} and got["a"]["n"] == 200 and got["b"]["n"] == len(held)
+    for c, v in (("a", a), ("b", held)):
+        assert got[c]["n_distinct"] == len(set(v.tolist())) and abs(got[c]["mean"] - v.mean()) < 2e-6
+        for q in (1, 25, 50, 75, 99):
+            assert abs(got[c][f"p{q:02d}"] - np.quantile(v, q / 100)) < 2e-6
