@@ -36,6 +36,7 @@ from strata.llm.token_store import file_encoder
 #: Tokens of a sequence; step of the length classes; the program's gap and steps; gaps that are filled by cutting.
 SIZE, GRID, GAP, PIVOTS, LOOSE = 2048, 4, 2e-4, 1000, 16
 PIECES = "doc_id long, doc_tokens long, start long, length int, width int, ids binary, part int, nth long"
+PACKED = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 PLAN = "p_length int, lo long, hi long, cut_from int, cut_to int, sequence long, offset int"
 
 
@@ -272,13 +273,25 @@ def assign(made: DataFrame, size: int = SIZE, grid: int = GRID) -> DataFrame:
     placed = ranked.join(F.broadcast(rows), (F.col("length") == F.col("p_length")) & (F.col("rank") >= F.col("lo"))
                          & (F.col("rank") < F.col("hi")))  # the plan's size is bounded by ``size``
     own, width = F.col("cut_to") - F.col("cut_from"), F.col("width")
-    ids = F.substring("ids", F.col("cut_from") * width + 1, own * width)
-    # two bytes become four: in hexadecimal, zeros after every four digits
-    ids = F.when(width == 2, F.unhex(F.regexp_replace(F.hex(ids), "(.{4})", "$10000"))).otherwise(ids)
-    return placed.select("doc_id", (F.col("start") + F.col("cut_from")).alias("start"), own.cast("long").alias("length"),
-                         ids.alias("ids"), "doc_tokens",
-                         (F.col("sequence") + F.col("rank") - F.col("lo")).alias("sequence_id"),
-                         F.col("offset").cast("long").alias("offset"))
+    narrow = placed.select("width", "doc_id", (F.col("start") + F.col("cut_from")).alias("start"), own.cast("long").alias("length"),
+                           F.substring("ids", F.col("cut_from") * width + 1, own * width).alias("ids"), "doc_tokens",
+                           (F.col("sequence") + F.col("rank") - F.col("lo")).alias("sequence_id"),
+                           F.col("offset").cast("long").alias("offset"))
+    return narrow.mapInArrow(_widened, PACKED)
+
+
+def _widened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The ids of a batch as 32-bit numbers; all pieces of a table have one width."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        width, ids = b.column(0)[0].as_py(), b.column(4)
+        if width == 2:
+            ends = np.frombuffer(ids.buffers()[1], dtype=np.int32)[ids.offset:ids.offset + len(ids) + 1]
+            data = np.frombuffer(ids.buffers()[2], dtype=np.uint8)[ends[0]:ends[-1]].view("<u2").astype("<u4")
+            ids = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer((ends - ends[0]) * np.int32(2)), pa.py_buffer(data)])
+        columns = b.columns[1:4] + [ids] + b.columns[5:]
+        yield pa.RecordBatch.from_arrays(columns, b.schema.names[1:])
 
 
 def pack(docs: DataFrame, tokenizer: str, pattern: str, end_id: int, size: int = SIZE) -> DataFrame:
