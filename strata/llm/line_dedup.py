@@ -8,11 +8,13 @@ links the first line, by doc_id and line number, stays.
 
 Every stage works on distinct lines. The signature is a one-permutation MinHash: the smallest shingle hash in each
 of ``BANDS * ROWS`` bins, an empty bin borrowing from another. Tasks send packed band keys. A band group links its
-members by a star to its smallest line, so no pairs are listed: only groups with members that are not like
-that line are looked at again, in cells of bounded size, where such members are held against all others
-(in the first band that a pair shares). So a link of the group is never lost and no group is ever one task's.
+members by a star to its smallest line, so no pairs are listed. Where members of a group are then of several components,
+those outside of the largest get further stars, to members of the largest that differ from group to group. What
+is still outside is held against all members, in cells of bounded size (in the first band that a pair shares). So a link
+of the group is never lost, and a family of near lines that are linked costs rows in proportion to it. Lines that share
+bands and are not linked are compared all the same: a family of such costs its square, in cells of bounded size.
 
-Texts of candidates are looked up by joins on doc_id, links and components stay distributed, and every stage's
+Texts of candidates are looked up by joins on doc_id and the hash of the text, links and components stay distributed, and every stage's
 result is a checkpoint or a table in the cluster's shared folder.
 """
 
@@ -23,14 +25,14 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import free_shuffles, id_text, limit_batches, shared_checkpoint, shared_path, text_rows, trim
 from strata.llm.components import connected_components
 
 SHINGLE, ROWS, BANDS, THRESHOLD = 8, 4, 16, 0.8
-CELL = 256
+CELL, CENTRES = 256, 8
 BLOCK_BYTES, PIECE_BYTES, BUCKET_BYTES = 8 << 20, 1 << 20, 4 << 20
 _U, _MAX = np.uint64, np.iinfo(np.uint64).max
 _LEAST = -(1 << 63)  # stands for a null doc_id
@@ -113,16 +115,28 @@ def _lines_of(ids: list, texts: list[str]):
                 yield doc, n, own
 
 
+def _text_key(text: Column) -> Column:
+    """32 bits of the text's hash: they tell rows that share a doc_id apart."""
+    return F.xxhash64(text).bitwiseAND(0xFFFFFFFF)
+
+
+def _line(place: str) -> Column:
+    """A place is the line number, then its text's key."""
+    return F.shiftright(place, 32)
+
+
 def _occurrences(docs: DataFrame) -> DataFrame:
-    """(id, doc, line): where each line stands."""
+    """(id, doc, place): where each line stands."""
     def run(batches):
         for ids, texts in text_rows(batches):
-            rows = [(line_id(x), d, n) for d, n, x in _lines_of(ids, texts)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.int32()))],
-                names=["id", "doc", "line"])
+            rows = []
+            for k, text in zip(ids, texts, strict=True):
+                key = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), 42) & 0xFFFFFFFF
+                rows += [(line_id(x), d, n << 32 | key) for d, n, x in _lines_of([k], [text])]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(3)],
+                                             names=["id", "doc", "place"])
 
-    return docs.mapInArrow(run, "id long, doc long, line int")
+    return docs.mapInArrow(run, "id long, doc long, place long")
 
 
 def _packed_bands(docs: DataFrame, bits: int) -> DataFrame:
@@ -197,7 +211,9 @@ def _groups(bands: DataFrame) -> DataFrame:
 
 def _texts_of(docs: DataFrame, wanted: DataFrame, first: DataFrame) -> DataFrame:
     """(id, text): the normal lines of the wanted ids, read from where they first stand."""
-    need = (wanted.join(first, "id").groupBy("doc").agg(F.collect_list(F.struct("line", "id")).alias("need")))
+    need = wanted.join(first, "id").select("id", "doc", _line("place").cast("int").alias("line"),
+                                           F.col("place").bitwiseAND(0xFFFFFFFF).alias("key"))
+    need = need.groupBy("doc", "key").agg(F.collect_list(F.struct("line", "id")).alias("need"))
 
     def run(batches):
         for b in batches:
@@ -207,13 +223,14 @@ def _texts_of(docs: DataFrame, wanted: DataFrame, first: DataFrame) -> DataFrame
                 for r in need:
                     if r["line"] < len(lines):
                         own = normal(lines[r["line"]])
-                        if line_id(own) == r["id"]:  # rows that share a doc_id may differ
+                        if line_id(own) == r["id"]:  # texts of one key may differ
                             found[r["id"]] = own
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())],
                                              names=["id", "text"])
 
-    held = docs.join(need, F.coalesce("doc_id", F.lit(_LEAST)) == F.col("doc")).select("text", "need")
-    return held.mapInArrow(run, "id long, text binary")
+    here = (F.coalesce("doc_id", F.lit(_LEAST)) == F.col("doc")) & (_text_key(F.col("text")) == F.col("key"))
+    # rows that repeat give the same lines
+    return docs.join(need, here).select("text", "need").mapInArrow(run, "id long, text binary").dropDuplicates(["id"])
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -240,19 +257,40 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def _open_cells(groups: DataFrame, links: DataFrame) -> DataFrame:
-    """(key, i, j, id, component, c): the members of groups in which not all are linked to the pivot, in cells of
-    chunks c. The component of the pivot and of those linked to it is the pivot; the others stand alone."""
-    own = groups.join(links, (groups["pivot"] == links["a"]) & (groups["member"] == links["b"]), "left").select(
-        "key", F.col("member").alias("id"), F.when(F.col("b").isNotNull(), F.col("pivot")).otherwise(F.col("member")).alias("component"))
-    sums = own.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("c0"), F.max("component").alias("c1"))
+def _open_groups(groups: DataFrame, components: DataFrame) -> DataFrame:
+    """(key, id, component, main, n, outside): the members of groups in which not all are of one component; main is the
+    component that most of the n members have, ``outside`` the number of those that have another."""
+    own = groups.join(components, groups["member"] == components["node"], "left").select(
+        "key", F.col("member").alias("id"), F.coalesce("component", "member").alias("component"))
+    sizes = own.groupBy("key", "component").agg(F.count("*").alias("n"))
+    sums = sizes.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts"))
     # a group of two is its star
-    live = sums.where("n > 2 AND c0 != c1").select(F.col("key").alias("k"), F.ceil(F.col("n") / CELL).cast("int").alias("chunks"))
+    live = sums.where("n > 2 AND parts > 1").select(
+        F.col("key").alias("k"), F.col("top.component").alias("main"), "n", (F.col("n") - F.col("top.n")).alias("outside"))
     live = shared_checkpoint(live)  # so that the join can split a large group
-    rows = own.join(live, F.col("key") == F.col("k"))
-    chunk = F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
-    return (rows.withColumn("c", chunk).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-            .select("key", F.least("c", "o").alias("i"), F.greatest("c", "o").alias("j"), "id", "component", "c"))
+    return own.join(live, F.col("key") == F.col("k")).drop("k")
+
+
+def _second_stars(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each open group of more than a cell: ``CENTRES`` members of its main component, others in every group,
+    with all members outside. The bands' groups of a family differ in these, so what stays outside of all is little."""
+    large = rows.where(F.col("n") > CELL)
+    picked = [F.min(F.struct(F.xxhash64("id", "key", F.lit(i)).alias("h"), "id"))["id"] for i in range(CENTRES)]
+    centre = shared_checkpoint(large.where("component = main").groupBy(F.col("key").alias("k")).agg(F.array(*picked).alias("ids")))
+    pairs = large.where("component != main").join(centre, F.col("key") == F.col("k")).withColumn("centre", F.explode("ids"))
+    return pairs.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
+
+
+def _open_cells(rows: DataFrame) -> DataFrame:
+    """(key, i, j, id, component, left): open groups in cells: chunk i of the members outside of the main component (``left``)
+    against chunk j of all members."""
+    rows = rows.withColumns({"chunks": F.ceil(F.col("n") / CELL).cast("int"), "out_chunks": F.ceil(F.col("outside") / CELL).cast("int")})
+    hashed = F.xxhash64("id")
+    right = rows.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("out_chunks") - 1))).withColumn(
+        "j", F.pmod(hashed, F.col("chunks")).cast("int")).withColumn("left", F.lit(False))
+    left = rows.where("component != main").withColumn("i", F.pmod(hashed, F.col("out_chunks")).cast("int")).withColumn(
+        "j", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumn("left", F.lit(True))
+    return left.unionByName(right).select("key", "i", "j", "id", "component", "left")
 
 
 def _overlap(x: np.ndarray, y: np.ndarray) -> int:
@@ -295,8 +333,8 @@ def _cell_links(cells: DataFrame, groups: DataFrame, texts: DataFrame, threshold
     held = texts.join(bands, texts["id"] == bands["member"]).select(F.col("id").alias("own"), "text", "bands")
 
     def links(key, i, j, rows) -> list[tuple]:
-        left = np.array([n for n, r in enumerate(rows) if r[2] == i])
-        right = np.array([n for n, r in enumerate(rows) if r[2] == j])
+        left = np.array([n for n, r in enumerate(rows) if r[2]])
+        right = np.array([n for n, r in enumerate(rows) if not r[2]])
         if not len(left) or not len(right):
             return []
         keys = np.full((len(rows), BANDS), -1, dtype=np.int64)
@@ -307,8 +345,6 @@ def _cell_links(cells: DataFrame, groups: DataFrame, texts: DataFrame, threshold
         same &= keys[left][:, None, :] >= 0
         component = np.unique([r[1] for r in rows], return_inverse=True)[1]
         mask = (same.argmax(axis=2) == key % BANDS) & (component[left][:, None] != component[right][None, :])
-        if i == j:
-            mask &= left[:, None] < right[None, :]
         if not mask.any():
             return []
         sets = [_shingle_words(r[3]) for r in rows]
@@ -351,7 +387,7 @@ def _cell_links(cells: DataFrame, groups: DataFrame, texts: DataFrame, threshold
             yield _edges(links(*cell, rows))
         trim()
 
-    return (cells.join(held, F.col("id") == F.col("own")).select("key", "i", "j", "id", "component", "c", "text", "bands")
+    return (cells.join(held, F.col("id") == F.col("own")).select("key", "i", "j", "id", "component", "left", "text", "bands")
             .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "id").mapInArrow(run, "a long, b long"))
 
 
@@ -368,7 +404,7 @@ def line_components(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Data
     at = shared_path(spark, "lines")
     _occurrences(docs).write.option("compression", "zstd").parquet(f"{at}/occurrences")
     occurrences = spark.read.parquet(f"{at}/occurrences")
-    first = occurrences.groupBy("id").agg(F.min(F.struct("doc", "line")).alias("p")).select("id", "p.doc", "p.line")
+    first = occurrences.groupBy("id").agg(F.min(F.struct("doc", "place")).alias("p")).select("id", "p.doc", "p.place")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bits = min(24, (max(2 * least, size // BUCKET_BYTES + 1) - 1).bit_length())
@@ -381,30 +417,40 @@ def line_components(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Data
     texts = spark.read.parquet(f"{at}/texts")
     stars = groups.where("member != pivot").select(F.col("pivot").alias("a"), F.col("member").alias("b")).distinct()
     links = shared_checkpoint(_verified(stars, texts, threshold))
-    more = shared_checkpoint(_cell_links(_open_cells(groups, links), groups, texts, threshold))
-    free_shuffles(spark)
-    components = connected_components(links.unionByName(more))
+    components = connected_components(links)
+
+    def joined(more: DataFrame) -> DataFrame:
+        if more.isEmpty():
+            return components
+        stars = components.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        return connected_components(stars.unionByName(more))
+
+    components = joined(shared_checkpoint(_verified(_second_stars(_open_groups(groups, components)), texts, threshold)))
+    components = joined(shared_checkpoint(_cell_links(_open_cells(_open_groups(groups, components)), groups, texts, threshold)))
     free_shuffles(spark)
     return occurrences, components
 
 
 def duplicate_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc, gone array<struct<line, id>>): the lines that go; the first line of every component stays."""
+    """(doc, key, gone array<struct<line, id>>): the lines that go from texts of that key; the first line of every
+    component stays."""
     occurrences, components = line_components(docs, threshold)
     own = occurrences.join(components, occurrences["id"] == components["node"], "left").select(
-        "id", F.coalesce("component", "id").alias("c"), "doc", "line")
-    keeper = own.groupBy("c").agg(F.min(F.struct("doc", "line")).alias("keep"), F.count("*").alias("n")).where(
-        "n > 1").select(F.col("c").alias("k"), "keep")
+        "id", F.coalesce("component", "id").alias("c"), "doc", "place")
+    keeper = own.groupBy("c").agg(F.min(F.struct("doc", "place")).alias("keep"), F.count("*").alias("n")).where(
+        "n > 1").select(F.col("c").alias("k"), F.col("keep.doc").alias("keep_doc"), _line("keep.place").alias("keep_line"))
     keeper = shared_checkpoint(keeper)  # so that the join below can split the places of a frequent line
-    late = own.join(keeper, F.col("c") == F.col("k")).where(
-        (F.col("doc") != F.col("keep.doc")) | (F.col("line") != F.col("keep.line")))
-    return late.groupBy("doc").agg(F.collect_list(F.struct("line", "id")).alias("gone"))
+    late = own.withColumn("line", _line("place")).join(keeper, F.col("c") == F.col("k")).where(
+        (F.col("doc") != F.col("keep_doc")) | (F.col("line") != F.col("keep_line")))
+    late = late.select("doc", F.col("place").bitwiseAND(0xFFFFFFFF).alias("key"), F.col("line").cast("int").alias("line"), "id")
+    return late.groupBy("doc", "key").agg(F.collect_set(F.struct("line", "id")).alias("gone"))
 
 
 def _apply(docs: DataFrame, threshold: float, run, schema) -> DataFrame:
-    gone = duplicate_lines(docs, threshold).withColumnsRenamed({"doc": "__doc", "gone": "__gone"})
-    key = F.coalesce(docs["doc_id"].cast("long"), F.lit(_LEAST))
-    return docs.join(gone, key == gone["__doc"], "left").drop("__doc").mapInArrow(run, schema)
+    gone = duplicate_lines(docs, threshold).withColumnsRenamed({"doc": "__doc", "key": "__key", "gone": "__gone"})
+    here = (F.coalesce(docs["doc_id"].cast("long"), F.lit(_LEAST)) == gone["__doc"]) & (
+        _text_key(F.coalesce(docs["text"].cast("string"), F.lit(""))) == gone["__key"])
+    return docs.join(gone, here, "left").drop("__doc", "__key").mapInArrow(run, schema)
 
 
 def _kept(text: str, gone) -> tuple[list[str], int]:
