@@ -1,6 +1,7 @@
 """Chat, line dedup, toxicity, decontamination, pipeline and registry: brute force on hard cases, oracles."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter
@@ -138,6 +139,61 @@ def test_a_large_family_of_variants_is_one_component(spark, monkeypatch):
     assert bag(tuple(r) for r in got) == bag(kept_lines(rows))
 
 
+def test_rows_that_share_an_id_lose_their_own_lines(spark):
+    """A third of the rows under one id, and some under null, with different and repeated texts."""
+    rows = [(7, lines(30 + i % 9, 5) + f"\n{prose(500 + i, 12)}") for i in range(30)] + [(7, lines(31, 5))] * 5
+    rows += [(None, lines(33, 4)), (None, lines(33, 4)), (None, lines(60, 4)), (None, None)] + [(100 + i, lines(30 + i, 6)) for i in range(12)]
+    got = line_dedup.line_report(frame(spark, rows).repartition(6)).collect()
+    assert bag(tuple(r) for r in got) == bag(kept_lines(rows))
+
+
+def family(n, seed=3):
+    """Near lines of one template, many of which are not like the smallest."""
+    r = random.Random(seed)
+    words = prose(50, 40).split()
+    out = []
+    for i in range(n):
+        own = list(words)
+        own[r.randrange(40)] = "".join(r.choice("abcdefgh") for _ in range(r.randrange(4, 15)))
+        out.append((i, " ".join(own)))
+    return out
+
+
+def test_cells_of_a_family_grow_with_it_and_not_with_its_square(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "CELL", 32)
+    sizes, plain = [], line_dedup._open_cells
+
+    def counted(rows):
+        cells = plain(rows)
+        sizes.append(cells.count())
+        return cells
+
+    monkeypatch.setattr(line_dedup, "_open_cells", counted)
+    own = [{t[i:i + 8] for i in range(len(t) - 7)} for _, t in family(400)]
+    like = sum(len(own[0] & x) >= 0.8 * len(own[0] | x) for x in own[1:])
+    assert 80 < like < 320  # of the smallest line; stars alone leave the others open
+    for n in (400, 800):
+        got = line_dedup.line_report(frame(spark, family(n), extra=False)).collect()
+        assert sum(r.n_removed for r in got) == n - 1
+    assert sizes[1] <= 2.2 * max(sizes[0], 400), sizes
+
+
+def test_recall_of_near_lines(spark):
+    """Pairs of Jaccard similarity 0.80 to 0.86 share a band nearly always."""
+    r, pairs = random.Random(9), []
+    while len(pairs) < 2000:
+        a = "".join(r.choice("abcdefghijklmnop ") for _ in range(r.randrange(30, 160)))
+        at = r.randrange(len(a))
+        b = a[:at] + "ZQ"[r.randrange(2)] + a[at + 1:] if r.random() < 0.7 else a[:at] + a[at + 1:]
+        x, y = line_dedup.normal(a), line_dedup.normal(b)
+        s, t = ({v[i:i + 8] for i in range(max(1, len(v) - 7))} for v in (x, y))
+        if 0.8 <= len(s & t) / len(s | t) <= 0.86:
+            pairs.append((x, y))
+    keys = line_dedup.band_keys([v for p in pairs for v in p])
+    found = (keys[0::2] == keys[1::2]).any(axis=1).mean()
+    assert found >= 0.998, found
+
+
 def test_documents_keep_their_columns_without_duplicate_lines(spark):
     docs = frame(spark, hard_rows())
     out = line_dedup.dedup_lines(docs)
@@ -293,6 +349,23 @@ def test_containment_matches_brute_force(spark, monkeypatch, block):
     assert bag(r.doc_id for r in clean.select("doc_id").collect()) == bag(k for k, _ in rows if k not in gone)
 
 
+def test_many_items_are_searched_in_one_pass(spark, monkeypatch):
+    """Beyond a block, items stay distributed: equal results, one read of the documents whatever the number of items."""
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 1000)
+    items = [(i, prose(2000 + i, 8 + i % 40)) for i in range(3000)]
+    rows = [(i, prose(i, 60) + " " + items[37 * i][1] + " " + prose(i + 1, 60)) for i in range(40)] + hard_rows()
+    reads = []
+    plain = decontaminate._candidates
+    monkeypatch.setattr(decontaminate, "_candidates", lambda *a: reads.append(1) or plain(*a))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.find_contaminated(frame(spark, rows), bench)
+    assert len(reads) == 1
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 1 << 30)
+    one = decontaminate.find_contaminated(frame(spark, rows), bench)
+    assert bag(map(tuple, got.collect())) == bag(map(tuple, one.collect()))
+    assert {(i, 37 * i) for i in range(40)} <= {(r.doc_id, r.item_id) for r in one.collect()}
+
+
 def test_decontamination_of_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.find_contaminated(frame(spark, hard_rows()), none).collect() == []
