@@ -6,11 +6,17 @@ broadcast. Rows that share an id are one example, by the text of the smallest ha
 text is a term of its own each time; kept are all terms that mark label 1 in the examples by chi-squared and lift
 (``MIN_CHI2``, ``MIN_LIFT``, ``MIN_EXAMPLES``); the sample bounds their number. Their document frequencies are counted over all documents.
 
-Scoring. Examples are unit TF-IDF vectors in an inverted index cut into blocks of ``BLOCK`` examples, with the
+Most texts hold none of these. They are compared with the examples that hold none either, over a general vocabulary: all
+words that stand in ``MIN_EXAMPLES`` examples or more and at most a share of ``COMMON`` of them, weighed by 1 + log(times)
+and idf. Their document frequencies too are counted over all documents, in the same pass.
+
+Scoring. Examples are unit TF-IDF vectors in an inverted index cut into blocks of ``BLOCK`` examples (``WIDE`` in the
+general index), with the
 largest weight of each term in each block. A text's blocks are visited by their upper bound until the bound is
 below the k-th best cosine, so the k nearest (and all ties of the last) are exact. Neighbours vote with squared
-cosine, weighed back to the classes' shares among the labels, and shrunk to the share of label 1; a text without
-a kept term gets the smoothed share of label 1 among examples without one. The nearest ids are the evidence.
+cosine, weighed back to the classes' shares among the labels, and shrunk to the share of label 1: of all examples, or
+in the general index of those in it. A text without any term of either kind gets that last share. The
+nearest ids are the evidence.
 """
 
 from __future__ import annotations
@@ -28,6 +34,7 @@ from strata.llm.words import folded_words
 
 PER_CLASS, MIN_CHI2, MIN_LIFT, MIN_EXAMPLES = 3000, 25.0, 4.0, 3
 NEIGHBOURS, BLOCK, SHRINK, THRESHOLD = 25, 64, 1.0, 0.3
+COMMON, COMMON_LEAST, WIDE = 0.02, 10, 512
 EXAMPLE_PARTS = 12  # the sample is bounded, and so are its files
 BEGINNINGS, TIMES = (4, 5, 6, 7, 8), (2, 3, 5)
 
@@ -40,11 +47,77 @@ def terms_of(words: list[bytes]) -> set[bytes]:
     return set(n) | {b"%s#%d" % (t, times) for t, c in n.items() if c > 1 for times in TIMES if c >= times}
 
 
+class Index:
+    """Unit vectors (terms, weights), in blocks of ``WIDE``, with the largest weight of each term in each block."""
+
+    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
+        n_blocks = -(-len(vectors) // WIDE)
+        self.bound = np.zeros((n_blocks, n_terms), dtype=np.float64)
+        self.blocks = []
+        for b in range(n_blocks):
+            own = vectors[b * WIDE:(b + 1) * WIDE]
+            t, w = np.concatenate([t for t, _ in own]), np.concatenate([w for _, w in own])
+            at = np.repeat(np.arange(len(own)), [len(t) for t, _ in own])
+            order = np.argsort(t, kind="stable")
+            t, w, at = t[order], w[order], at[order]
+            np.maximum.at(self.bound[b], t, w)
+            self.blocks.append((np.searchsorted(t, np.arange(n_terms + 1)).astype(np.int32), at.astype(np.int32), w))
+
+    def cosines(self, b: int, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Of all examples of a block."""
+        first, at, w = self.blocks[b]
+        start, n = first[terms], first[terms + 1] - first[terms]
+        places = np.arange(n.sum()) + np.repeat(start - np.cumsum(n) + n, n)
+        return np.bincount(at[places], w[places] * np.repeat(weights, n), minlength=WIDE)
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
+        """(cosine, number) of the k nearest with a cosine over 0, and ties of the last."""
+        bounds = self.bound[:, terms] @ weights
+        best, kth = [], 0.0
+        for b in np.argsort(-bounds, kind="stable"):
+            if bounds[b] <= 0 or bounds[b] < kth - 1e-12:
+                break
+            sims = self.cosines(b, terms, weights)
+            best += [(float(sims[i]), int(b) * WIDE + int(i)) for i in np.flatnonzero(sims > max(0.0, kth - 1e-12))]
+            if len(best) >= k:
+                best.sort(key=lambda r: (-r[0], r[1]))
+                kth = best[k - 1][0]
+                best = [r for r in best if r[0] >= kth - 1e-12]
+        best.sort(key=lambda r: (-r[0], r[1]))
+        return best
+
+
+class General:
+    """The general vocabulary with its idf, and the index of the examples without a kept term."""
+
+    def __init__(self, idf: dict[bytes, float], examples: list[tuple[int, int, list[int], list[int]]]):
+        self.number = {t: i for i, t in enumerate(sorted(idf))}
+        self.idf = np.array([idf[t] for t in sorted(idf)])
+        # examples that share their most common terms (a language's) stand together, so few blocks are near a text
+        common = np.argsort(np.argsort(self.idf, kind="stable"), kind="stable")
+        held = [e for e in examples if len(e[2])]
+        held.sort(key=lambda e: (sorted(common[e[2]].tolist())[:4], e[0]))
+        self.ids, self.labels = [k for k, *_ in held], [y for _, y, *_ in held]
+        self.index = Index([self.unit(np.array(t), np.array(n)) for _, _, t, n in held], len(idf))
+
+    def counts(self, words: list[bytes]) -> tuple[list[int], list[int]]:
+        """The numbers of a text's terms, ascending, and how often each stands in it."""
+        number = self.number
+        n = Counter(number[w] for w in words if w in number)
+        terms = sorted(n)
+        return terms, [n[t] for t in terms]
+
+    def unit(self, terms: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        w = (1 + np.log(times)) * self.idf[terms]
+        return terms, w / np.sqrt((w * w).sum())
+
+
 class Model:
-    """Kept terms with their idf, and the examples' index."""
+    """Kept terms with their idf, and the examples' index; ``general`` for texts without a kept term."""
 
     def __init__(self, idf: dict[bytes, float], examples: list[tuple[int, int, list[int]]],
-                 weights: tuple[float, float], prior: float):
+                 weights: tuple[float, float], prior: float, general: General | None = None):
+        self.general = general
         self.number = {t: i for i, t in enumerate(sorted(idf))}
         self.idf = np.array([idf[t] for t in sorted(idf)])
         self.starts = {t.partition(b"#")[0].rstrip(b"*")[:min(BEGINNINGS)] for t in idf}
@@ -74,10 +147,10 @@ class Model:
         norm = math.sqrt(sum(self.idf[t] ** 2 for t in terms)) or 1.0
         return [(t, self.idf[t] / norm) for t in terms]
 
-    def vector(self, text: str) -> tuple:
-        """The numbers of the kept terms in a text."""
+    def vector(self, words: list[bytes]) -> tuple:
+        """The numbers of the kept terms among a text's words."""
         starts, n, number = self.starts, min(BEGINNINGS), self.number
-        near = [w for w in folded_words(text) if w[:n] in starts]
+        near = [w for w in words if w[:n] in starts]
         return tuple(sorted(number[t] for t in terms_of(near) if t in number)) if near else ()
 
     def nearest(self, tf: tuple, k: int) -> list[tuple[float, int]]:
@@ -103,20 +176,30 @@ class Model:
 
     def score(self, text: str) -> tuple[float, list[int]]:
         """The calibrated score, and the ids of the three nearest examples."""
-        tf = self.vector(text)
+        words = folded_words(text)
+        tf = self.vector(words)
         if not tf:
-            return self.no_term, []
+            return self._by_general(words)
         if tf not in self.seen:
-            near = self.nearest(tf, NEIGHBOURS)
-            votes = [(s * s * self.weights[self.labels[e]], self.labels[e]) for s, e in near]
-            total = sum(w for w, _ in votes)
-            got = (float((sum(w for w, y in votes if y) + SHRINK * self.prior) / (total + SHRINK)),
-                   [int(self.ids[e]) for _, e in near[:3]])
+            got = self._vote(self.nearest(tf, NEIGHBOURS), self.ids, self.labels, self.prior)
             if len(self.seen) > 100_000:
                 self.seen.clear()
             self.seen[tf] = got
         return self.seen[tf]
 
+    def _by_general(self, words: list[bytes]) -> tuple[float, list[int]]:
+        terms, times = self.general.counts(words) if self.general else ((), ())
+        if not terms:
+            return self.no_term, []
+        near = self.general.index.nearest(*self.general.unit(np.array(terms), np.array(times)), NEIGHBOURS)
+        return self._vote(near, self.general.ids, self.general.labels, self.no_term)
+
+    def _vote(self, near: list[tuple[float, int]], ids, labels, prior: float) -> tuple[float, list[int]]:
+        votes = [(s * s * self.weights[labels[e]], labels[e]) for s, e in near]
+        total = sum(w for w, _ in votes)
+        return (float((sum(w for w, y in votes if y) + SHRINK * prior) / (total + SHRINK)),
+                [int(ids[e]) for _, e in near[:3]])
+
 
 def held_out(doc_id):
     """True for the fold that labels are never learned from; a null id is not in it."""
@@ -167,15 +250,24 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     kept = (counts.where((F.col("n1") >= MIN_EXAMPLES) & (F.length("term") > 1) & (a * n0 >= MIN_LIFT * b * n1))
             .withColumn("chi2", chi2).where(F.col("chi2") >= MIN_CHI2).select("term").collect())
     terms = sorted(bytes(r["term"]) for r in kept)
-    blank = Model({t: 1.0 for t in terms}, [], (1.0, 1.0), 0.0)
+    # whole words alone, of neither too few nor too many examples; the sample bounds their number
+    both = F.col("n1") + F.col("n0")
+    words = counts.where((both >= MIN_EXAMPLES) & (both <= max(COMMON * (n1 + n0), COMMON_LEAST)) & ~F.contains("term", F.lit(b"#"))
+                         & ~F.contains("term", F.lit(b"*")) & (F.col("term") != F.lit(b" "))).select("term").collect()
+    general = sorted({bytes(r["term"]) for r in words} - set(terms)) if n1 and n0 else []
+    blank = Model({t: 1.0 for t in terms}, [], (1.0, 1.0), 0.0, General({t: 1.0 for t in general}, []))
     shared = spark.sparkContext.broadcast(blank)
+    after = len(terms)  # numbers of general terms in the counts below
 
     def frequency(batches):
         model, n, docs_seen = shared.value, Counter(), 0
+        number = model.general.number
         for _, texts in text_rows(batches):
             docs_seen += len(texts)
             for t in texts:
-                n.update(model.vector(t))
+                own = folded_words(t)
+                n.update(model.vector(own))
+                n.update([after + number[w] for w in set(own) if w in number])
         n[-1] = docs_seen
         yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.int64()), pa.array(list(n.values()), pa.int64())],
                                          names=["term", "n"])
@@ -183,28 +275,32 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     df = {r["term"]: r["n"] for r in docs.mapInArrow(frequency, "term long, n long")
           .groupBy("term").agg(F.sum("n").alias("n")).collect()}
     n_docs = max(1, df.get(-1, 0))
-    idf = {t: math.log((1 + n_docs) / (1 + df.get(i, 0))) + 1 for i, t in enumerate(terms)}
+    idf = {t: math.log((1 + n_docs) / (1 + df.get(i, 0))) + 1 for i, t in enumerate([*terms, *general])}
 
     def vectors(batches):
         model = shared.value
         for b in batches:
-            own = [model.vector(t) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(own, pa.list_(pa.int32()))],
-                                             names=["doc_id", "y", "terms"])
+            words = [folded_words(t) for t in b.column(1).to_pylist()]
+            own = [model.vector(w) for w in words]
+            wide = [((), ()) if v else model.general.counts(w) for v, w in zip(own, words, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(2), *(pa.array(x, pa.list_(pa.int32())) for x in (own, [t for t, _ in wide], [n for _, n in wide]))],
+                names=["doc_id", "y", "terms", "words", "times"])
 
-    rows = [(r["doc_id"], r["y"], list(r["terms"])) for r in examples.mapInArrow(
-        vectors, "doc_id long, y int, terms array<int>").orderBy("doc_id").collect()]
+    found = examples.mapInArrow(vectors, "doc_id long, y int, terms array<int>, words array<int>, times array<int>").orderBy("doc_id").collect()
+    rows = [(r["doc_id"], r["y"], list(r["terms"])) for r in found]
+    wide = General({t: idf[t] for t in general}, [(r["doc_id"], r["y"], list(r["words"]), list(r["times"])) for r in found if not r["terms"]])
     have = Counter(y for _, y, _ in rows)
     weights = [n_known.get(y, 0) / have[y] if have[y] else 1.0 for y in (0, 1)]
     weights = (weights[0] / weights[1], 1.0)  # what an example stands for, in examples of label 1
     prior = (n_known.get(1, 0) + 0.5) / (sum(n_known.values()) + 1)
-    return Model(idf, rows, weights, prior)
+    return Model({t: idf[t] for t in terms}, rows, weights, prior, wide)
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted, evidence): every document's toxicity by a model of ``fit``.
 
-    Null and empty texts get the score of texts without a kept term; a null doc_id keeps its row; repeated rows
+    Null and empty texts get the score of texts without any term; a null doc_id keeps its row; repeated rows
     are scored each; an empty table gives no rows; columns other than doc_id and text are not read.
     """
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))

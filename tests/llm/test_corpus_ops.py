@@ -288,6 +288,69 @@ def test_rows_that_share_an_id_are_one_example(spark):
     assert again.weights == once.weights and again.prior == once.prior
 
 
+def test_score_matches_brute_force(spark):
+    """The whole score by its definition: terms, frequencies over all documents, cosines, votes, evidence."""
+    import math
+
+    rows, labels = toxic_corpus()
+    rows += [(2000 + i, prose(3000 + i, 40)) for i in range(40)] + [(1000, None), (1001, ""), (None, prose(1, 30)), (1002, "qqq www")]
+    got = toxicity.score(frame(spark, rows).repartition(3), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+    texts, truth = dict(rows), {k: y for k, y in labels if zlib.crc32(str(k).encode()) % 4 != 2}
+    sets = {k: toxicity.terms_of(words(texts[k])) for k in truth}
+    n = [sum(y == c for y in truth.values()) for c in (0, 1)]
+    count = {t: [sum(t in s and truth[k] == c for k, s in sets.items()) for c in (0, 1)] for t in set().union(*sets.values())}
+
+    def marks(b, a):
+        under = (a + b) * (sum(n) - a - b) * n[1] * n[0]
+        chi2 = sum(n) * (a * (n[0] - b) - b * (n[1] - a)) ** 2 / under if under else 0
+        return a >= 3 and a * n[0] >= 4 * b * n[1] and chi2 >= 25
+
+    kept = {t for t, c in count.items() if marks(*c) and len(t) > 1}
+    wide = {t for t, c in count.items() if 3 <= sum(c) <= max(0.02 * sum(n), 10) and not t.endswith(b"*") and b"#" not in t} - kept
+    assert kept and wide
+    held = {i: (toxicity.terms_of(words(t)) & kept, Counter(w for w in words(t) if w in wide)) for i, (_, t) in enumerate(rows)}
+    freq = Counter(t for a, b in held.values() for t in [*a, *b])
+    idf = {t: math.log((1 + len(rows)) / (1 + freq[t])) + 1 for t in kept | wide}
+    first = {k: i for i, (k, _) in reversed(list(enumerate(rows)))}
+
+    def vector(i):
+        a, b = held[i]
+        v = {t: idf[t] for t in a} if a else {t: (1 + math.log(c)) * idf[t] for t, c in b.items()}
+        size = math.sqrt(sum(x * x for x in v.values()))
+        return {t: x / size for t, x in v.items()}
+
+    prior = (n[1] + 0.5) / (sum(n) + 1)
+    plain = [k for k in truth if not held[first[k]][0]]
+    no_term = (sum(truth[k] for k in plain) + prior) / (len(plain) + 1)
+    examples = {k: vector(first[k]) for k in truth}
+    want = {}
+    for i, (k, _) in enumerate(rows):
+        q, near = vector(i), []
+        for e, v in examples.items():
+            if bool(held[i][0]) == bool(held[first[e]][0]):
+                s = sum(x * v.get(t, 0) for t, x in q.items())
+                near += [(s, e)] if s > 1e-12 else []
+        near.sort(key=lambda r: -r[0])
+        near = [r for r in near if r[0] >= near[min(24, len(near) - 1)][0] - 1e-12]
+        base = prior if held[i][0] else no_term
+        want[i] = (sum(s * s for s, e in near if truth[e]) + base) / (sum(s * s for s, _ in near) + 1)
+        if near:
+            ev = [r.evidence for r in got if r.doc_id == k]
+            assert any(len(x) == min(3, len(near)) and math.isclose(near[0][0], dict((e, s) for s, e in near)[x[0]], abs_tol=1e-9) for x in ev)
+    assert bag(round(r.score, 9) for r in got) == bag(round(x, 9) for x in want.values())
+    assert {r.doc_id: round(r.score, 9) for r in got} == {k: round(want[i], 9) for i, (k, _) in enumerate(rows)}
+
+
+def test_most_texts_have_evidence(spark):
+    docs, labels = (table(spark, "/root/testdata/sf0.1", t) for t in ("documents", "labels"))
+    got = toxicity.score(docs, labels).collect()
+    assert sum(not r.evidence for r in got) < 0.05 * len(got)
+    by = {y: {r.doc_id for r in labels.where(f"toxic = {y}").collect()} for y in (0, 1)}
+    held = [r for r in got if r.held_out]
+    assert sum(r.predicted for r in held if r.doc_id in by[0]) <= 0.02 * sum(r.doc_id in by[0] for r in held) + 1
+    assert sum(r.predicted for r in held if r.doc_id in by[1]) >= 0.9 * sum(r.doc_id in by[1] for r in held)
+
+
 def test_all_marking_terms_are_kept(spark):
     rows, labels = toxic_corpus()
     marks = [f"{chr(97 + i // 26)}{chr(97 + i % 26)}q" for i in range(600)]
