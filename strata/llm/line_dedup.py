@@ -8,8 +8,8 @@ links the first line, by doc_id and line number, stays.
 
 Every stage works on distinct lines. The signature is a one-permutation MinHash: the smallest shingle hash in each
 of ``BANDS * ROWS`` bins, an empty bin borrowing from another. Tasks send packed band keys. A band group links its
-members by a star to its smallest line, so no pairs are listed. Where members of a group are then of several components,
-those outside of the largest get further stars, to members of the largest that differ from group to group. What
+members by a star to its smallest line, so no pairs are listed. Where a group's members then have several labels (the
+smallest line two links away), those outside of the most frequent get further stars, to members inside that differ from group to group. What
 is still outside is held against all members, in cells of bounded size (in the first band that a pair shares). So a link
 of the group is never lost, and a family of near lines that are linked costs rows in proportion to it. Lines that share
 bands and are not linked are compared all the same: a family of such costs its square, in cells of bounded size.
@@ -257,11 +257,20 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def _open_groups(groups: DataFrame, components: DataFrame) -> DataFrame:
-    """(key, id, component, main, n, outside): the members of groups in which not all are of one component; main is the
-    component that most of the n members have, ``outside`` the number of those that have another."""
-    own = groups.join(components, groups["member"] == components["node"], "left").select(
-        "key", F.col("member").alias("id"), F.coalesce("component", "member").alias("component"))
+def _labels(links: DataFrame) -> DataFrame:
+    """(node, label): the smallest node at most two links away, or the node itself. Nodes of one label are of one component
+    (not the other way round), which takes two aggregates and no search for the components."""
+    both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(links.select(F.col("b").alias("u"), F.col("a").alias("v")))
+    near = shared_checkpoint(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("near")))
+    far = both.join(near, F.col("v") == F.col("node")).groupBy("u").agg(F.min("near").alias("label"))
+    return shared_checkpoint(far.select(F.col("u").alias("node"), F.least("u", "label").alias("label")))
+
+
+def _open_groups(groups: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, id, component, main, n, outside): the members of groups in which not all are of one label; main is the label
+    that most of the n members have, ``outside`` the number of those that have another."""
+    own = groups.join(labels, groups["member"] == labels["node"], "left").select(
+        "key", F.col("member").alias("id"), F.coalesce("label", "member").alias("component"))
     sizes = own.groupBy("key", "component").agg(F.count("*").alias("n"))
     sums = sizes.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts"))
     # a group of two is its star
@@ -417,16 +426,14 @@ def line_components(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Data
     texts = spark.read.parquet(f"{at}/texts")
     stars = groups.where("member != pivot").select(F.col("pivot").alias("a"), F.col("member").alias("b")).distinct()
     links = shared_checkpoint(_verified(stars, texts, threshold))
-    components = connected_components(links)
-
-    def joined(more: DataFrame) -> DataFrame:
-        if more.isEmpty():
-            return components
-        stars = components.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        return connected_components(stars.unionByName(more))
-
-    components = joined(shared_checkpoint(_verified(_second_stars(_open_groups(groups, components)), texts, threshold)))
-    components = joined(shared_checkpoint(_cell_links(_open_cells(_open_groups(groups, components)), groups, texts, threshold)))
+    rows = _open_groups(groups, _labels(links))
+    more = shared_checkpoint(_verified(_second_stars(rows), texts, threshold))
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        rows = _open_groups(groups, _labels(links))
+    more = shared_checkpoint(_cell_links(_open_cells(rows), groups, texts, threshold))
+    free_shuffles(spark)
+    components = connected_components(links.unionByName(more))
     free_shuffles(spark)
     return occurrences, components
 
