@@ -78,7 +78,7 @@ def interval_incidents(spark, sf, minutes=10):
 
 
 # ---------------------------------------------------------------- streams over events
-FILES, DELAY = 6, "1 day"
+FILES, DELAY, STATE = 6, "1 day", 8
 
 
 def arrivals(spark: SparkSession, sf: str, late_hours: int) -> DataFrame:
@@ -107,7 +107,7 @@ def _stream(spark, sf, **window):
     source, table, check = (new_output_path(spark, n) for n in ("arrivals", "windows", "windows-state"))
     arrive(spark, ev, source, range(FILES), schema)
     windows.end_stream(spark, source, schema, "ts")
-    query = windows.start_windows(spark, source, schema, table, check, "ts", "event_id", DELAY, **window)
+    query = windows.start_windows(spark, source, schema, table, check, "ts", "event_id", DELAY, partitions=STATE, **window)
     query.awaitTermination()
     ev.unpersist()
     return spark.read.parquet(table), query
@@ -142,7 +142,8 @@ def stream_entity_state(spark, sf, expiry_hours=6):
         if last:
             windows.end_stream(spark, source, schema, "ts")
         state.start_lives(spark, source, schema, table, check, entity="user_id", ts="ts", event_id="event_id",
-                          kind="event_type", value="value", expiry_seconds=expiry_hours * 3600, delay="1 hour").awaitTermination()
+                          kind="event_type", value="value", expiry_seconds=expiry_hours * 3600, delay="1 hour",
+                          partitions=STATE).awaitTermination()
     ev.unpersist()
     out = state.lives(spark, table)
     return out.select(F.col("entity").alias("user_id"), F.col("first").alias("first_us"), F.col("last").alias("last_us"),

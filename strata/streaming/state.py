@@ -25,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from strata.operators.asof import micros
-from strata.streaming.windows import END_MICROS
+from strata.streaming.windows import END_MICROS, state_in
 
 # workers get this module's functions with the query: nothing has to be installed on them
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -131,15 +131,16 @@ def _out(entity: int, rows: list) -> pd.DataFrame:
 
 
 def start_lives(spark: SparkSession, source_dir: str, schema: T.StructType, table_path: str, checkpoint: str,
-                files_per_trigger: int = 1, **columns) -> StreamingQuery:
+                files_per_trigger: int = 1, partitions: int | None = None, **columns) -> StreamingQuery:
     """Read what is in ``source_dir``, some files a trigger, and write the lives that each trigger touched."""
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(source_dir)
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{table_path}/trigger={number}")
 
-    return (keep_lives(stream, **columns).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-            .outputMode("update").trigger(availableNow=True).start())
+    with state_in(spark, partitions):
+        return (keep_lives(stream, **columns).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+                .outputMode("update").trigger(availableNow=True).start())
 
 
 def lives(spark: SparkSession, table_path: str) -> DataFrame:

@@ -8,7 +8,8 @@ checkpoint, so a stream that stops goes on where it was. ``windowed`` alone is t
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,15 +53,30 @@ def without_zone(c: str) -> Column:
     return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
 
 
+@contextmanager
+def state_in(spark: SparkSession, partitions: int | None) -> Iterator[None]:
+    """A query started here keeps its state in so many partitions (default: the session's shuffle partitions), for the
+    life of its checkpoint. The stream takes the setting over as it starts; the session has its own again after."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    try:
+        if partitions:
+            spark.conf.set(name, str(partitions))
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def start_windows(spark: SparkSession, source_dir: str, schema: T.StructType, table_path: str, checkpoint: str, ts: str,
-                  event_id: str, delay: str, files_per_trigger: int = 1, **window) -> StreamingQuery:
+                  event_id: str, delay: str, files_per_trigger: int = 1, partitions: int | None = None, **window) -> StreamingQuery:
     """Read what is in ``source_dir``, some files a trigger, and append each closed window to ``table_path``."""
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(source_dir))
     out = windowed(on_time(stream, ts, delay, event_id), ts, **window)
     if isinstance(schema[ts].dataType, T.TimestampNTZType):
         out = out.withColumns({c: without_zone(c) for c in ("window_start", "window_end")})
-    return (out.writeStream.format("parquet").option("path", table_path).option("checkpointLocation", checkpoint)
-            .outputMode("append").trigger(availableNow=True).start())
+    with state_in(spark, partitions):
+        return (out.writeStream.format("parquet").option("path", table_path).option("checkpointLocation", checkpoint)
+                .outputMode("append").trigger(availableNow=True).start())
 
 
 def end_stream(spark: SparkSession, source_dir: str, schema: T.StructType, ts: str) -> None:
