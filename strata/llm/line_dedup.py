@@ -426,11 +426,11 @@ def line_components(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Data
     texts = spark.read.parquet(f"{at}/texts")
     stars = groups.where("member != pivot").select(F.col("pivot").alias("a"), F.col("member").alias("b")).distinct()
     links = shared_checkpoint(_verified(stars, texts, threshold))
-    rows = _open_groups(groups, _labels(links))
+    rows = shared_checkpoint(_open_groups(groups, _labels(links)))
     more = shared_checkpoint(_verified(_second_stars(rows), texts, threshold))
     if not more.isEmpty():
         links = links.unionByName(more)
-        rows = _open_groups(groups, _labels(links))
+        rows = shared_checkpoint(_open_groups(groups, _labels(links)))
     more = shared_checkpoint(_cell_links(_open_cells(rows), groups, texts, threshold))
     free_shuffles(spark)
     components = connected_components(links.unionByName(more))
