@@ -27,6 +27,17 @@ def test_every_query_has_an_oracle_or_is_listed():
     assert set(ORACLE) <= set(QUERIES)
 
 
+@pytest.mark.parametrize("missing", ["corpus_pipeline", "strata.llm", "strata.llm.registry", "public_tokenizers"])
+def test_core_queries_stay_when_the_corpus_part_cannot_be_imported(monkeypatch, missing):
+    import sys
+
+    for name in [n for n in sys.modules if n == "corpus_pipeline" or n.startswith("strata.llm")]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, missing, None)
+    monkeypatch.delattr("strata.llm", raising=False)
+    assert set(entry.queries()) == set(QUERIES) and set(entry.oracle_sql()) == set(ORACLE)
+
+
 @pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, key):
     df = QUERIES[key](spark, SF_SMALL)
