@@ -5,6 +5,10 @@ of each entity: its first and last time, its latest row, counts and sums. A time
 watermark has passed its last event by ``expiry``; a later event starts anew. Each trigger writes the lives it
 touched to a folder of its own, replaced if the trigger runs again, and ``lives`` reads the last state of each.
 
+The lives of many entities stand in one entry of the store, a bucket by the entity's hash: a call of Python and a state that
+is read and written cost milliseconds, so they are paid once for each bucket and trigger, and an entity costs microseconds.
+Each life keeps a timer of its own in its bucket, whose timer is the earliest of them.
+
 Before the shuffle, events of one entity in an Arrow batch are combined into runs, so an entity that has most of
 the events sends a row a batch and not a row an event. A run is part of one life whatever other tasks hold.
 """
@@ -32,7 +36,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 RUN = "entity long, first long, last long, last_id long, last_type string, n long, cents long"
 LIFE = "entity long, life long, first long, last long, last_id long, last_type string, n long, cents long, closed boolean"
-STATE = "life long, first long, last long, last_id long, last_type string, n long, cents long"
+STATE = "lives binary"  # the current lives of a bucket as an Arrow table of HELD
+
+#: Entries of the store that the entities are dealt out to, the same for the life of a checkpoint.
+BUCKETS = 256
+HELD = pa.schema([("entity", pa.int64()), ("timer", pa.int64()), ("life", pa.int64()), ("first", pa.int64()), ("last", pa.int64()),
+                  ("last_id", pa.int64()), ("last_type", pa.string()), ("n", pa.int64()), ("cents", pa.int64())])
 
 
 def combine_runs(ev: pd.DataFrame, expiry: int) -> pd.DataFrame:
@@ -89,45 +98,66 @@ def _runs(stream: DataFrame, entity: str, ts: str, event_id: str, kind: str, val
     return events.mapInArrow(run, RUN).withColumn("last_ts", F.timestamp_micros("last"))
 
 
+def _packed(held: dict[int, tuple]) -> bytes:
+    """Lives by entity, (timer, life, first, last, last_id, last_type, n, cents), as bytes."""
+    columns = zip(*[(entity, *life) for entity, life in held.items()], strict=True)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, HELD) as out:
+        out.write_table(pa.table([pa.array(c, f.type) for c, f in zip(columns, HELD, strict=True)], schema=HELD))
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(held: bytes) -> dict[int, tuple]:
+    columns = [c.to_pylist() for c in pa.ipc.open_stream(held).read_all().columns]
+    return {entity: life for entity, *life in zip(*columns, strict=True)}
+
+
+def step_entity(held: tuple | None, runs: list[tuple], expiry: int) -> tuple[list[tuple], tuple]:
+    """An entity's state (life, first, last, last_id, last_type, n, cents) after a trigger's runs: (rows for the output, state)."""
+    own, before = (held[0], list(held[1:])) if held else (None, None)
+    ended, life = fold(before, runs, expiry)
+    rows = []
+    for x in ended:
+        same = before is not None and own is not None and x[0] <= own <= x[1]
+        rows.append((own if same else x[0], *x, True))
+    if own is None or not life[0] <= own <= life[1]:
+        own = life[0]
+    rows.append((own, *life, False))
+    return rows, (own, *life)
+
+
 def keep_lives(stream: DataFrame, entity: str, ts: str, event_id: str, kind: str, value: str, expiry_seconds: int,
-               delay: str) -> DataFrame:
+               delay: str, buckets: int = BUCKETS) -> DataFrame:
     """A stream of the lives that each trigger touched (``LIFE``; times in microseconds, ``life`` names a life by the first
     time it was seen with). Rows without entity or time are left out, a NULL value adds 0."""
     expiry, nobody = expiry_seconds * 1_000_000, -(1 << 63)
 
     def step(key, frames, state):
-        life, own = None, None
-        if state.exists:
-            own, *life = state.get
-            life = list(life)
-        if state.hasTimedOut:
+        held = _unpacked(state.get[0]) if state.exists else {}
+        now, rows, touched = state.getCurrentWatermarkMs(), [], {}
+        if not state.hasTimedOut:
+            for f in frames:
+                for e, *run in f[["entity", "first", "last", "last_id", "last_type", "n", "cents"]].itertuples(index=False, name=None):
+                    if e != nobody:  # the row that ends a stream has moved the watermark
+                        touched.setdefault(e, []).append(tuple(run))
+        for e, runs in touched.items():
+            out, life = step_entity(held[e][1:] if e in held else None, runs, expiry)
+            rows += [(e, *r) for r in out]
+            held[e] = (max((life[2] + expiry) // 1000 + 1, now + 1), *life)
+        for e in [e for e, x in held.items() if x[0] < now and e not in touched]:
+            rows.append((e, *held.pop(e)[1:], True))
+        if held:
+            state.update((_packed(held),))
+            state.setTimeoutTimestamp(max(min(x[0] for x in held.values()), now + 1))
+        elif state.exists:
             state.remove()
-            yield _out(key[0], [(own, life, True)])
-            return
-        runs = [tuple(r) for f in frames for r in
-                f[["first", "last", "last_id", "last_type", "n", "cents"]].itertuples(index=False, name=None)]
-        if key[0] == nobody:  # the row that ends a stream has moved the watermark
-            return
-        before = life
-        ended, life = fold(life, runs, expiry)
-        rows = []
-        for x in ended:
-            held = before is not None and own is not None and x[0] <= own <= x[1]
-            rows.append((own if held else x[0], x, True))
-        if own is None or not life[0] <= own <= life[1]:
-            own = life[0]
-        rows.append((own, life, False))
-        state.update((own, *life))
-        state.setTimeoutTimestamp(max((life[1] + expiry) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
-        yield _out(key[0], rows)
+        if rows:
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in LIFE.split(", ")])
 
     runs = _runs(stream, entity, ts, event_id, kind, value, expiry).withWatermark("last_ts", delay)
-    return runs.groupBy("entity").applyInPandasWithState(step, LIFE, STATE, "update", GroupStateTimeout.EventTimeTimeout)
-
-
-def _out(entity: int, rows: list) -> pd.DataFrame:
-    return pd.DataFrame([(int(entity), int(own), *life, closed) for own, life, closed in rows],
-                        columns=[c.split()[0] for c in LIFE.split(", ")])
+    bucket = F.pmod(F.xxhash64("entity"), F.lit(buckets)).cast("int")
+    return runs.withColumn("bucket", bucket).groupBy("bucket").applyInPandasWithState(
+        step, LIFE, STATE, "update", GroupStateTimeout.EventTimeTimeout)
 
 
 def start_lives(spark: SparkSession, source_dir: str, schema: T.StructType, table_path: str, checkpoint: str,

@@ -168,3 +168,23 @@ def test_a_hot_entity_sends_a_row_a_batch(spark):
                                   F.lit(1).alias("user_id"), F.lit("x").alias("event_type"), F.lit(1.0).alias("value"))
     runs = state._runs(ev, "user_id", "ts", "event_id", "event_type", "value", 60 * 10**6)
     assert runs.count() <= ev.rdd.getNumPartitions() * 2 and runs.agg(F.sum("n")).first()[0] == 5000
+
+
+def test_many_entities_share_an_entry_of_the_store(spark, tmp_out):
+    """The store's entries, and with them the calls of Python, grow with the buckets and not with the entities."""
+    r = random.Random(6)
+    files = [[(1000 * k + i, at(60 * k + r.randrange(60)), r.randrange(80), r.choice("ab"), r.randrange(1000) / 100) for i in range(120)]
+             for k in range(4)]
+    for rows in files:
+        write_file(spark, f"{tmp_out}/src", rows)
+    windows.end_stream(spark, f"{tmp_out}/src", schema(spark), "ts")
+    q = state.start_lives(spark, f"{tmp_out}/src", schema(spark), f"{tmp_out}/out", f"{tmp_out}/ck", entity="user_id", ts="ts",
+                          event_id="event_id", kind="event_type", value="value", expiry_seconds=EXPIRY * 60, delay="20 minutes",
+                          buckets=3)
+    q.awaitTermination()
+    held = [op["numRowsTotal"] for p in q.recentProgress for op in p["stateOperators"]]
+    assert 1 <= max(held) <= 3 and held[-1] == 0
+    out = state.lives(spark, f"{tmp_out}/out")
+    got = out.select("entity", "first", "last", "last_id", "last_type", "n", "cents").collect()
+    assert bag(map(tuple, got)) == bag(brute_lives([e for f in files for e in f]))
+    assert out.where("NOT closed").count() == 0
