@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.asof import asof_join
-from strata.operators.intervals import interval_join
+from strata.operators.asof import asof_join, micros
+from strata.operators.intervals import interval_join, window_counts
 from strata.session import new_output_path
 from strata.sources.tables import read_table
 from strata.streaming import state, windows
@@ -65,16 +65,33 @@ def interval_open_orders(spark, sf):
 
 
 def interval_incidents(spark, sf, minutes=10):
-    """Events and users inside each incident: the minutes after each error, and one that covers all time (id -1)."""
+    """Events and users inside each incident: the minutes after each error, and one that covers all time (id -1).
+
+    Incidents and the events inside them both grow with the events, so their pairs would grow with the square. An incident
+    that is one window of these minutes is joined to the stretch of openings that have its counts, one pair each. Ids
+    with several windows or one without end (users count once over all of them) have their pairs with the events.
+    """
     ev = read_table(spark, sf, "events", EVENT)
     errors = ev.where("event_type = 'error'").select(
         F.col("event_id").alias("incident_id"), F.col("ts").alias("opened"),
         (F.col("ts") + F.expr(f"INTERVAL {minutes} MINUTE")).alias("closed"))
     always = ev.agg(F.min("ts").alias("opened")).select(F.lit(-1).cast("bigint").alias("incident_id"), "opened",
                                                         F.lit(None).cast(ev.schema["ts"].dataType).alias("closed"))
+    incidents = errors.union(always).where(F.col("opened").isNotNull())
+    ids = incidents.groupBy("incident_id").agg(
+        F.count(F.lit(1)).alias("copies"), F.min("opened").alias("first"),
+        ((F.min("opened") == F.max("opened")) & (F.count("closed") == F.count(F.lit(1)))).alias("single"))
+    at = micros(F.col("first"), ev.schema["ts"].dataType)
+    single = ids.where("single").select("incident_id", "copies", at.alias("at"), (at + 1).alias("after"))
+    stretches = window_counts(ev, "ts", "user_id", minutes * 60_000_000)
+    counted = interval_join(single, stretches, ("at", "after"), ("since", "until")).select(
+        "incident_id", (F.col("n_rows") * F.col("copies")).alias("n_events"), F.col("n_distinct").alias("n_users"))
+    several = ids.where("NOT single").select(F.col("incident_id").alias("several"))
+    rest = incidents.join(several, F.col("incident_id").eqNullSafe(F.col("several")), "left_semi")
     points = ev.select("event_id", "user_id", "ts", (F.col("ts") + F.expr("INTERVAL 1 MICROSECOND")).alias("after"))
-    pairs = interval_join(points, errors.union(always), ("ts", "after"), ("opened", "closed"))
-    return pairs.groupBy("incident_id").agg(F.count(F.lit(1)).alias("n_events"), F.countDistinct("user_id").alias("n_users"))
+    pairs = interval_join(points, rest, ("ts", "after"), ("opened", "closed"))
+    return counted.unionByName(pairs.groupBy("incident_id").agg(
+        F.count(F.lit(1)).alias("n_events"), F.countDistinct("user_id").alias("n_users")))
 
 
 # ---------------------------------------------------------------- streams over events

@@ -170,3 +170,53 @@ def test_time_keys_read_whole_tables(spark):
     events = spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
     assert SPARK["asof_last_purchase"](spark, SF_SMALL).count() == events
     assert SPARK["interval_incidents"](spark, SF_SMALL).where("incident_id = -1").first()["n_events"] == events
+
+
+def odd_events(spark, folder, n=300):
+    """Equal times, times a window apart, and missing ids, users and times; some ids stand for several errors."""
+    r = random.Random(11)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(r.choice([None, -1, i, i, i, i, i % 40]), None if r.random() < 0.05 else t0 + dt.timedelta(minutes=r.randrange(90)),
+             None if r.random() < 0.1 else r.randrange(12), r.choice(["error", "error", "view"]), 1.0) for i in range(n)]
+    rows += [(900, t0, 1, "error", 1.0)] * 2 + [(901, t0 - dt.timedelta(microseconds=1), 1, "error", 1.0)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double").repartition(5) \
+        .write.parquet(f"{folder}/events.parquet")
+
+
+def test_incidents_of_odd_events_equal_the_sql(spark, tmp_out):
+    import duckdb
+    from strata.plans.registry_time import ORACLE, SPARK
+
+    odd_events(spark, tmp_out)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_out}/events.parquet/*.parquet'")
+    got = SPARK["interval_incidents"](spark, tmp_out)
+    assert bag(tuple(x) for x in got.select("incident_id", "n_events", "n_users").collect()) == bag(con.execute(ORACLE["interval_incidents"]).fetchall())
+
+
+def test_incidents_do_not_make_pairs_with_the_square_of_the_events(spark, tmp_out, monkeypatch):
+    """600 errors within ten minutes: an incident has one pair, the one over all time one for each event."""
+    from strata.plans import registry_time
+
+    n, made = 600, []
+    spark.range(n).selectExpr("id AS event_id", "TIMESTAMP_NTZ'2024-01-01' + make_dt_interval(0, 0, 0, id) AS ts", "id % 7 AS user_id",
+                              "'error' AS event_type", "1.0D AS value").write.parquet(f"{tmp_out}/events.parquet")
+    plain = registry_time.interval_join
+    monkeypatch.setattr(registry_time, "interval_join", lambda *a, **k: made.append(plain(*a, **k)) or made[-1])
+    got = {r.incident_id: (r.n_events, r.n_users) for r in registry_time.SPARK["interval_incidents"](spark, tmp_out).collect()}
+    assert got == {-1: (n, 7)} | {i: (n - i, min(7, n - i)) for i in range(n)}
+    assert sum(d.count() for d in made) == 2 * n
+
+
+def test_window_counts_match_brute_force(spark):
+    from strata.operators.intervals import window_counts
+
+    r = random.Random(12)
+    rows = [(None if r.random() < 0.1 else r.randrange(5), None if r.random() < 0.05 else r.randrange(-60, 60)) for _ in range(150)]
+    got = window_counts(spark.createDataFrame(rows, "e long, t long").repartition(4), "t", "e", 7).collect()
+    found = {a: (x.n_rows, x.n_distinct) for x in got for a in range(x.since, x.until)}
+    assert len(found) == sum(x.until - x.since for x in got)
+    for a in range(-80, 80):
+        inside = [e for e, t in rows if t is not None and a <= t < a + 7]
+        assert found.get(a, (0, 0)) == (len(inside), len({e for e in inside if e is not None}))
+    assert window_counts(spark.createDataFrame([], "e long, t long"), "t", "e", 7).collect() == []
