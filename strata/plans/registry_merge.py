@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from strata.operators import bitmaps, frames, hierarchy, sketches
 from strata.operators.ranking import with_row_number
 from strata.plans.oracle import r_up
-from strata.session import new_output_path
+from strata.session import new_output_path, partitions_for
 from strata.sources.tables import read_table
 
 QUANTILES = (0.5, 0.9, 0.99)
@@ -87,11 +87,12 @@ def groups_frame_priority(spark, sf):
 def hierarchy_orders(spark, sf):
     """Orders as chains (an order's parent is its customer's order before): totals of all later ones."""
     o = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"])
-    n = with_row_number(o, [F.col("o_orderdate"), F.col("o_orderkey")], "k", by=["o_custkey"])
-    before = n.select(F.col("o_custkey").alias("c"), (F.col("k") + 1).alias("k2"), F.col("o_orderkey").alias("parent"))
-    chain = n.join(before, (F.col("o_custkey") == F.col("c")) & (F.col("k") == F.col("k2")), "left")
-    chain = chain.select("o_orderkey", "parent", F.col("o_totalprice").cast("decimal(18,2)").alias("price"))
-    return hierarchy.closure_totals(chain, "o_orderkey", "parent", "price")
+    with partitions_for(spark, o.count()):
+        n = with_row_number(o, [F.col("o_orderdate"), F.col("o_orderkey")], "k", by=["o_custkey"])
+        before = n.select(F.col("o_custkey").alias("c"), (F.col("k") + 1).alias("k2"), F.col("o_orderkey").alias("parent"))
+        chain = n.join(before, (F.col("o_custkey") == F.col("c")) & (F.col("k") == F.col("k2")), "left")
+        chain = chain.select("o_orderkey", "parent", F.col("o_totalprice").cast("decimal(18,2)").alias("price"))
+        return hierarchy.closure_totals(chain, "o_orderkey", "parent", "price")
 
 
 SPARK = {

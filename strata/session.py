@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -76,10 +78,27 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
+#: Rows that a task of a shuffle takes at most, in steps that know how many there are.
+ROWS_A_TASK = 500_000
+
+
+@contextmanager
+def partitions_for(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Shuffles run here have the session's partitions, or more where a task would have more than ``ROWS_A_TASK`` of so many
+    rows: a task's memory does not grow with the input. Adaptive execution still joins small ones and splits skewed ones."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(max(int(before), -(-rows // ROWS_A_TASK))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def new_output_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder (never reused, never deleted here)."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/strata-out/{name}-{uuid.uuid4().hex[:12]}"
 
 
-__all__ = ["local_session", "cluster_settings", "shared_dir", "new_output_path"]
+__all__ = ["local_session", "cluster_settings", "shared_dir", "partitions_for", "new_output_path"]

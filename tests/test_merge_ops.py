@@ -200,3 +200,23 @@ def test_closure_of_a_star_and_an_empty_table(spark):
     got = {r.n: (r.root, r.depth, r.n_below, r.total) for r in hierarchy.closure_totals(star, "n", "p", "v").collect()}
     assert got[0] == (0, 0, 999, 1000) and all(got[i] == (0, 1, 0, 1) for i in range(1, 1000))
     assert hierarchy.closure_totals(star.limit(0), "n", "p", "v").collect() == []
+
+
+def test_a_task_of_a_hierarchy_has_bounded_rows(spark, monkeypatch):
+    """Each round, and the numbering of the orders, shuffles into partitions by the number of rows; the session keeps its own."""
+    from pyspark.sql.classic.dataframe import DataFrame
+    from strata import session
+    from strata.plans.registry_merge import SPARK
+
+    from .conftest import SF_SMALL
+
+    name, seen, plain = "spark.sql.shuffle.partitions", [], DataFrame.checkpoint
+    before, n = spark.conf.get(name), spark.read.parquet(f"{SF_SMALL}/orders.parquet").count()
+    monkeypatch.setattr(session, "ROWS_A_TASK", n // 9)
+    monkeypatch.setattr(DataFrame, "checkpoint", lambda self, eager=True: seen.append(int(spark.conf.get(name))) or plain(self, eager))
+    assert SPARK["hierarchy_orders"](spark, SF_SMALL).count() == n
+    assert len(seen) >= 6 and min(seen) >= 9 and spark.conf.get(name) == before
+    seen.clear()
+    df = spark.range(4000).select(F.col("id").alias("n"), (F.col("id") - 1).alias("p"), F.lit(1).alias("v"))
+    assert hierarchy.closure_totals(df, "n", "p", "v").where("depth = n AND total = 4000 - n").count() == 4000
+    assert min(seen[1:]) >= -(-4000 // (n // 9)) and spark.conf.get(name) == before
