@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.asof import asof_join, micros
 from strata.operators.intervals import interval_join, window_counts
-from strata.session import new_output_path
+from strata.session import new_output_path, shared_dir
 from strata.sources.tables import read_table
 from strata.streaming import state, windows
 
@@ -48,16 +48,18 @@ def asof_next_order(spark, sf):
 
 
 # ---------------------------------------------------------------- interval overlap joins
-def _open_orders(spark, sf, names):
+def _open_orders(spark, sf):
+    """Orders with the day of their last shipment, written once: both sides of a join read them."""
     shipped, orders = _shipments(spark, sf)
     last = shipped.groupBy("l_orderkey").agg(F.max("l_shipdate").alias("done"))
-    return last.join(orders, last.l_orderkey == orders.o_orderkey).select(
-        "o_custkey", *[F.col(c).alias(n) for c, n in zip(("o_orderkey", "o_orderdate", "done"), names, strict=True)])
+    shared_dir(spark)
+    return last.join(orders, last.l_orderkey == orders.o_orderkey).select("o_custkey", "o_orderkey", "o_orderdate", "done").checkpoint()
 
 
 def interval_open_orders(spark, sf):
     """Pairs of orders of one customer that were open (from order to last shipment) at the same time."""
-    a, b = (_open_orders(spark, sf, [f"{n}_{k}" for n in ("order", "from", "until")]) for k in "ab")
+    orders = _open_orders(spark, sf)
+    a, b = (orders.toDF("o_custkey", *[f"{n}_{k}" for n in ("order", "from", "until")]) for k in "ab")
     pairs = interval_join(a, b, ("from_a", "until_a"), ("from_b", "until_b"), by=["o_custkey"])
     return pairs.where("order_a < order_b").select(
         "o_custkey", "order_a", "order_b", F.greatest("from_a", "from_b").alias("overlap_from"),

@@ -220,3 +220,15 @@ def test_window_counts_match_brute_force(spark):
         inside = [e for e, t in rows if t is not None and a <= t < a + 7]
         assert found.get(a, (0, 0)) == (len(inside), len({e for e in inside if e is not None}))
     assert window_counts(spark.createDataFrame([], "e long, t long"), "t", "e", 7).collect() == []
+
+
+def test_open_orders_read_the_lines_once(spark, monkeypatch):
+    """Levels, counts of visitors and both joins read what has been written: the lines are joined to the orders once."""
+    from strata.plans import registry_time
+
+    read, plain = [], registry_time.read_table
+    monkeypatch.setattr(registry_time, "read_table", lambda spark, sf, name, *a: read.append(name) or plain(spark, sf, name, *a))
+    out = registry_time.SPARK["interval_open_orders"](spark, SF_SMALL)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert read.count("lineitem") == 1 and "lineitem.parquet" not in plan and "l_shipdate" not in plan
+    assert out.count() == out.where("overlap_from <= overlap_until").count() > 0
