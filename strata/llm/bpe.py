@@ -2,7 +2,10 @@
 
 A pattern cuts a text into pieces (words with the space before them, numbers, signs, white space), bytes
 become the characters that stand for them, and the library's BPE model encodes each piece. Pieces mostly
-recur, so each worker keeps the ids of some ``CACHE`` recent pieces (twice as many at most, and those of a text); that never changes a result.
+recur, so each worker keeps the ids of some ``CACHE`` recent pieces (twice as many at most, and those of a run); that never changes a result.
+Texts of Latin-1 characters go in runs of ``RUN`` characters: piece starts are found for the whole run at once
+(``starts``), and each distinct piece of the run is looked up once. Other texts, and other patterns than ``SPLIT``,
+are cut by regular expressions.
 
 ``encode`` gives ids, and on request the byte and character span of each id (one character may be split over
 several ids; such ids share its span). ``decode`` reverses the byte table: ids give bytes, also where an id
@@ -23,7 +26,12 @@ from pyspark.sql import DataFrame
 
 from strata.llm.common import id_text, limit_batches, text_rows
 
-CACHE = 200_000
+CACHE, RUN = 400_000, 4 << 20
+#: The pattern that ``starts`` follows.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Of each Latin-1 character: 0 white space, 1 a sign, 2 a letter, 3 a number.
+_KIND = np.array([next((k for k, c in ((0, r"\s"), (2, r"\p{L}"), (3, r"\p{N}")) if regex.match(c, chr(b))), 1)
+                  for b in range(256)], dtype=np.uint8)
 _WORKER: dict = {}
 
 
@@ -60,6 +68,34 @@ def _latin(pattern: str) -> str:
             .replace(r"\p{N}", f"[{numbers}]").replace(r"\S", f"[^{spaces}]").replace(r"\s", f"[{spaces}]"))
 
 
+def starts(data: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Where ``SPLIT`` starts a piece, of Latin-1 characters; texts start at ``first`` (none is empty)."""
+    kind = _KIND[data]
+    new = np.ones(len(data), dtype=bool)
+    np.not_equal(kind[1:], kind[:-1], out=new[1:])
+    new[first] = True
+    # the last white space before something else is a piece of its own, or a space that belongs to what follows
+    last = np.flatnonzero((kind[:-1] == 0) & new[1:])
+    opens = np.zeros(len(data), dtype=bool)
+    opens[first] = True
+    last = last[~opens[last + 1]]
+    new[last] = True
+    new[last[data[last] == 32] + 1] = False
+    quote = np.flatnonzero(data == 39)
+    quote = quote[new[quote]]
+    if len(quote):
+        ends = np.append(first, len(data))
+        room = ends[np.searchsorted(ends, quote, side="right")] - quote
+        a, b = (np.append(data, np.zeros(2, dtype=np.uint8))[quote + i] for i in (1, 2))
+        short = np.isin(a, np.frombuffer(b"stmd", dtype=np.uint8)) & (room > 1)
+        long = (np.isin(a, np.frombuffer(b"rv", dtype=np.uint8)) & (b == ord("e")) | (a == ord("l")) & (b == ord("l"))) & (room > 2)
+        for on, n in ((short, 2), (long, 3)):
+            new[quote[on] + 1] = False
+            end = quote[on] + n
+            new[end[end < len(data)]] = True
+    return new
+
+
 class _Pieces(dict):
     """ids of pieces, as bytes; what is missing is made."""
 
@@ -81,7 +117,7 @@ class PieceEncoder:
 
     def __init__(self, model, pattern: str):
         self.model, self.any, self.latin = model, regex.compile(pattern).findall, re.compile(_latin(pattern)).findall
-        self.kept, self.old = _Pieces(self._ids), {}
+        self.runs, self.kept, self.old = pattern == SPLIT, _Pieces(self._ids), {}
         self.shown = dict(enumerate(byte_characters()))
 
     def cut(self, text: str) -> list[str]:
@@ -94,19 +130,55 @@ class PieceEncoder:
     def _ids(self, piece: str) -> bytes:
         ids = self.old.get(piece)
         if ids is None:
-            if piece.isascii() and piece[1:].isalnum() and piece[0] == " ":
-                shown = self.shown[32] + piece[1:]
+            if piece.isascii() and piece.isprintable():  # all but the space stand for themselves
+                shown = piece.replace(" ", self.shown[32])
             else:
                 shown = piece.encode("utf-8", "replace").decode("latin-1").translate(self.shown)
             ids = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
         return ids
 
+    def _ids_of(self, pieces: list[str]) -> list[bytes]:
+        if len(self.kept) > CACHE:  # used pieces return from the old generation, others go with it
+            self.old, self.kept = dict(self.kept), _Pieces(self._ids)
+        return list(map(self.kept.__getitem__, pieces))
+
+    def _encode_run(self, texts: list[bytes]) -> list[np.ndarray]:
+        """ids of Latin-1 texts, none empty."""
+        edges = np.cumsum([0, *map(len, texts)])
+        data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+        begin = np.flatnonzero(starts(data, edges[:-1]))
+        offsets = np.append(begin, len(data)).astype(np.int32)
+        pieces = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+        own = self._ids_of([p.decode("latin-1") for p in pieces.dictionary.to_pylist()])
+        ids = pa.array(own, pa.large_binary()).take(pieces.indices)
+        ends = np.frombuffer(ids.buffers()[1], dtype=np.int64)[ids.offset:ids.offset + len(ids) + 1] // 4
+        flat = np.frombuffer(ids.buffers()[2], dtype=np.uint32, count=int(ends[-1]))
+        cuts = ends[np.searchsorted(begin, edges)].tolist()
+        return [flat[x:y] for x, y in zip(cuts, cuts[1:], strict=False)]
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        out = []
-        for t in texts:
-            if len(self.kept) > CACHE:  # used pieces return from the old generation, others go with it
-                self.old, self.kept = dict(self.kept), _Pieces(self._ids)
-            out.append(np.frombuffer(b"".join(map(self.kept.__getitem__, self.cut(t))), dtype=np.uint32))
+        out, at, run, held = [np.zeros(0, dtype=np.uint32)] * len(texts), [], [], 0
+
+        def flush():
+            for i, ids in zip(at, self._encode_run(run), strict=True):
+                out[i] = ids
+
+        for i, t in enumerate(texts):
+            try:
+                data = t.encode("latin-1") if self.runs else None
+            except UnicodeEncodeError:
+                data = None
+            if data is None:
+                out[i] = np.frombuffer(b"".join(self._ids_of(self.cut(t))), dtype=np.uint32)
+            elif data:
+                at.append(i)
+                run.append(data)
+                held += len(data)
+                if held >= RUN:
+                    flush()
+                    at, run, held = [], [], 0
+        if run:
+            flush()
         return out
 
 

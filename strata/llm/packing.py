@@ -30,6 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.llm.bpe import RUN
 from strata.llm.common import id_text, limit_batches, shared_path, slices, text_rows
 from strata.llm.token_store import file_encoder
 
@@ -52,7 +53,7 @@ def pieces(docs: DataFrame, tokenizer: str, pattern: str, end_id: int, size: int
         encoder, part = file_encoder(tokenizer, pattern), TaskContext.get().partitionId()
         end, made = np.array([end_id], dtype=f"<u{width}").tobytes(), [0] * (size + 1)
         for ids, texts in text_rows(batches):
-            for keys, some in slices(ids, texts):
+            for keys, some in slices(ids, texts, RUN):
                 rows = []
                 for k, tokens in zip(keys, encoder.encode(some), strict=True):
                     raw = tokens.astype(f"<u{width}").tobytes() + end

@@ -176,6 +176,39 @@ def test_ids_match_the_other_library_and_decode(reference_encoding, text):
     assert all(data[a:b].decode(errors="ignore") in text[x:y] for a, b, x, y in spans)
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text(st.characters(max_codepoint=255) | st.sampled_from("   \n\t\xa0''stmdrevl1.a"), max_size=40), max_size=6))
+def test_pieces_of_a_run_start_where_the_pattern_cuts(texts):
+    texts = [t for t in texts if t]
+    own = bpe.codec(RANKS, PATTERN).encoder
+    assert bpe.SPLIT == PATTERN
+    cut = [own.any(t) for t in texts]
+    assert cut == [own.cut(t) for t in texts]
+    if texts:
+        data = np.frombuffer("".join(texts).encode("latin-1"), dtype=np.uint8)
+        got = bpe.starts(data, np.cumsum([0, *map(len, texts)])[:-1])
+        assert np.flatnonzero(got).tolist() == np.cumsum([0, *(len(p) for c in cut for p in c)])[:-1].tolist()
+
+
+def test_a_run_looks_up_each_distinct_piece_once(reference_encoding, monkeypatch):
+    own = bpe.PieceEncoder(bpe.codec(RANKS, PATTERN).encoder.model, PATTERN)
+    asked, made = [], own._ids_of
+    monkeypatch.setattr(own, "_ids_of", lambda pieces: asked.extend(pieces) or made(pieces))
+    texts = [prose(i, 50) for i in range(40)] * 5 + ["", "\u20ac then \u00e9"]
+    got = own.encode(texts)
+    assert [x.tolist() for x in got] == reference_encoding.encode_ordinary_batch(texts)
+    assert len(asked) - len(own.cut(texts[-1])) == len({p for t in texts[:-1] for p in own.cut(t)})
+
+
+@pytest.mark.parametrize("run", [1, 300])
+def test_ids_do_not_depend_on_runs_and_cache(reference_encoding, monkeypatch, run):
+    monkeypatch.setattr(bpe, "RUN", run)
+    monkeypatch.setattr(bpe, "CACHE", 5)
+    texts = [t or "" for _, t in hard_rows()] + ["it's we'll\n\n  they're'd  ", "  ", "caf\u00e9  \u4f60'll"]
+    own = bpe.PieceEncoder(bpe.codec(RANKS, PATTERN).encoder.model, PATTERN)
+    assert [x.tolist() for x in own.encode(texts)] == reference_encoding.encode_ordinary_batch(texts)
+
+
 def test_round_trip_on_hard_rows(spark, reference_encoding):
     expected = []
     for k, t in hard_rows():
