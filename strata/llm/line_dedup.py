@@ -33,7 +33,7 @@ from strata.llm.components import connected_components
 
 SHINGLE, ROWS, BANDS, THRESHOLD = 8, 4, 16, 0.8
 CELL, CENTRES = 256, 8
-BLOCK_BYTES, PIECE_BYTES, BUCKET_BYTES = 8 << 20, 1 << 20, 4 << 20
+BLOCK_BYTES, PIECE_BYTES, BUCKET_BYTES = 8 << 20, 1 << 18, 4 << 20  # a piece's words stay in the processor's cache
 _U, _MAX = np.uint64, np.iinfo(np.uint64).max
 _LEAST = -(1 << 63)  # stands for a null doc_id
 _A, _B = _U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93)
@@ -53,6 +53,17 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
+def _words(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All shingles of the lines as 64-bit words, line after line, and their numbers; no line is shorter than one."""
+    n = np.array([len(x) - SHINGLE + 1 for x in lines], dtype=np.int64)
+    data = b"".join(lines)
+    inside = np.ones(len(data) - SHINGLE + 1, dtype=bool)
+    ends = np.cumsum(n + SHINGLE - 1)[:-1]
+    for i in range(1, SHINGLE):  # no shingle crosses from a line to the next
+        inside[ends - i] = False
+    return np.ndarray(len(inside), dtype="<u8", buffer=data, strides=(1,))[inside], n
+
+
 def signatures(lines: list[bytes]) -> np.ndarray:
     """One row of BANDS * ROWS minima for each line."""
     bins = BANDS * ROWS
@@ -60,17 +71,17 @@ def signatures(lines: list[bytes]) -> np.ndarray:
     pieces, rows, size = [], [], 0
 
     def flush():
-        n = np.array([len(p) - SHINGLE + 1 for p in pieces], dtype=np.int64)
-        data = b"".join(pieces)
-        h = _mix(np.ndarray(len(data) - 7, dtype="<u8", buffer=data, strides=(1,)) * _A)
-        lengths = n + SHINGLE - 1
-        inside = np.ones(len(data) - 7, dtype=bool)
-        ends = np.cumsum(lengths)[:-1]
-        for i in range(1, SHINGLE):  # no shingle crosses from a piece to the next
-            inside[ends - i] = False
-        h = h[inside]
-        row = np.repeat(np.array(rows, dtype=np.int64) * bins, n)
-        np.minimum.at(out, row + (((h >> _U(32)) * _U(bins)) >> _U(32)).astype(np.int64), h)
+        h, n = _words(pieces)
+        h *= _A
+        h ^= h >> _U(32)  # _mix, in place
+        h *= _B
+        h ^= h >> _U(31)
+        at = h >> _U(32)
+        at *= _U(bins)
+        at >>= _U(32)
+        at = at.view(np.int64)
+        at += np.repeat(np.array(rows, dtype=np.int64) * bins, n)
+        np.minimum.at(out, at, h)
 
     for row, line in enumerate(lines):
         line = line.ljust(SHINGLE, b"\0")
@@ -233,22 +244,49 @@ def _texts_of(docs: DataFrame, wanted: DataFrame, first: DataFrame) -> DataFrame
     return docs.join(need, here).select("text", "need").mapInArrow(run, "id long, text binary").dropDuplicates(["id"])
 
 
+def _alike(pairs: list[tuple[bytes, bytes]], threshold: float) -> list[bool]:
+    """Whether the shingle sets of each pair are that similar; a line stands in many pairs."""
+    row = {}
+    for pair in pairs:
+        for x in pair:
+            row.setdefault(x, len(row))
+    words, n = _words([x.ljust(SHINGLE, b"\0") for x in row])
+    ends = np.cumsum(n)
+    first = ends - n
+    for x, y in zip(first.tolist(), ends.tolist(), strict=True):
+        words[x:y].sort()
+    new = np.ones(len(words), dtype=bool)
+    np.not_equal(words[1:], words[:-1], out=new[1:])
+    new[first] = True
+    size = np.add.reduceat(new, first, dtype=np.int64)
+    sets = np.split(words[new], np.cumsum(size)[:-1])
+    at = np.array([[row[x], row[y]] for x, y in pairs])
+    both = np.concatenate([sets[i] for i in at.ravel().tolist()])
+    total = size[at].sum(axis=1)
+    ends = np.cumsum(total)
+    first = ends - total
+    for x, y in zip(first.tolist(), ends.tolist(), strict=True):
+        both[x:y].sort(kind="stable")  # merges two sorted runs
+    again = np.zeros(len(both), dtype=bool)
+    np.equal(both[1:], both[:-1], out=again[1:])
+    again[first] = False
+    common = np.add.reduceat(again, first, dtype=np.int64)
+    return (common >= threshold * (total - common)).tolist()
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) whose lines are that similar."""
     def run(batches):
         for b in batches:
-            sets = {}  # a line stands in many pairs
-
-            def of(line):
-                if line not in sets:
-                    sets[line] = _shingle_words(line)
-                return sets[line]
-
-            on = []
-            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-                x, y = of(x), of(y)
-                both = _overlap(x, y)
-                on.append(both >= threshold * (len(x) + len(y) - both))
+            on, some, size = [], [], 0
+            for pair in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+                some.append(pair)
+                size += len(pair[0]) + len(pair[1])
+                if size >= PIECE_BYTES:
+                    on += _alike(some, threshold)
+                    some, size = [], 0
+            if some:
+                on += _alike(some, threshold)
             yield b.select([0, 1]).filter(pa.array(on, pa.bool_()))
         trim()
 
@@ -466,7 +504,8 @@ def _kept(text: str, gone) -> tuple[list[str], int]:
     marks = {(r["line"], r["id"]) for r in gone or ()}
     if not marks:
         return lines, 0
-    stay = [x for n, x in enumerate(lines) if (n, line_id(normal(x))) not in marks]
+    at = {n for n, _ in marks}
+    stay = [x for n, x in enumerate(lines) if n not in at or (n, line_id(normal(x))) not in marks]
     return stay, len(lines) - len(stay)
 
 

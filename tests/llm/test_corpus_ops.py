@@ -211,6 +211,22 @@ def test_signatures_depend_on_the_line_alone(own):
         assert (line_dedup.signatures([x])[0] == together[i]).all()
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(*[st.text("abc", min_size=1, max_size=40).map(str.encode)] * 2), min_size=1, max_size=8),
+       st.sampled_from([0.1, 0.5, 0.8]))
+def test_pairs_are_compared_together_as_one_by_one(pairs, threshold):
+    pairs = pairs + [(x, x[:len(x) // 2] + x) for x, _ in pairs] + [(b"a" * 50, b"a" * 49), (b"a", b"a\0")]
+    of = [[{v[i:i + 8] for i in range(max(1, len(v) - 7))} for v in (x.ljust(8, b"\0"), y.ljust(8, b"\0"))] for x, y in pairs]
+    assert line_dedup._alike(pairs, threshold) == [len(s & t) >= threshold * len(s | t) for s, t in of]
+
+
+def test_signatures_do_not_depend_on_pieces(monkeypatch):
+    own = [prose(i, 3 + i).encode() for i in range(40)] + [b"x", b"ab" * 3000]
+    whole = line_dedup.signatures(own)
+    monkeypatch.setattr(line_dedup, "PIECE_BYTES", 64)
+    assert (line_dedup.signatures(own) == whole).all()
+
+
 # op 8
 
 def toxic_corpus(n=300):
