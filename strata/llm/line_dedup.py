@@ -162,7 +162,7 @@ def _packed_bands(docs: DataFrame, bits: int) -> DataFrame:
             keys = band_keys(lines)
             ids = np.repeat(ids, BANDS)
             keys = keys.reshape(-1)
-            at = (keys >> _U(64 - bits)).astype(np.int64)
+            at = (keys >> _U(64 - bits)).astype(np.uint16 if bits <= 16 else np.int64)  # short ones take a radix sort
             order = np.argsort(at, kind="stable")
             band = (np.arange(len(keys)) % BANDS).astype(np.uint64)[order]
             at, ids = at[order], ids[order]
@@ -191,7 +191,9 @@ def _packed_bands(docs: DataFrame, bits: int) -> DataFrame:
 
 
 def _groups(bands: DataFrame) -> DataFrame:
-    """(key, member, pivot): the distinct lines of each band key that has several; pivot is the smallest."""
+    """(pivot, n, members, key): the n distinct lines of each band key that has several, sorted, in rows of at most
+    ``CELL``; pivot is the smallest. Groups of the same members, as near lines have in many bands, are one, of the
+    smallest key; those of several rows stay as they are."""
     def run(group: pa.Table) -> pa.Table:
         bucket = group.column("bucket")[0].as_py()
         keys, ids = [], []
@@ -200,7 +202,7 @@ def _groups(bands: DataFrame) -> DataFrame:
             keys.append(np.frombuffer(p, "<u4", n).astype(np.int64) | np.frombuffer(p, np.uint8, n, 4 * n).astype(np.int64) << 32)
             ids.append(np.frombuffer(p, np.int64, n, 5 * n))
         key, own = np.concatenate(keys), np.concatenate(ids)
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         again = key[order[1:]] == key[order[:-1]]
         order = order[np.append(again, False) | np.insert(again, 0, False)] if len(order) else order
         key, own = key[order], own[order]
@@ -213,16 +215,30 @@ def _groups(bands: DataFrame) -> DataFrame:
         first[1:] = key[1:] != key[:-1]
         at = np.cumsum(first) - 1
         several = np.bincount(at)[at] > 1 if len(at) else first
-        pivot = own[np.flatnonzero(first)][at] if len(at) else own
-        return pa.table([pa.array(key[several] | bucket << 40), pa.array(own[several]), pa.array(pivot[several])],
-                        names=["key", "member", "pivot"])
-
-    return bands.groupBy("bucket").applyInArrow(run, "key long, member long, pivot long")
-
-
-def _texts_of(docs: DataFrame, wanted: DataFrame, first: DataFrame) -> DataFrame:
-    """(id, text): the normal lines of the wanted ids, read from where they first stand."""
-    need = wanted.join(first, "id").select("id", "doc", _line("place").cast("int").alias("line"),
+        key, own, first = key[several], own[several], np.flatnonzero(first[several])
+        n = np.diff(np.append(first, len(key)))
+        begin = np.repeat(first, n)
+        cuts = np.flatnonzero((np.arange(len(key)) - begin) % CELL == 0)
+        members = pa.ListArray.from_arrays(pa.array(np.append(cuts, len(key)), pa.int32()), pa.array(own))
+        return pa.table([pa.array(key[cuts] | bucket << 40), pa.array(own[begin[cuts]]), pa.array(np.repeat(n, n)[cuts]), members],
+                        names=["key", "pivot", "n", "members"])
+
+    groups = bands.groupBy("bucket").applyInArrow(run, "key long, pivot long, n long, members array<long>")
+    part = F.when(F.col("n") > F.size("members"), F.col("key"))
+    return groups.groupBy(part.alias("part"), "pivot", "n", "members").agg(F.min("key").alias("key")).drop("part")
+
+
+def _first_places(occurrences: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, doc, place, n, near): the first place and the number of places of the wanted ids (``near``) and of all others
+    that stand more than once; a line that is neither has no duplicate."""
+    first = occurrences.groupBy("id").agg(F.min(F.struct("doc", "place")).alias("p"), F.count("*").alias("n"))
+    return first.join(wanted.withColumn("near", F.lit(True)), "id", "left").where("n > 1 OR near").select(
+        "id", "p.doc", "p.place", "n", "near")
+
+
+def _texts_of(docs: DataFrame, first: DataFrame) -> DataFrame:
+    """(id, text): the normal lines of these ids, read from where they first stand."""
+    need = first.select("id", "doc", _line("place").cast("int").alias("line"),
                                            F.col("place").bitwiseAND(0xFFFFFFFF).alias("key"))
     need = need.groupBy("doc", "key").agg(F.collect_list(F.struct("line", "id")).alias("need"))
 
@@ -307,12 +323,12 @@ def _labels(links: DataFrame) -> DataFrame:
 def _open_groups(groups: DataFrame, labels: DataFrame) -> DataFrame:
     """(key, id, component, main, n, outside): the members of groups in which not all are of one label; main is the label
     that most of the n members have, ``outside`` the number of those that have another."""
+    groups = groups.where("n > 2")  # a group of two is its star
     own = groups.join(labels, groups["member"] == labels["node"], "left").select(
         "key", F.col("member").alias("id"), F.coalesce("label", "member").alias("component"))
     sizes = own.groupBy("key", "component").agg(F.count("*").alias("n"))
     sums = sizes.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts"))
-    # a group of two is its star
-    live = sums.where("n > 2 AND parts > 1").select(
+    live = sums.where("parts > 1").select(
         F.col("key").alias("k"), F.col("top.component").alias("main"), "n", (F.col("n") - F.col("top.n")).alias("outside"))
     live = shared_checkpoint(live)  # so that the join can split a large group
     return own.join(live, F.col("key") == F.col("k")).drop("k")
@@ -374,9 +390,10 @@ def _common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, pairs:
     return out[pairs[:, 0], pairs[:, 1]]
 
 
-def _cell_links(cells: DataFrame, groups: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """Links (a, b) that join components of a cell. A pair is looked at in the first band that it shares."""
-    bands = groups.groupBy("member").agg(F.collect_list("key").alias("bands"))
+def _cell_links(rows: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) that join components of a cell. A pair is looked at in the first band whose open group it shares."""
+    cells = _open_cells(rows)
+    bands = rows.groupBy(F.col("id").alias("member")).agg(F.collect_list("key").alias("bands"))
     held = texts.join(bands, texts["id"] == bands["member"]).select(F.col("id").alias("own"), "text", "bands")
 
     def links(key, i, j, rows) -> list[tuple]:
@@ -443,23 +460,25 @@ def _edges(found: list[tuple]) -> pa.RecordBatch:
                                       names=["a", "b"])
 
 
-def line_components(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """occurrences (id, doc, line) and components (node, component) of the ids that have links."""
+def line_components(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """occurrences (id, doc, place), the first places of lines that may have duplicates, and components
+    (node, component) of the ids that have links."""
     spark = docs.sparkSession
     limit_batches(spark)
     docs = id_text(docs)
     at = shared_path(spark, "lines")
     _occurrences(docs).write.option("compression", "zstd").parquet(f"{at}/occurrences")
     occurrences = spark.read.parquet(f"{at}/occurrences")
-    first = occurrences.groupBy("id").agg(F.min(F.struct("doc", "place")).alias("p")).select("id", "p.doc", "p.place")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bits = min(24, (max(2 * least, size // BUCKET_BYTES + 1) - 1).bit_length())
     _groups(_packed_bands(docs, bits)).write.option("compression", "zstd").parquet(f"{at}/groups")
     free_shuffles(spark)
-    groups = spark.read.parquet(f"{at}/groups")
+    groups = spark.read.parquet(f"{at}/groups").select("key", "pivot", "n", F.explode("members").alias("member"))
     wanted = groups.select(F.col("member").alias("id")).distinct()
-    _texts_of(docs, wanted, first).write.option("compression", "zstd").parquet(f"{at}/texts")
+    _first_places(occurrences, wanted).write.option("compression", "zstd").parquet(f"{at}/first")
+    first = spark.read.parquet(f"{at}/first")
+    _texts_of(docs, first.where("near")).write.option("compression", "zstd").parquet(f"{at}/texts")
     free_shuffles(spark)
     texts = spark.read.parquet(f"{at}/texts")
     stars = groups.where("member != pivot").select(F.col("pivot").alias("a"), F.col("member").alias("b")).distinct()
@@ -469,23 +488,25 @@ def line_components(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Data
     if not more.isEmpty():
         links = links.unionByName(more)
         rows = shared_checkpoint(_open_groups(groups, _labels(links)))
-    more = shared_checkpoint(_cell_links(_open_cells(rows), groups, texts, threshold))
+    more = shared_checkpoint(_cell_links(rows, texts, threshold))
     free_shuffles(spark)
     components = connected_components(links.unionByName(more))
     free_shuffles(spark)
-    return occurrences, components
+    return occurrences, first, components
 
 
 def duplicate_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc, key, gone array<struct<line, id>>): the lines that go from texts of that key; the first line of every
     component stays."""
-    occurrences, components = line_components(docs, threshold)
-    own = occurrences.join(components, occurrences["id"] == components["node"], "left").select(
+    occurrences, first, components = line_components(docs, threshold)
+    own = first.join(components, first["id"] == components["node"], "left").where("n > 1 OR component IS NOT NULL").select(
         "id", F.coalesce("component", "id").alias("c"), "doc", "place")
-    keeper = own.groupBy("c").agg(F.min(F.struct("doc", "place")).alias("keep"), F.count("*").alias("n")).where(
-        "n > 1").select(F.col("c").alias("k"), F.col("keep.doc").alias("keep_doc"), _line("keep.place").alias("keep_line"))
-    keeper = shared_checkpoint(keeper)  # so that the join below can split the places of a frequent line
-    late = own.withColumn("line", _line("place")).join(keeper, F.col("c") == F.col("k")).where(
+    keeper = own.groupBy("c").agg(F.min(F.struct("doc", "place")).alias("keep")).select(
+        F.col("c").alias("k"), F.col("keep.doc").alias("keep_doc"), _line("keep.place").alias("keep_line"))
+    keeper = shared_checkpoint(keeper)  # so that the joins can split a large component, below the places of a frequent line
+    keeper = own.join(keeper, F.col("c") == F.col("k")).select(F.col("id").alias("k"), "keep_doc", "keep_line")
+    keeper = shared_checkpoint(keeper)
+    late = occurrences.withColumn("line", _line("place")).join(keeper, F.col("id") == F.col("k")).where(
         (F.col("doc") != F.col("keep_doc")) | (F.col("line") != F.col("keep_line")))
     late = late.select("doc", F.col("place").bitwiseAND(0xFFFFFFFF).alias("key"), F.col("line").cast("int").alias("line"), "id")
     return late.groupBy("doc", "key").agg(F.collect_set(F.struct("line", "id")).alias("gone"))

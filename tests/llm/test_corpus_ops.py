@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -178,6 +179,38 @@ def test_cells_of_a_family_grow_with_it_and_not_with_its_square(spark, monkeypat
     assert sizes[1] <= 2.2 * max(sizes[0], 400), sizes
 
 
+def test_groups_of_the_same_lines_in_many_bands_are_one(spark, monkeypatch):
+    """And groups of two, which are their star, are not looked at again."""
+    sizes, plain = [], line_dedup._open_groups
+
+    def counted(groups, labels):
+        sizes.append(groups.select("key").distinct().count())
+        return plain(groups, labels)
+
+    monkeypatch.setattr(line_dedup, "_open_groups", counted)
+    rows = [(3 * i + j, prose(900 + i, 30) + end) for i in range(40) for j, end in enumerate(("", " x", " yy"))]
+    got = line_dedup.line_report(frame(spark, rows, extra=False)).collect()
+    assert bag(tuple(r) for r in got) == bag(kept_lines(rows))
+    assert sum(r.n_removed for r in got) == 80 and max(sizes) <= 4 * 40, sizes  # as bands, 40 * 16 at most
+
+
+@pytest.mark.parametrize("cell", [2, 3, 256])
+def test_groups_keep_all_members_in_rows_of_a_cell(spark, monkeypatch, cell):
+    monkeypatch.setattr(line_dedup, "CELL", cell)
+    found = [(5, [9, 4, 7, 1, 8]), (21, [9, 4, 7, 1, 8]), (6, [3, 2]), (38, [2, 3, 3]), (7, [6])]
+    rows = []
+    for key, ids in found:
+        keys, ids = np.array([key] * len(ids), dtype=np.uint64), np.array(ids, dtype=np.int64)
+        rows.append((0, bytearray(keys.astype("<u4").tobytes() + bytes(len(ids)) + ids.tobytes())))
+    got = line_dedup._groups(spark.createDataFrame(rows, "bucket int, payload binary")).collect()
+    by = {}
+    for r in got:
+        assert r.pivot == (2 if r.n == 2 else 1) and len(r.members) <= cell
+        by.setdefault((r.key, r.n), []).extend(r.members)
+    five = {(5, 5): [1, 4, 7, 8, 9]} | ({(21, 5): [1, 4, 7, 8, 9]} if cell < 5 else {})
+    assert {k: sorted(v) for k, v in by.items()} == five | {(6, 2): [2, 3]}
+
+
 def test_recall_of_near_lines(spark):
     """Pairs of Jaccard similarity 0.80 to 0.86 share a band nearly always."""
     r, pairs = random.Random(9), []
